@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timeloom.llm import html_extract, langid, secret_scan, toxicity
+from timeloom.llm import embedding_dedup, html_extract, langid, secret_scan, toxicity
 from timeloom.llm.fingerprints import compare_edited
+from timeloom.llm.ngram_jaccard import group_documents
 from timeloom.llm.packing import pack_documents
 from timeloom.llm.sentencepiece_codec import encode_documents
 from timeloom.llm.token_counts import count_tokens
@@ -39,6 +40,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(_fold(3) == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "offending")
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.link_vectors(_table(spark, sf_dir, "embeddings"), 0.95)
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048)
 
@@ -47,6 +52,10 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_edited(_table(spark, sf_dir, "documents"))
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_documents(_table(spark, sf_dir, "documents"), 5, 75)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2048)
 
@@ -61,6 +70,6 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score", "accepted")
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_secret_scan, op3_toxicity, op5_token_counts, op6_fingerprints, op8_packing, op9_html_extract, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_secret_scan, op3_toxicity, op4_embedding_dedup, op5_token_counts, op6_fingerprints, op7_ngram_jaccard, op8_packing, op9_html_extract, op10_language_id)}
 
 ORACLE_SQL: dict[str, str] = {}
