@@ -267,3 +267,21 @@ def identify(documents: DataFrame, model: Model) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([keys[part.start : part.stop], pa.array(language, pa.string()), pa.array(score, pa.float64()), pa.array(accepted, pa.bool_())], names=["doc_id", "lang_pred", "score", "accepted"])
 
     return map_arrow(text_of(documents), work, "doc_id bigint, lang_pred string, score double, accepted boolean")
+
+
+def with_language(documents: DataFrame, model: Model) -> DataFrame:
+    """The documents as they are, with ``lang_pred`` and ``accepted`` (columns of those names are replaced)."""
+    rows = documents.drop("lang_pred", "accepted")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            language, accepted = [], []
+            for part in slices(texts, 500_000):
+                a, _, b = model.decide(texts[part])
+                language += a
+                accepted += b.tolist()
+            yield batch.append_column("lang_pred", pa.array(language, pa.string())).append_column("accepted", pa.array(accepted, pa.bool_()))
+
+    schema = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes) + ", lang_pred string, accepted boolean"
+    return map_arrow(rows, work, schema)

@@ -8,11 +8,12 @@ Jaccard distance is a metric, and the join works by pivots and windows in it:
   shingles, so its region lies among the ``window`` rarest shingles, and the
   set is replicated to those regions. A shingle of one set only needs no
   region. A set whose window holds such shingles alone links with nothing.
-* Within a region a member is the pivot of the next level. Distances to it
-  decide links with it; by the triangle inequality two members can link only
-  if their distances to it differ by the limit at most. So members outside
-  the pivot's ball, with those inside that reach into their window, form the
-  region that is joined next, until none is left.
+* Within a region a member is the pivot of the next level. By the triangle
+  inequality two members can link only if their distances to it differ by the
+  limit at most. Members within twice the limit stay with the pivot; those
+  farther away, with the near ones that reach into their window, form the
+  region that is joined next, until none is left. What stays together is then
+  compared exactly, block by block.
 
 Equal sets are one class throughout. Shingle counts come from all documents,
 shuffled as packed arrays, one per range of shingle hashes.
@@ -33,6 +34,7 @@ from timeloom.llm.runtime import cut, map_arrow, slices, text_of
 from timeloom.llm.textarrays import joined, mix, span_hashes
 
 LOW = 40  # bits of a shingle hash below its range
+BLOCK = 512  # sets compared at a time
 FLUSH = 1_500_000  # shingles packed at a time
 _STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 
@@ -252,33 +254,80 @@ def overlaps(pairs: DataFrame, sets: DataFrame, width: int) -> DataFrame:
     return map_arrow(both.select("pivot", "key", "n", "m", "left", "right"), work, "pivot bigint, key bigint, common bigint, whole bigint", 500)
 
 
-def links_between(sets: DataFrame, percent: int, width: int) -> DataFrame:
-    """Links (a, b) that connect exactly what all links between the sets connect."""
-    spark = sets.sparkSession
+def loose_pairs(sets: DataFrame, percent: int, width: int) -> DataFrame:
+    """Pairs (a, b) of keys such that all links lie within what the pairs connect.
+
+    A pivot is paired with the members within twice the limit. A member beyond
+    that (far) can link with other far ones, or with near ones that are at
+    most the limit nearer to the pivot; these go on to the region's next pivot.
+    """
+    limit = 1 - percent / 100
     members = regions_of(sets, width).withColumn("inner", F.lit(0)).repartition("region")
     found: DataFrame | None = None
-    linked = F.col("common") * 100 >= F.col("whole") * percent
-    distance = 1 - F.col("common") / F.col("whole")
-    limit = 1 - percent / 100
     while True:
         heads = members.groupBy("region").agg(F.min(F.struct("inner", "key")).alias("head"), F.count("*").alias("n")).where("n > 1")
-        seen = members.join(heads.select("region", F.col("head.key").alias("pivot")), "region").where("key <> pivot").select("region", "pivot", "key")
-        seen = cut(seen)
-        measured = cut(overlaps(seen.select("pivot", "key").distinct(), sets, width))
-        spark.sparkContext._jvm.System.gc()  # lets the cleaner remove shuffle files of what is written now
-        new = measured.where(linked).select(F.col("pivot").alias("a"), F.col("key").alias("b"))
+        seen = cut(members.join(heads.select("region", F.col("head.key").alias("pivot")), "region").where("key <> pivot").select("region", "pivot", "key"))
+        measured = overlaps(seen.select("pivot", "key").distinct(), sets, width)
+        measured = cut(measured.select("pivot", "key", (1 - F.col("common") / F.col("whole")).alias("d")))
+        new = measured.where(F.col("d") <= 2 * limit + 1e-9).select(F.col("pivot").alias("a"), F.col("key").alias("b"))
         found = new if found is None else found.unionByName(new)
-        placed = seen.join(measured.where(~linked | (distance > 0)), ["pivot", "key"]).select("region", "key", linked.alias("ball"), distance.alias("d"))
-        outer = placed.where(~F.col("ball")).groupBy("region").agg(F.min("d").alias("nearest"), F.count("*").alias("outside"))
-        again = placed.join(outer, "region").where(~F.col("ball") | (F.col("d") >= F.col("nearest") - limit - 1e-9))
-        again = cut(again.select("region", "key", F.col("ball").cast("int").alias("inner"), "outside"))
-        # a region goes on if two of its members may still link: one outside, and any other
-        more = again.groupBy("region").agg(F.count("*").alias("n")).where("n > 1").select("region")
-        members = cut(again.join(more, "region").select("region", "key", "inner"))
+        placed = seen.join(measured.where(F.col("d") >= limit - 1e-9), ["pivot", "key"]).select("region", "key", (F.col("d") <= 2 * limit + 1e-9).alias("near"), "d")
+        far = placed.where(~F.col("near")).groupBy("region").agg(F.min("d").alias("nearest"))
+        again = placed.join(far, "region").where(~F.col("near") | (F.col("d") >= F.col("nearest") - limit - 1e-9))
+        again = cut(again.select("region", "key", F.col("near").cast("int").alias("inner")))
+        several = again.groupBy("region").agg(F.count("*").alias("n")).where("n > 1").select("region")
+        members = cut(again.join(several, "region"))
         if members.isEmpty():
             return found
 
 
+def linked_in_block(group: pd.DataFrame, percent: int, width: int) -> pd.DataFrame:
+    """Within each (component, i, j) of the group, each key with the least key that links reach."""
+    keys, heads = [], []
+    for _, part in group.groupby(["component", "i", "j"]):
+        key, size = part["key"].to_numpy(), part["n"].to_numpy()
+        flat = np.concatenate([_unpacked(s, width) for s in part["shingles"]])
+        row = np.repeat(np.arange(len(key)), [len(s) // width for s in part["shingles"]])
+        column = np.unique(flat, return_inverse=True)[1]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        common = np.zeros((len(key), len(key)), np.float32)
+        for at in range(0, int(column[-1]) + 1 if len(column) else 0, 2048):
+            lo, hi = np.searchsorted(column, [at, at + 2048])
+            held = np.zeros((len(key), 2048), np.float32)
+            held[row[lo:hi], column[lo:hi] - at] = 1
+            common += held @ held.T
+        linked = common * 100 >= (size[:, None] + size[None, :] - common) * percent
+        np.fill_diagonal(linked, True)
+        least = key.copy()
+        while True:
+            values, rank = np.unique(least, return_inverse=True)
+            new = values[np.where(linked, rank[None, :], len(values)).min(axis=1)]
+            if (new == least).all():
+                break
+            least = new
+        keys.append(key[key != least])
+        heads.append(least[key != least])
+    empty = np.zeros(0, np.int64)
+    return pd.DataFrame({"a": np.concatenate(keys or [empty]), "b": np.concatenate(heads or [empty])})
+
+
+def links_between(sets: DataFrame, percent: int, width: int) -> DataFrame:
+    """Links (a, b) that connect exactly what all links between the sets connect.
+
+    What loose pairs connect is compared whole, block by block, as products
+    of incidence matrices, so no row is made for each pair.
+    """
+    loose = connected_components(loose_pairs(sets, percent, width))
+    sizes = loose.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    placed = loose.withColumnRenamed("id", "key").join(sizes, "component").join(sets.select("key", "n", "shingles"), "key")
+    placed = placed.withColumn("side", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = placed.select("component", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "key", "n", "shingles")
+    parts = max(1, loose.count() // 1024)
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("component", "i", "j"), F.lit(parts)))
+    return dealt.groupBy("part").applyInPandas(lambda g: linked_in_block(g, percent, width), "a bigint, b bigint")
+
+
 def group_documents(documents: DataFrame, words: int = 5, percent: int = 75) -> DataFrame:
     """doc_id, n_shingles and component_id of every document.
 

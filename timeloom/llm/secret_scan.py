@@ -196,6 +196,44 @@ def spans_text(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
 
+def all_spans(texts: list[str], net: Network) -> tuple[list[list[Span]], list[list[Span]]]:
+    """The rules' findings and all findings of each text."""
+    base = [rule_spans(t) for t in texts]
+    more = [(i, s, e) for i, t in enumerate(texts) for s, e in candidates(t, base[i])]
+    every = [list(b) for b in base]
+    p = net.probability([window(texts[i], s, e) for i, s, e in more])
+    for (i, s, e), hit in zip(more, p >= net.threshold, strict=True):
+        if hit:
+            every[i].append((s, 3, e))
+    return base, [sorted(x) for x in every]
+
+
+def masked(text: str, spans: list[Span], mark: str = "[secret]") -> str:
+    """The text with each stretch of findings, overlapping ones together, replaced."""
+    out, at = [], 0
+    for s, _, e in spans:
+        if s >= at:
+            out += [text[at:s], mark]
+        at = max(at, e)
+    return "".join(out) + text[at:]
+
+
+def mask(documents: DataFrame, net: Network) -> DataFrame:
+    """The documents with findings replaced; where there is one, n_chars is counted anew. A null text stays null."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            spans = all_spans([t or "" for t in texts], net)[1]
+            new = [masked(t, x) if x else t for t, x in zip(texts, spans, strict=True)]
+            length = [len(t) if x else n for t, x, n in zip(new, spans, batch.column("n_chars").to_pylist(), strict=True)]
+            made = batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(new, pa.string()))
+            yield made.set_column(batch.schema.get_field_index("n_chars"), "n_chars", pa.array(length, pa.int64()))
+
+    rows = documents.withColumn("n_chars", F.col("n_chars").cast("long"))
+    return map_arrow(rows, work, ", ".join(f"`{n}` {t}" for n, t in rows.dtypes))
+
+
 def scan(documents: DataFrame, net: Network) -> DataFrame:
     """All findings of every whole text: doc_id, rule counts, digests of the spans and the spans.
 
@@ -206,16 +244,10 @@ def scan(documents: DataFrame, net: Network) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            base = [rule_spans(t) for t in texts]
-            more = [(i, s, e) for i, t in enumerate(texts) for s, e in candidates(t, base[i])]
-            every = [list(b) for b in base]
-            p = net.probability([window(texts[i], s, e) for i, s, e in more])
-            for (i, s, e), hit in zip(more, p >= net.threshold, strict=True):
-                if hit:
-                    every[i].append((s, 3, e))
+            base, every = all_spans(texts, net)
             count = [[sum(k == kind for _, k, _ in b) for b in base] for kind in range(3)]
             sha = [hashlib.sha256(spans_text(b).encode()).hexdigest() for b in base]
-            spans = [spans_text(sorted(x)) for x in every]
+            spans = [spans_text(x) for x in every]
             arrays = [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in count), pa.array(sha, pa.string()), pa.array(spans, pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
 

@@ -211,3 +211,17 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([keys[part.start : part.stop], pa.array(model.documents(b, len(own)), pa.float64()), pa.array(spans, kind)], names=["doc_id", "score", "offending"])
 
     return map_arrow(text_of(documents), work, schema)
+
+
+def with_score(documents: DataFrame, model: Model) -> DataFrame:
+    """The documents as they are, with their ``score`` (a column of that name is replaced)."""
+    rows = documents.drop("score")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            got = [model.documents(bags(texts[part]), part.stop - part.start) for part in slices(texts, 500_000)]
+            yield batch.append_column("score", pa.array(np.concatenate(got), pa.float64()))
+
+    schema = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes) + ", score double"
+    return map_arrow(rows, work, schema)
