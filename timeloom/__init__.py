@@ -1,0 +1 @@
+"""Timeline alignment and corpus processing on Spark DataFrames."""
