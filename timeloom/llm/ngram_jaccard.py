@@ -35,6 +35,7 @@ from timeloom.llm.textarrays import joined, mix, span_hashes
 
 LOW = 40  # bits of a shingle hash below its range
 BLOCK = 512  # sets compared at a time
+SMALL = 16  # members of a region that is compared whole
 FLUSH = 1_500_000  # shingles packed at a time
 _STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 
@@ -257,20 +258,29 @@ def overlaps(pairs: DataFrame, sets: DataFrame, width: int) -> DataFrame:
 def loose_pairs(sets: DataFrame, percent: int, width: int) -> DataFrame:
     """Pairs (a, b) of keys such that all links lie within what the pairs connect.
 
-    A pivot is paired with the members within twice the limit. A member beyond
+    Regions of up to ``SMALL`` members are compared whole. In others
+    a pivot is paired with the members within twice the limit. A member beyond
     that (far) can link with other far ones, or with near ones that are at
     most the limit nearer to the pivot; these go on to the region's next pivot.
     """
     limit = 1 - percent / 100
-    members = regions_of(sets, width).withColumn("inner", F.lit(0)).repartition("region")
-    found: DataFrame | None = None
+    members = regions_of(sets, width).repartition("region")
+    sizes = members.groupBy("region").agg(F.count("*").alias("n")).where("n > 1")
+    placed = cut(members.join(sizes, "region"))
+    small = placed.where(F.col("n") <= SMALL).select("region", "key")
+    pairs = small.withColumnRenamed("key", "pivot").join(small, "region").where("pivot < key").select("pivot", "key").distinct()
+    linked = F.col("common") * 100 >= F.col("whole") * percent
+    found = cut(overlaps(pairs, sets, width).where(linked).select(F.col("pivot").alias("a"), F.col("key").alias("b")))
+    members = placed.where(F.col("n") > SMALL).select("region", "key", F.lit(0).alias("inner"))
+    if members.isEmpty():
+        return found
     while True:
         heads = members.groupBy("region").agg(F.min(F.struct("inner", "key")).alias("head"), F.count("*").alias("n")).where("n > 1")
         seen = cut(members.join(heads.select("region", F.col("head.key").alias("pivot")), "region").where("key <> pivot").select("region", "pivot", "key"))
         measured = overlaps(seen.select("pivot", "key").distinct(), sets, width)
         measured = cut(measured.select("pivot", "key", (1 - F.col("common") / F.col("whole")).alias("d")))
         new = measured.where(F.col("d") <= 2 * limit + 1e-9).select(F.col("pivot").alias("a"), F.col("key").alias("b"))
-        found = new if found is None else found.unionByName(new)
+        found = found.unionByName(new)
         placed = seen.join(measured.where(F.col("d") >= limit - 1e-9), ["pivot", "key"]).select("region", "key", (F.col("d") <= 2 * limit + 1e-9).alias("near"), "d")
         far = placed.where(~F.col("near")).groupBy("region").agg(F.min("d").alias("nearest"))
         again = placed.join(far, "region").where(~F.col("near") | (F.col("d") >= F.col("nearest") - limit - 1e-9))
