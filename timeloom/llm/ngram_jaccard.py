@@ -12,8 +12,8 @@ Jaccard distance is a metric, and the join works by pivots and windows in it:
   inequality two members can link only if their distances to it differ by the
   limit at most. Members within twice the limit stay with the pivot; those
   farther away, with the near ones that reach into their window, form the
-  region that is joined next, until none is left. What stays together is then
-  compared exactly, block by block.
+  region that is joined next. What stays together after that is compared
+  exactly, block by block.
 
 Equal sets are one class throughout. Shingle counts come from all documents,
 shuffled as packed arrays, one per range of shingle hashes.
@@ -35,7 +35,8 @@ from timeloom.llm.textarrays import joined, mix, span_hashes
 
 LOW = 40  # bits of a shingle hash below its range
 BLOCK = 512  # sets compared at a time
-SMALL = 16  # members of a region that is compared whole
+SMALL = 48  # members of a region that is compared whole at once
+LEVELS = 2  # pivots of a larger region before what is left of it is compared whole, block by block
 FLUSH = 1_500_000  # shingles packed at a time
 _STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
 
@@ -274,7 +275,7 @@ def loose_pairs(sets: DataFrame, percent: int, width: int) -> DataFrame:
     members = placed.where(F.col("n") > SMALL).select("region", "key", F.lit(0).alias("inner"))
     if members.isEmpty():
         return found
-    while True:
+    for _ in range(LEVELS):
         heads = members.groupBy("region").agg(F.min(F.struct("inner", "key")).alias("head"), F.count("*").alias("n")).where("n > 1")
         seen = cut(members.join(heads.select("region", F.col("head.key").alias("pivot")), "region").where("key <> pivot").select("region", "pivot", "key"))
         measured = overlaps(seen.select("pivot", "key").distinct(), sets, width)
@@ -289,6 +290,9 @@ def loose_pairs(sets: DataFrame, percent: int, width: int) -> DataFrame:
         members = cut(again.join(several, "region"))
         if members.isEmpty():
             return found
+    heads = members.groupBy("region").agg(F.min("key").alias("a"))
+    left = members.join(heads, "region").where("key <> a").select("a", F.col("key").alias("b"))
+    return found.unionByName(left)
 
 
 def linked_in_block(group: pd.DataFrame, percent: int, width: int) -> pd.DataFrame:
