@@ -113,9 +113,9 @@ def train(texts: list[bytes], labels: np.ndarray, features: int = 8192, epochs:
     if not len(y) or y.min() == y.max():
         return Model(weights, -9.0, 0.0, 6.0 if len(y) and y[0] else -6.0)
     pairs = [np.frombuffer(t, np.int64) for t in texts]
-    feature = np.concatenate([p & ((1 << BITS) - 1) for p in pairs])
-    document = np.repeat(np.arange(len(pairs)), [len(p) for p in pairs])
-    once = np.unique(document << BITS | feature)
+    feature = np.concatenate([(p & ((1 << BITS) - 1)).astype(np.int32) for p in pairs])
+    document = np.repeat(np.arange(len(pairs), dtype=np.int32), [len(p) for p in pairs])
+    once = np.unique(document.astype(np.int64) << BITS | feature)
     seen, of = once & ((1 << BITS) - 1), once >> BITS
     a = np.bincount(seen, weights=y[of], minlength=1 << BITS)
     n = np.bincount(seen, minlength=1 << BITS).astype(float)
@@ -124,14 +124,18 @@ def train(texts: list[bytes], labels: np.ndarray, features: int = 8192, epochs:
     chi = np.where(n >= 3, (a - expected) ** 2 / np.maximum(expected * (1 - rate), 1e-9), 0)
     chosen = np.sort(np.argsort(-chi, kind="stable")[:features])
     chosen = chosen[chi[chosen] > 2.0]
-    number = np.full(1 << BITS, -1, np.int64)
+    del once, seen, of
+    number = np.full(1 << BITS, -1, np.int32)
     number[chosen] = np.arange(len(chosen))
-    sentence_of = np.concatenate([p >> BITS for p in pairs])
-    sentence_key, sentence = np.unique(document << 32 | sentence_of, return_inverse=True)
-    doc_of_sentence = sentence_key >> 32
     column = number[feature]
     kept = column >= 0
-    column, sentence = column[kept], sentence[kept]
+    column, place = column[kept], document[kept]
+    # sentences are numbered in order within a document, so the pairs' sentence numbers start anew with each
+    sentence_of = np.concatenate([(p >> BITS).astype(np.int32) for p in pairs])
+    sentences = np.array([int(p[-1] >> BITS) + 1 if len(p) else 0 for p in pairs])
+    sentence = (np.cumsum(sentences) - sentences)[place] + sentence_of[kept]
+    doc_of_sentence = np.repeat(np.arange(len(pairs)), sentences)
+    del feature, document, sentence_of, kept
     fold = np.arange(len(y)) % 5 == 4
     used = np.where(fold, 0.0, np.where(y > 0, 0.5 / max(y[~fold].mean(), 1e-6), 0.5 / max(1 - y[~fold].mean(), 1e-6)))
     used /= max(used.sum(), 1e-9)
@@ -164,7 +168,7 @@ def train(texts: list[bytes], labels: np.ndarray, features: int = 8192, epochs:
     return model
 
 
-def fit(documents: DataFrame, labels: DataFrame, train_rows, sample: int = 12_000) -> Model:
+def fit(documents: DataFrame, labels: DataFrame, train_rows, sample: int = 5_000) -> Model:
     """Trains on a bounded sample of labelled documents.
 
     ``train_rows`` is a condition on doc_id. About ``sample`` documents at
