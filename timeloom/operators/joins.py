@@ -8,8 +8,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def asof(left: DataFrame, right: DataFrame, keys: list[str], time: str, start: str, values: list[str]) -> DataFrame:
-    """Adds to each left row the ``values`` of the last right row of its keys with start <= time (null: none)."""
+def asof(left: DataFrame, right: DataFrame, keys: list[str], time: str, start: str, values: list[str], width: int | None = None) -> DataFrame:
+    """Adds to each left row the ``values`` of the last right row of its keys with start <= time (null: none).
+
+    With ``width`` each key is dealt out in stretches of that much time, so a
+    few keys still use all tasks; a stretch gets the last right row before it
+    from a join of stretches, which has one row a stretch.
+    """
+    if width:
+        stretch = lambda c: F.expr(f"floor({c} / {int(width)})").cast("long")
+        cut, dealt = left.withColumn("_stretch", stretch(time)), right.select(*keys, start, *(v for v in values if v != start)).withColumn("_stretch", stretch(start))
+        kept = [c for c in dealt.columns if c not in (*keys, "_stretch")]
+        last = dealt.groupBy(*keys, "_stretch").agg(F.max_by(F.struct(*kept), start).alias("_last")).select(*keys, (F.col("_stretch") + 1).alias("_from"), "_last")
+        carried = asof(cut.select(*keys, "_stretch").distinct(), last, keys, "_stretch", "_from", ["_last"]).where("_last is not null")
+        both = dealt.unionByName(carried.select(*keys, "_stretch", "_last.*"))
+        return asof(cut, both, [*keys, "_stretch"], time, start, values).drop("_stretch")
     wide = F.struct(F.col(start).alias("start"), *values)
     a = left.select(*keys, F.col(time).alias("_t"), F.lit(1).alias("_side"), F.struct(*left.columns).alias("_row"), F.lit(None).cast(right.select(wide.alias("w")).schema["w"].dataType).alias("_at"))
     b = right.select(*keys, F.col(start).alias("_t"), F.lit(0).alias("_side"), F.lit(None).cast(left.select(F.struct(*left.columns).alias("w")).schema["w"].dataType).alias("_row"), wide.alias("_at"))
@@ -31,11 +44,11 @@ def nearest_within(left: DataFrame, right: DataFrame, left_id: str, left_time: s
     return best.select("id", F.col("m.other_id").alias("other_id"), (F.col("m.u") - F.col("t")).alias("residual"))
 
 
-def apply_map(rows: DataFrame, time: str, controls: DataFrame, out: str = "mapped") -> DataFrame:
+def apply_map(rows: DataFrame, time: str, controls: DataFrame, out: str = "mapped", width: int | None = None) -> DataFrame:
     """Maps times through piecewise linear controls (x, y): slope one before the first and after the last."""
     by = Window.partitionBy().orderBy("x") if "part" not in controls.columns else Window.partitionBy("part").orderBy("x")
     pieces = controls.withColumn("x2", F.lead("x").over(by)).withColumn("y2", F.lead("y").over(by))
-    placed = asof(rows.withColumn("_k", F.lit(0)), pieces.withColumn("_k", F.lit(0)), ["_k"], time, "x", ["x", "y", "x2", "y2"])
+    placed = asof(rows.withColumn("_k", F.lit(0)), pieces.withColumn("_k", F.lit(0)), ["_k"], time, "x", ["x", "y", "x2", "y2"], width)
     line = F.col("y") + (F.col(time) - F.col("x")) * (F.col("y2") - F.col("y")) / (F.col("x2") - F.col("x"))
     return placed.withColumn(out, F.coalesce(line, F.col("y") + F.col(time) - F.col("x"), F.col(time))).drop("_k", "x", "y", "x2", "y2")
 

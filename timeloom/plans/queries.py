@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from timeloom.functions import robust
-from timeloom.operators import islands, joins, select
+from timeloom.operators import islands, joins, select, sequence
 from timeloom.sources.tables import HOUR_US, events, micros, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,7 +70,7 @@ select e.event_id, m.hour as measure, m.start_us from EVENTS e asof left join m
 def asof_measure(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = events(spark, sf_dir)
     measures = rows.where("user_id % 2 = 0").groupBy("role", "hour").agg(F.min("t").alias("start_us")).select("role", F.col("hour").alias("measure"), "start_us")
-    return joins.asof(rows.select("role", "event_id", "t"), measures, ["role"], "t", "start_us", ["measure", "start_us"]).select("event_id", "measure", "start_us")
+    return joins.asof(rows.select("role", "event_id", "t"), measures, ["role"], "t", "start_us", ["measure", "start_us"], 24 * HOUR_US).select("event_id", "measure", "start_us")
 
 
 @query("""with c as (select (t // 86400000000) * 86400000000 x from EVENTS group by all), k as (select x, x + (x // 86400000000 % 7) * 1000000 y from c),
@@ -83,7 +83,7 @@ def warp_apply_lerp(spark: SparkSession, sf_dir: str) -> DataFrame:
     controls = days.select("x", (F.col("x") + F.expr("x div 86400000000 % 7") * 1_000_000).alias("y"))
     by = Window.orderBy("x")  # one row per day
     pieces = controls.withColumn("x2", F.lead("x").over(by)).withColumn("y2", F.lead("y").over(by)).withColumn("k", F.lit(0))
-    placed = joins.asof(rows.withColumn("k", F.lit(0)), pieces, ["k"], "t", "x", ["x", "y", "x2", "y2"])
+    placed = joins.asof(rows.withColumn("k", F.lit(0)), pieces, ["k"], "t", "x", ["x", "y", "x2", "y2"], 24 * HOUR_US)
     within = (F.col("t") - F.col("x")).cast("double")
     line = (F.col("y") - F.col("x")) + within * (F.col("y2") - F.col("y")).cast("double") / (F.col("x2") - F.col("x")).cast("double") - within + within
     return placed.select("event_id", F.floor(F.coalesce(line, (F.col("y") - F.col("x") + F.col("t") - F.col("x")).cast("double"))).cast("long").alias("offset_us"))
@@ -213,3 +213,82 @@ def lyric_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def nms_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").select(F.col("p_brand").alias("brand"), F.col("p_partkey").alias("position"), F.col("p_retailprice").alias("score"))
     return select.suppress(parts, ["brand"], "position", "score", 50.0)
+
+
+@query("""with d as (select role, t // 86400000000 as day, min(t) t from EVENTS group by all), n as (select *, lead(t) over (partition by role order by day) - t gap from d)
+select role, day, cast(last_value(4 * 60000000000 // gap ignore nulls) over (partition by role order by day rows between unbounded preceding and current row) as bigint) milli_bpm from n""")
+def dense_tempo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = events(spark, sf_dir).groupBy("role", F.expr("t div 86400000000").alias("day")).agg(F.min("t").alias("t"))
+    by = Window.partitionBy("role").orderBy("day")
+    paced = days.withColumn("gap", F.lead("t").over(by) - F.col("t")).withColumn("bpm", F.expr("4 * 60000000000 div gap"))
+    return paced.select("role", "day", F.last("bpm", ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, 0)).alias("milli_bpm"))
+
+
+@query("""with h as (select role, hour, min(t) t from EVENTS group by all), n as (select *, lead(t) over (partition by role order by hour) nx from h)
+select role, cast(i as bigint) sub, t + (nx - t) * i // 4 as beat_us, case when i = 0 then hour else -1 end measure from n, range(4) r(i) where nx is not null""")
+def explicit_beats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hours = events(spark, sf_dir).groupBy("role", "hour").agg(F.min("t").alias("t"))
+    bars = hours.withColumn("nx", F.lead("t").over(Window.partitionBy("role").orderBy("hour"))).where("nx is not null")
+    split = bars.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(3))))
+    return split.select("role", F.col("i").cast("long").alias("sub"), F.expr("t + (nx - t) * i div 4").alias("beat_us"), F.expr("if(i = 0, hour, -1L)").alias("measure"))
+
+
+@query("""with h as (select distinct role, hour from EVENTS), n as (select *, lag(hour) over (partition by role order by hour) p from h)
+select role, hour, hour - p - 1 as silent from n where hour - p > 1""")
+def restart_after_silence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hours = events(spark, sf_dir).select("role", "hour").distinct()
+    quiet = F.col("hour") - F.lag("hour").over(Window.partitionBy("role").orderBy("hour"))
+    return hours.withColumn("silent", quiet - 1).where("silent > 0")
+
+
+@query("""with o as (select o_custkey % 100 k, count(*) orders, sum(o_orderkey) a from orders group by all), l as (select l_suppkey % 150 k, count(*) lines, sum(l_orderkey) b from lineitem group by all)
+select coalesce(o.k, l.k) as k, orders, lines, cast((coalesce(a, b) + coalesce(b, a)) // 2 as bigint) centre from o full join l on o.k = l.k""")
+def dual_centre_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = table(spark, sf_dir, "orders").groupBy(F.expr("o_custkey % 100").alias("k")).agg(F.count("*").alias("orders"), F.sum("o_orderkey").alias("a"))
+    b = table(spark, sf_dir, "lineitem").groupBy(F.expr("l_suppkey % 150").alias("k")).agg(F.count("*").alias("lines"), F.sum("l_orderkey").alias("b"))
+    return a.join(b, "k", "full").select("k", "orders", "lines", F.expr("(coalesce(a, b) + coalesce(b, a)) div 2").alias("centre"))
+
+
+@query("""with s as (select s_nationkey nation, sum(cast(floor(s_acctbal * 100::double + 0.5::double) as bigint)) v from supplier group by all)
+select nation, cast(floor(exp((v - max(v) over ())::double / 1000000::double) / sum(exp((v - (select max(v) from s))::double / 1000000::double)) over () * 1000000::double + 0.5::double) as bigint) weight from s""")
+def softmax_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = table(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("nation")).agg(F.sum(F.floor(F.col("s_acctbal") * 100 + 0.5).cast("long")).alias("v"))
+    top = scores.agg(F.max("v").alias("top"))
+    raised = scores.join(F.broadcast(top)).withColumn("e", F.exp((F.col("v") - F.col("top")).cast("double") / 1e6))
+    whole = raised.agg(F.sum("e").alias("whole"))
+    return raised.join(F.broadcast(whole)).select("nation", F.floor(F.col("e") / F.col("whole") * 1e6 + 0.5).cast("long").alias("weight"))
+
+
+def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five strongest events of each role and hour, keyed by role and day: candidates as the path kernels take them."""
+    by = Window.partitionBy("role", "hour").orderBy(F.desc("value"), "event_id")
+    best = events(spark, sf_dir).withColumn("rank", F.row_number().over(by)).where("rank <= 5")
+    return best.select("role", F.expr("hour div 24").alias("day"), "hour", "event_id", "t", (F.col("value") / (F.col("value") + 10)).alias("confidence"), (F.expr(f"t % {HOUR_US}") / 1e7).alias("residual_ms"))
+
+
+@query()
+def viterbi_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sequence.viterbi_path(_candidates(spark, sf_dir), ["role", "day"], "hour", "event_id")
+
+
+@query()
+def beam_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sequence.beam_path(_candidates(spark, sf_dir).withColumnRenamed("t", "position"), ["role", "day"], "hour", "event_id", float(HOUR_US))
+
+
+@query()
+def chain_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = _candidates(spark, sf_dir).select("role", "day", "event_id", (F.col("hour") * HOUR_US).alias("x"), F.col("t").alias("y"), F.col("confidence").alias("score"))
+    return sequence.chain_path(points, ["role", "day"], "event_id")
+
+
+@query()
+def banded_dtw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hours = events(spark, sf_dir).groupBy(F.expr("hour div 24").alias("day"), "hour").agg(F.count(F.when(F.col("role") == "view", 1)).alias("views"), F.count(F.when(F.col("role") == "click", 1)).alias("clicks"))
+    return sequence.warp_series(hours, ["day"], "hour", "views", "clicks", 4.0, 0.5, 0.25)
+
+
+@query()
+def ordered_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    heard = events(spark, sf_dir).where("role in ('view', 'click')").groupBy(F.expr("hour div 24").alias("day"), "hour", F.expr("cast(role = 'click' as int)").alias("side"))
+    return sequence.align_sets(heard.agg(F.sort_array(F.collect_set(F.expr("user_id % 128"))).alias("members")), ["day"], "hour", "side", "members")
