@@ -139,9 +139,21 @@ def gram(ids: np.ndarray, at: np.ndarray, order: int) -> np.ndarray:
     return key
 
 
+def _tally(parts: Iterator[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of all parts with their counts; one part is sorted at a time."""
+    found = [np.unique(p, return_counts=True) for p in parts]
+    if not found:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    values, at = np.unique(np.concatenate([v for v, _ in found]), return_inverse=True)
+    return values, np.bincount(at, weights=np.concatenate([n for _, n in found])).astype(np.int64)
+
+
 def _counts(ids: list[np.ndarray], order: int) -> tuple[np.ndarray, np.ndarray]:
-    parts = [gram(x, np.arange(order - 1, len(x)), order) for x in ids if len(x) >= order]
-    return np.unique(np.concatenate(parts), return_counts=True) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    """Counts of the n-grams within each text, texts taken about 500,000 characters at a time."""
+    long = [x for x in ids if len(x) >= order]
+    edges = np.cumsum([len(x) for x in long]) // 500_000 if long else np.zeros(0, np.int64)
+    cuts = [0, *(np.flatnonzero(np.diff(edges)) + 1).tolist(), len(long)]
+    return _tally(np.concatenate([gram(x, np.arange(order - 1, len(x)), order) for x in long[a:b]]) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b > a)
 
 
 def kneser_ney(ids: list[np.ndarray], alphabet: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -188,12 +200,15 @@ def train(texts: list[str], labels: list[str]) -> Model:
     held = np.arange(len(texts)) % 10 == 9
     if len(texts) < 20 * len(languages):
         held[:] = False
-    points, bounds = fold(texts)
-    seen, n = np.unique(points, return_counts=True)
+    folded = [fold(texts[part]) for part in slices(texts)]
+    seen, n = _tally(points for points, _ in folded)
     letters = np.sort(seen[np.argsort(-n, kind="stable")[:65_000]])
     model = Model(languages, letters, [], float(-np.log(len(letters) + 1.0) * 2), 1.0, none, none)
-    ids = model.ids(points)
-    each = [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    each = []
+    while folded:  # two bytes a character are kept
+        points, bounds = folded.pop(0)
+        ids = model.ids(points).astype(np.uint16)
+        each += [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
     fitted = [kneser_ney([x for x, y, h in zip(each, labels, held, strict=True) if y == language and not h], len(letters)) for language in languages]
     for k in range(ORDER):
         plain = np.unique(np.concatenate([f[k][0] for f in fitted] + ([f[k + 1][2] for f in fitted] if k + 1 < ORDER else [])))
