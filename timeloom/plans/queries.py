@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from timeloom.functions import robust
-from timeloom.operators import islands, joins, select, sequence
+from timeloom.operators import evidence, gates, islands, joins, select, sequence
 from timeloom.sources.tables import HOUR_US, events, micros, table
+from timeloom.streaming import onsets
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -292,3 +293,140 @@ def banded_dtw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ordered_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     heard = events(spark, sf_dir).where("role in ('view', 'click')").groupBy(F.expr("hour div 24").alias("day"), "hour", F.expr("cast(role = 'click' as int)").alias("side"))
     return sequence.align_sets(heard.agg(F.sort_array(F.collect_set(F.expr("user_id % 128"))).alias("members")), ["day"], "hour", "side", "members")
+
+
+_SCALED = "cast(floor(({}) * {}::double + 0.5::double) as bigint)"
+
+
+def _sql_scaled(value: str, by: int = 1000) -> str:
+    return _SCALED.format(value, by)
+
+
+@query("""with c as (select cast((t // 86400000000) * 86400000000 as double) x, any_value(t // 86400000000 % 7) d from EVENTS group by all), k as (select x, x + d * 1000000::double y from c),
+p as (select *, lead(x) over (order by x) x2, lead(y) over (order by x) y2 from k),
+i as (select event_id, t::double a, t::double + floor(value * 1000000::double) b from EVENTS),
+m as (select i.event_id, coalesce(p.y + (i.a - p.x) * (p.y2 - p.y) / (p.x2 - p.x), p.y + i.a - p.x, i.a) s, i.b from i asof left join p on i.a >= p.x),
+n as (select m.event_id, s, coalesce(p.y + (m.b - p.x) * (p.y2 - p.y) / (p.x2 - p.x), p.y + m.b - p.x, m.b) e from m asof left join p on m.b >= p.x)
+select event_id, cast(floor(s) as bigint) start_us, cast(floor(greatest(30000::double, e - s)) as bigint) sustain_us from n""")
+def warp_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = events(spark, sf_dir).select("event_id", F.col("t").cast("double").alias("a"), (F.col("t").cast("double") + F.floor(F.col("value") * 1e6).cast("double")).alias("b"))
+    days = events(spark, sf_dir).select(F.expr("t div 86400000000").alias("d")).distinct()
+    controls = days.select((F.col("d") * 86_400_000_000).cast("double").alias("x")).withColumn("y", F.col("x") + F.expr("cast(x as bigint) div 86400000000 % 7") * F.lit(1e6))
+    begun = joins.apply_map(rows, "a", controls, "s", 24 * HOUR_US)
+    both = joins.apply_map(begun, "b", controls, "e", 24 * HOUR_US)
+    return both.select("event_id", F.floor("s").cast("long").alias("start_us"), F.floor(F.greatest(F.lit(30000.0), F.col("e") - F.col("s"))).cast("long").alias("sustain_us"))
+
+
+@query(f"""with h as (select role, hour, hour * {HOUR_US} n, min(t) w from EVENTS group by all),
+d as (select *, (lead(w) over o - w)::double len, (lead(n) over o - n)::double plan from h window o as (partition by role order by n)),
+f as (select *, coalesce(len <= 0 or len < 200000 or len / plan < 0.3::double or len / plan > 2::double or 240000000::double / len > 400, false) flag from d),
+b as (select *, flag or coalesce(lag(flag) over (partition by role order by n), false) bad from f),
+p as (select *, last_value(case when not bad then {{'n': n::double, 'w': w::double}} end ignore nulls) over (partition by role order by n rows between unbounded preceding and 1 preceding) l,
+ first_value(case when not bad then {{'n': n::double, 'w': w::double}} end ignore nulls) over (partition by role order by n rows between 1 following and unbounded following) r from b)
+select role, hour, cast(bad as int) bad, cast(floor(case when bad and r.w > l.w then l.w + (n::double - l.n) / (r.n - l.n) * (r.w - l.w) else w::double end) as bigint) clean_us from p""")
+def sanitize_downbeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first = events(spark, sf_dir).groupBy("role", "hour").agg(F.min("t").alias("w")).withColumn("n", F.col("hour") * HOUR_US)
+    got = gates.sanitize_intervals(first, ["role"], "n", "w", F.lit(4), 1e6)
+    return got.select("role", "hour", F.col("bad").cast("int").alias("bad"), F.floor("clean").cast("long").alias("clean_us"))
+
+
+@query(f"""with v as (select event_id id, t from EVENTS where role = 'view'), c as (select event_id other_id, t u from EVENTS where role = 'click'),
+n as (select v.id, v.t, c.u - v.t residual, row_number() over (partition by v.id order by abs(c.u - v.t), c.u, c.other_id) r from v join c on c.u between v.t - 600000000 and v.t + 600000000),
+k as (select (t + {HOUR_US // 2}) // {HOUR_US} checkpoint, residual from n where r = 1), s as (select * from k where checkpoint % 4 = 0),
+m as (select checkpoint, count(*) n, median(residual) med from s group by checkpoint),
+g as (select checkpoint, any_value(n) n, any_value(med) med, median(abs(residual - med)) mad from s join m using (checkpoint) group by checkpoint)
+select checkpoint, n, case when n >= 3 then cast(floor(med) as bigint) end as median_us, case when n >= 3 then cast(floor(mad) as bigint) end as mad_us, cast(n >= 3 and abs(med) <= 600000000 and mad <= 240000000 as int) accepted from g""")
+def checkpoint_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = events(spark, sf_dir)
+    views = rows.where("role = 'view'")
+    near = joins.nearest_within(views, rows.where("role = 'click'"), "event_id", "t", "event_id", "t", 600_000_000)
+    placed = near.join(views.select(F.col("event_id").alias("id"), F.expr(f"(t + {HOUR_US // 2}) div {HOUR_US}").alias("checkpoint")).where("checkpoint % 4 = 0"), "id")
+    got = gates.checkpoint_gate(placed, ["checkpoint"], "residual", 600e6, 240e6)
+    return got.select("checkpoint", "n", F.floor("median").cast("long").alias("median_us"), F.floor("mad").cast("long").alias("mad_us"), F.col("accepted").cast("int").alias("accepted"))
+
+
+@query(f"""with r as (select role, value >= 5::double ok, (t % {HOUR_US})::double / 10000000::double res, value / (value + 10::double) c from EVENTS),
+m as (select role, median(res) m from r where ok group by role), d as (select role, median(abs(res - m)) mad from r join m using (role) where ok group by role),
+a as (select role, count(*) n, count(*) filter (ok) n_accepted, coalesce(median(c) filter (ok), 0::double) confidence from r group by role)
+select role, n, n_accepted, {_sql_scaled("n_accepted::double / n::double * 0.35::double + confidence * 0.4::double + 1::double / (1::double + (case when mad <> 0 then mad else 250::double end) / 75::double) * 0.25::double", 1000000)} reliability from a left join d using (role)""")
+def role_reliability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = events(spark, sf_dir).select("role", (F.col("value") >= 5).alias("ok"), (F.expr(f"t % {HOUR_US}") / 1e7).alias("res"), (F.col("value") / (F.col("value") + 10)).alias("c"))
+    got = evidence.role_reliability(rows, ["role"], "ok", "res", "c")
+    return got.select("role", "n", "n_accepted", _scaled("reliability", 1_000_000).alias("reliability"))
+
+
+@query(f"""with s as (select hour // 24 as day, role, count(*) n, count(distinct hour)::double / 24::double cov, (max(t) - min(t))::double / ((max(hour) - min(hour)) * {HOUR_US})::double scale from EVENTS group by all having max(hour) > min(hour)),
+g as (select *, n >= 12 and cov >= 0.3::double and scale between 0.95::double and 1.05::double ok from s),
+b as (select day, max_by(role, {{'c': cov, 'e': n, 's': scale, 'r': role}}) filter (ok) best, max_by(scale, {{'c': cov, 'e': n, 's': scale, 'r': role}}) filter (ok) bs from g group by day),
+w as (select g.day, best, bs, scale, case when ok and abs(scale - bs) <= 0.005::double then greatest(1::double, cov * n::double) end w from g join b on g.day = b.day)
+select day, best, count(w) agreeing, {_sql_scaled("case when count(w) >= 2 then sum(scale * w) / sum(w) else coalesce(any_value(bs), 1::double) end", 1000000)} scale from w group by day, best""")
+def scale_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seen = events(spark, sf_dir).groupBy(F.expr("hour div 24").alias("day"), "role").agg(F.count("*").alias("n"), (F.count_distinct("hour") / 24).alias("cov"), (F.max("t") - F.min("t")).cast("double").alias("d"), ((F.max("hour") - F.min("hour")) * HOUR_US).cast("double").alias("p"))
+    rows = seen.where("p > 0").withColumn("scale", F.col("d") / F.col("p")).withColumn("same", F.lit(0))
+    gated = gates.with_reasons(rows, {"insufficient_events": F.col("n") < 12, "insufficient_coverage": F.col("cov") < 0.3, "implausible_scale": ~F.col("scale").between(0.95, 1.05)})
+    got = evidence.choose_scale(gated, ["day"], "role", "scale", "cov", "n", "same", "accepted")
+    return got.select("day", "best", "agreeing", _scaled("scale", 1_000_000).alias("scale"))
+
+
+@query("""with w as (select role, hour, min(t) a from EVENTS where user_id % 2 = 0 group by all), x as (select *, lead(a) over (partition by role order by a) z from w),
+e as (select event_id, role, t + cast(floor(value * 1000000::double) as bigint) // 2 as mid from EVENTS where user_id % 2 = 1)
+select e.event_id, x.hour as word, row_number() over (partition by e.role, x.hour order by e.mid, e.event_id) - 1 as ordinal from e asof join x on e.role = x.role and e.mid >= x.a where e.mid < x.z""")
+def midpoint_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = events(spark, sf_dir)
+    words = rows.where("user_id % 2 = 0").groupBy("role", F.col("hour").alias("word")).agg(F.min("t").alias("a"))
+    words = words.withColumn("z", F.lead("a").over(Window.partitionBy("role").orderBy("a")))
+    notes = rows.where("user_id % 2 = 1").select("event_id", "role", (F.col("t") + F.expr("cast(floor(value * 1e6D) as bigint) div 2")).alias("mid"))
+    inside = joins.asof(notes, words, ["role"], "mid", "a", ["word", "z"], 24 * HOUR_US).where("mid < z")
+    by = Window.partitionBy("role", "word").orderBy("mid", "event_id")
+    return inside.select("event_id", "word", (F.row_number().over(by) - 1).cast("long").alias("ordinal"))
+
+
+@query(f"""with s as (select unnest([role, 'any']) grp, user_id, hour // 24 as day, t x, cast(floor(value * 100::double + 0.5::double) as bigint) y from EVENTS),
+m as (select grp, user_id, day, count(*) n, max(x) - min(x) span_us, median(y) med from s group by all),
+d as (select grp, user_id, day, median(abs(y - med)) mad from s join m using (grp, user_id, day) group by all),
+l as (select a.grp, a.user_id, a.day, median((b.y - a.y)::double / (b.x - a.x)::double) slope from s a join s b on a.grp = b.grp and a.user_id = b.user_id and a.day = b.day and b.x > a.x group by all)
+select grp, user_id, day, n, span_us, {_sql_scaled("med")} median, {_sql_scaled("mad")} mad, {_sql_scaled("slope * 3600000000::double")} slope_hour from m join d using (grp, user_id, day) left join l using (grp, user_id, day)""")
+def trend_by_exploded_role(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = events(spark, sf_dir).select(F.explode(F.array("role", F.lit("any"))).alias("grp"), "user_id", F.expr("hour div 24").alias("day"), F.col("t").alias("x"), F.floor(F.col("value") * 100 + 0.5).cast("long").alias("y"))
+    got = evidence.trend(rows, ["grp", "user_id", "day"], "x", "y").withColumn("slope_hour", F.col("slope") * 3.6e9)
+    return got.select("grp", "user_id", "day", "n", F.col("span").alias("span_us"), _scaled("median").alias("median"), _scaled("mad").alias("mad"), _scaled("slope_hour").alias("slope_hour"))
+
+
+@query(f"""with r as (select role, hour // 24 as day, (t % 400000000)::double / 1000000::double - 200::double x from EVENTS),
+m as (select role, day, median(x) c, median(abs(x)) a from r group by all), k as (select role, day, any_value(c) c, any_value(a) a, median(abs(x - c)) d from r join m using (role, day) group by all),
+p as (select role, day, 'baseline' as method, 0::double total from k union all
+select role, day, 'offset', a - d - 10::double - case when abs(c) >= 60 then 15::double else 0::double end - case when abs(c) >= 180 then 1000::double else 0::double end - greatest(0::double, abs(c) - 60::double) * 0.25::double from k)
+select role, day, method, {_sql_scaled("total")} total, row_number() over (partition by role, day order by total desc, method) as rank from p""")
+def proposal_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = events(spark, sf_dir).select("role", F.expr("hour div 24").alias("day"), (F.expr("t % 400000000").cast("double") / 1e6 - 200).alias("x"))
+    keys = ["role", "day"]
+    fits = robust.median_and_mad(rows, keys, "x").join(rows.groupBy(*keys).agg(F.median(F.abs("x")).alias("a")), keys)
+    size = F.abs("median")
+    zero = {c: F.lit(0.0) for c in ("improvement", "base_mad", "mad", "controls", "warnings", "errors", "jump")}
+    moved = zero | {"improvement": F.col("a") - F.col("mad"), "controls": F.lit(2.0), "warnings": F.when(size >= 60, 1.0).otherwise(0.0), "errors": F.when(size >= 180, 1.0).otherwise(0.0), "jump": size}
+    made = [fits.select(*keys, F.lit(method).alias("method"), *(c.alias(n) for n, c in columns.items())) for method, columns in (("baseline", zero), ("offset", moved))]
+    got = evidence.rank_proposals(made[0].unionByName(made[1]), keys, "method")
+    return got.select(*keys, "method", _scaled("total").alias("total"), F.col("rank").cast("long").alias("rank"))
+
+
+@query(f"""with h as (select role, hour, case when count(*) >= 4 then 'strong' when count(*) = 3 then 'good' when count(*) = 2 then 'average' else 'weak' end q, max(t) - min(t) + 1 as len from EVENTS group by all),
+s as (select role, q, sum(len) n from h group by all),
+c as (select role, sum((case q when 'strong' then 0.91::double when 'good' then 0.76::double when 'average' then 0.59::double else 0.42::double end) * n::double) / sum(n)::double c from s group by role)
+select role, {_sql_scaled("c")} confidence, case when c >= 0.82::double then 'strong' when c >= 0.67::double then 'good' when c >= 0.5::double then 'average' else 'weak' end overall from c""")
+def quality_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.count("*")
+    quality = F.when(n >= 4, "strong").when(n == 3, "good").when(n == 2, "average").otherwise("weak")
+    hours = events(spark, sf_dir).groupBy("role", "hour").agg(quality.alias("q"), (F.max("t") - F.min("t") + 1).alias("len"))
+    got = evidence.quality_rollup(hours, ["role"], "q", "len", evidence.QUALITY_SCORE)
+    return got.select("role", _scaled("confidence").alias("confidence"), "overall")
+
+
+@query("""with g as (select *, case when t - lag(t) over w <= 1200000000 then 0 else 1 end s from EVENTS window w as (partition by role order by t, event_id)),
+n as (select *, sum(s) over (partition by role order by t, event_id) group_no from g)
+select role, min(t) first_us, max(t) last_us, count(*) n from n group by role, group_no""")
+def onset_group_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a stream of files, replayed to its end."""
+    schema = table(spark, sf_dir, "events").schema
+    files = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(f"{sf_dir}/*.parquet")
+    rows = files.select(F.col("event_type").alias("role"), F.expr(f"timestamp_micros({micros('ts')})").alias("at"))
+    return onsets.replay(spark, onsets.chain_groups(rows, ["role"], "at", 1_200_000_000, "1 hour"))
