@@ -168,6 +168,22 @@ def test_embedding_links_against_brute_force(spark):
     assert all(got[i].n_links == 0 and got[i].kept for i in (900, 901, 902))
 
 
+def test_embedding_links_within_a_crowd(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "CROWD", 64)
+    rng = np.random.default_rng(6)
+    centre = rng.normal(size=64)
+    centre *= 1.36 / np.linalg.norm(centre)
+    x = [centre + rng.normal(size=64) / 8 for _ in range(1600)]  # mutual cosine about 0.65
+    x += [v + rng.normal(size=64) * 0.045 for v in x[:300]]  # links of cosine about 0.97
+    order = rng.permutation(len(x))
+    rows = [(i, [float(c) for c in x[k]]) for i, k in enumerate(order.tolist())]
+    got = {r.vec_id: r.n_links for r in embedding_dedup.link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    u = np.array(x)[order]
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    want = (u @ u.T >= 0.95).sum(1) - 1
+    assert want.sum() > 500 and [got[i] for i in range(len(u))] == want.tolist()
+
+
 def test_fingerprints_against_brute_force(spark):
     texts = ["Ａbc  d", "abc d", "", None, "Straße x", "STRASSE x", "é longer text here"]
     plain = [t or "" for t in texts]

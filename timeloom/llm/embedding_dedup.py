@@ -1,11 +1,11 @@
 """Near-duplicate vectors by randomised-rotation binary codes.
 
-Each vector is rotated at random and kept as sign bits with a correction
-factor. Groups of bits bring together vectors that may be close; from a code
-and its factor follow an unbiased estimate of the cosine to another vector
-and a confidence bound, and only pairs whose bound reaches the limit are
-computed exactly, in double precision. Vectors that hang together loosely are
-then compared block by block, so links are counted without a row per pair.
+Each vector is rotated at random; groups of its sign bits bring together
+vectors that may be close, and a code of eight bits a coordinate goes with
+them. In a group all members are compared with each other by their codes,
+whose distance from the vectors bounds the cosine from above. Vectors that
+hang together loosely are then compared block by block, exactly, in double
+precision, so links are counted without a row per pair.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ from timeloom.llm.runtime import cut, map_arrow
 from timeloom.llm.textarrays import mix
 
 BLOCK = 512
+CROWD = 1024  # members of a bucket compared at once; fuller buckets are dealt out in pairs of such blocks
+FEW = 16  # buckets of so many members are compared many at a time
 
 
 @functools.lru_cache(64)
@@ -66,19 +68,13 @@ def sign_keys(x: np.ndarray, bits: int, bands: int) -> np.ndarray:
         return mix(keys * np.uint64(0x9E3779B97F4A7C15) + np.arange(bands, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(dim)).view(np.int64)
 
 
-def code(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Packed sign bits of the first rotation and the correction factor <code, vector> of unit rows."""
+def code(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Eight-bit coordinates of the first rotation of unit rows, their scale and a bound of the distance to the row."""
     z = x @ rotation(x.shape[1], 0)
-    return np.packbits(z > 0, axis=1), np.abs(z).sum(axis=1) / math.sqrt(x.shape[1])
-
-
-def estimate(queries: np.ndarray, bits: np.ndarray, factor: np.ndarray, sigmas: float = 4.0) -> tuple[np.ndarray, np.ndarray]:
-    """Unbiased cosine of unit queries to coded vectors, row by row, and its confidence bound."""
-    dim = queries.shape[1]
-    signs = np.unpackbits(bits, axis=1, count=dim).astype(np.float64) * 2 - 1
-    z = queries @ rotation(dim, 0)
-    value = (z * signs).sum(axis=1) / math.sqrt(dim) / factor
-    return value, sigmas * np.sqrt(np.maximum(1 - factor**2, 0)) / factor / math.sqrt(max(dim - 1, 1))
+    scale = (np.abs(z).max(axis=1) / 127).astype(np.float32)
+    q = np.clip(np.rint(z / scale[:, None]), -127, 127).astype(np.int8)
+    away = np.sqrt(((z - q * scale[:, None].astype(np.float64)) ** 2).sum(axis=1))
+    return q, scale, np.nextafter((away + 1e-5).astype(np.float32), np.float32(1))
 
 
 def _by_dim(arrays: list) -> dict[int, list[int]]:
@@ -107,12 +103,68 @@ def _units(column: pa.Array) -> list[np.ndarray]:
     return [np.frombuffer(b, np.float64) for b in column.to_pylist()]
 
 
+def _least_linked(key: np.ndarray, near: np.ndarray) -> np.ndarray:
+    """Least key over what is linked with each member, itself included."""
+    reach = near.copy()
+    np.fill_diagonal(reach, True)
+    least = key.copy()
+    while True:
+        values = np.unique(least)
+        rank = np.searchsorted(values, least)
+        new = values[np.where(reach, rank[None, :], len(values)).min(axis=1)]
+        if (new == least).all():
+            return least
+        least = new
+
+
+def compare_buckets(place: np.ndarray, key: np.ndarray, side: np.ndarray, crossed: np.ndarray, packed: list[bytes], limit: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of keys that connect what may reach the limit among all members of each place (of both sides, where crossed).
+
+    ``packed``: scale, distance and coordinates of each member. A cosine
+    differs from that of the codes by no more than the distances allow.
+    """
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    by_size: dict[int, list[int]] = {}
+    for i, raw in enumerate(packed):
+        by_size.setdefault(len(raw), []).append(i)
+    for rows in by_size.values():
+        rows = np.array(rows)[np.argsort(place[rows], kind="stable")]
+        raw = np.frombuffer(b"".join(packed[i] for i in rows), np.uint8).reshape(len(rows), -1)
+        head = np.ascontiguousarray(raw[:, :8]).view(np.float32)
+        x = raw[:, 8:].view(np.int8).astype(np.float32) * head[:, :1]
+        away, own = head[:, 1].astype(np.float64), key[rows]
+        where, part, cross = place[rows], side[rows], crossed[rows]
+        starts = np.flatnonzero(np.concatenate(([True], where[1:] != where[:-1])))
+        sizes = np.diff(np.append(starts, len(rows)))
+        each = np.repeat(sizes, sizes)
+        for step in range(1, min(FEW, int(sizes.max()))):
+            at = np.flatnonzero((where[step:] == where[:-step]) & (each[step:] <= FEW))
+            at = at[~cross[at] | (part[at] != part[at + step])]
+            for some in np.array_split(at, len(at) // 65536 + 1):
+                value = np.einsum("ij,ij->i", x[some], x[some + step])
+                hit = some[value + away[some] + (1 + away[some]) * away[some + step] >= limit - 1e-5]
+                a.append(own[hit])
+                b.append(own[hit + step])
+        for start, n in zip(starts[sizes > FEW].tolist(), sizes[sizes > FEW].tolist(), strict=True):
+            here = slice(start, start + n)
+            slack = away[here].astype(np.float32)
+            near = x[here] @ x[here].T + slack[:, None] + (1 + slack[:, None]) * slack[None, :] >= limit - 1e-5
+            if cross[start]:
+                near &= part[here][:, None] != part[here][None, :]
+            near |= near.T
+            some = np.flatnonzero(near.sum(axis=1) > near.diagonal())
+            if len(some):
+                a.append(own[here][some])
+                b.append(_least_linked(own[here][some], near[np.ix_(some, some)]))
+    return np.concatenate(a), np.concatenate(b)
+
+
 def loose_pairs(vectors: DataFrame, limit: float) -> DataFrame:
     """Pairs (a, b) of keys near enough that every link lies within what they connect.
 
-    In each bucket all members are paired with one of them. If x and y link
-    and that one links with x, y is within twice the angle of the limit, so
-    pairs are kept up to twice that angle.
+    In each bucket all members are compared with each other, and pairs within
+    twice the angle of the limit connect, so that a link whose two vectors
+    never meet can still be found through a third one.
     """
     bits, bands = band_plan(vectors.count(), limit)
     wide = math.cos(2 * math.acos(limit)) - 1e-9
@@ -121,40 +173,27 @@ def loose_pairs(vectors: DataFrame, limit: float) -> DataFrame:
         for batch in batches:
             units, own = _units(batch.column("unit")), batch.column("key").to_numpy()
             for rows in _by_dim(units).values():
-                made = sign_keys(np.stack([units[i] for i in rows]), bits, bands)
-                yield pa.RecordBatch.from_arrays([pa.array(made.ravel()), pa.array(np.repeat(own[rows], bands))], names=["bucket", "key"])
-
-    def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            units, own = _units(batch.column("unit")), batch.column("key").to_numpy()
-            for rows in _by_dim(units).values():
-                packed, factor = code(np.stack([units[i] for i in rows]))
-                yield pa.RecordBatch.from_arrays([pa.array(own[rows]), pa.array([p.tobytes() for p in packed], pa.binary()), pa.array(factor)], names=["b", "code", "factor"])
-
-    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            queries, packed, factor = _units(batch.column("unit")), batch.column("code").to_pylist(), batch.column("factor").to_numpy()
-            keep = np.zeros(len(queries), bool)
-            for dim, rows in _by_dim(queries).items():
-                rows = [i for i in rows if len(packed[i]) == -(-dim // 8)]
-                if rows:
-                    value, error = estimate(np.stack([queries[i] for i in rows]), np.stack([np.frombuffer(packed[i], np.uint8) for i in rows]), factor[rows])
-                    keep[rows] = value + error >= wide
-            chosen = pa.array(np.flatnonzero(keep))
-            yield pa.RecordBatch.from_arrays([batch.column(n).take(chosen) for n in ("a", "b", "unit")], names=["a", "b", "unit"])
-
-    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = _units(batch.column("unit")), _units(batch.column("other"))
-            keep = pa.array([i for i, (x, y) in enumerate(zip(left, right, strict=True)) if len(x) == len(y) and x @ y >= wide], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(n).take(keep) for n in ("a", "b")], names=["a", "b"])
-
-    members = cut(map_arrow(vectors, keys, "bucket bigint, key bigint", 2000))
-    heads = members.groupBy("bucket").agg(F.min("key").alias("a"), F.count("*").alias("n")).where("n > 1").select("bucket", "a")
-    pairs = members.join(heads, "bucket").where("key <> a").select("a", F.col("key").alias("b")).distinct()
-    coded = vectors.mapInArrow(codes, "b bigint, code binary, factor double")
-    near = pairs.join(vectors.withColumnRenamed("key", "a"), "a").join(coded, "b").mapInArrow(bounded, "a bigint, b bigint, unit binary")
-    return near.join(vectors.select(F.col("key").alias("b"), F.col("unit").alias("other")), "b").select("a", "b", "unit", "other").mapInArrow(exact, "a bigint, b bigint")
+                x = np.stack([units[i] for i in rows])
+                made, (q, scale, away) = sign_keys(x, bits, bands), code(x)
+                packed = np.concatenate((scale[:, None].view(np.uint8), away[:, None].view(np.uint8), q.view(np.uint8)), axis=1)
+                codes = pa.array([p.tobytes() for p in packed], pa.binary()).take(pa.array(np.repeat(np.arange(len(rows)), bands)))
+                yield pa.RecordBatch.from_arrays([pa.array(made.ravel()), pa.array(np.repeat(own[rows], bands)), codes], names=["bucket", "key", "code"])
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        place = group.groupby(["bucket", "i", "j"], sort=False).ngroup().to_numpy()
+        a, b = compare_buckets(place, group["key"].to_numpy(), group["side"].to_numpy(), (group["i"] != group["j"]).to_numpy(), group["code"].tolist(), wide)
+        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).query("a != b").drop_duplicates()
+
+    members = map_arrow(vectors, keys, "bucket bigint, key bigint, code binary", 1000)
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    sizes = cut(sizes.select("bucket", F.ceil(F.col("n") / CROWD).cast("int").alias("blocks"), "n"))
+    rows = sizes.agg(F.sum(F.col("n") * F.col("blocks"))).first()[0] or 0
+    parts = max(1, rows // 16_384)
+    dealt = members.join(sizes.select("bucket", "blocks"), "bucket").withColumn("side", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("bucket", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "key", "code")
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(parts)))
+    return dealt.groupBy("part").applyInPandas(compare, "a bigint, b bigint")
 
 
 def count_block(group: pd.DataFrame, limit: float) -> pd.DataFrame:
@@ -169,17 +208,7 @@ def count_block(group: pd.DataFrame, limit: float) -> pd.DataFrame:
             np.fill_diagonal(near, False)
             counted = near if i == j else near & (side[:, None] != side[None, :])
             order = np.argsort(key)
-            least = key.copy()
-            reach = near.copy()
-            np.fill_diagonal(reach, True)
-            while True:  # least key over what is linked
-                rank = np.empty(len(key), np.int64)
-                values = np.unique(least)
-                rank = np.searchsorted(values, least)
-                new = values[np.where(reach, rank[None, :], len(values)).min(axis=1)]
-                if (new == least).all():
-                    break
-                least = new
+            least = _least_linked(key, near)
             keys.append(key[order])
             links.append((counted @ copies)[order])
             heads.append(least[order])
