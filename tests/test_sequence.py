@@ -83,3 +83,28 @@ def test_asof_in_stretches_is_the_same(spark):
     right = spark.createDataFrame([("a", 2, 1), ("a", 11, 2), ("a", 30, 3), ("b", -5, 4)], "k string, s long, v long")
     plain, dealt = (sorted(map(str, joins.asof(left, right, ["k"], "t", "s", ["v", "s"], w).collect())) for w in (None, 4))
     assert plain == dealt
+
+
+def test_viterbi_in_stretches(monkeypatch):
+    rng = np.random.default_rng(9)
+    layers = [np.arange(k * 9, k * 9 + 9) for k in range(6)]
+    confidence, residual = rng.random(54), rng.normal(0, 150, 54)
+    whole = sequence.viterbi(layers, confidence, residual)
+    monkeypatch.setattr(sequence, "CELLS", 25)
+    assert sequence.viterbi(layers, confidence, residual) == whole
+
+
+def test_path_queries_take_every_event(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    from timeloom.plans import queries
+
+    start = datetime(2024, 1, 1)
+    rows = []
+    for hour in range(4):  # five strong events that don't go on in the next hour, and a weak one that does
+        rows += [(hour * 10 + k, "view", k, start + timedelta(hours=hour, minutes=1 if hour % 2 else 50, seconds=k), 90.0, None) for k in range(5)]
+        rows.append((hour * 10 + 9, "view", 9, start + timedelta(hours=hour, minutes=25), 1.0, None))
+    spark.createDataFrame(rows, "event_id long, event_type string, user_id long, ts timestamp_ntz, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    assert [r.chosen for r in queries.chain_path(spark, str(tmp_path)).orderBy("step").collect()] == [9, 19, 29, 39]
+    assert queries.beam_path(spark, str(tmp_path)).count() == queries.viterbi_path(spark, str(tmp_path)).count() == 4
+    assert queries._candidates(spark, str(tmp_path)).count() == 24

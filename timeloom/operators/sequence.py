@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 SKIP = 0.42  # cost of leaving a layer without a candidate
 DRIFT_MS, DRIFT_MOST = 120.0, 2.0  # scale and ceiling of the cost of a change in residual
 BEND_MS, BEND_MOST = 180.0, 1.5  # the same for a change of that change
+CELLS = 1_000_000  # transitions weighed at once; a fuller layer is taken in stretches
 
 
 def per_group(rows: DataFrame, keys: list[str], order: list[str], kernel: Callable[[pd.DataFrame], dict], schema: str) -> DataFrame:
@@ -85,16 +86,21 @@ def viterbi(layers: list[np.ndarray], confidence: np.ndarray, residual: np.ndarr
             came.append(np.zeros(len(now), int))
             continue
         before = states[at - 1]
-        step = residual[now][None, :] - residual[before][:, None]
-        both = (before >= 0)[:, None] & (now >= 0)[None, :]
-        cost = np.where(both, np.minimum(DRIFT_MOST, np.abs(step) / DRIFT_MS), 0.0)
-        if at > 1:
-            older = states[at - 2][came[-1]]
-            bend = np.abs(step - (residual[before] - residual[older])[:, None])
-            cost += np.where(both & (older >= 0)[:, None], np.minimum(BEND_MOST, bend / BEND_MS), 0.0)
-        whole = reached[-1][:, None] + cost + own[None, :]
-        came.append(whole.argmin(axis=0))
-        reached.append(whole.min(axis=0))
+        older = states[at - 2][came[-1]] if at > 1 else None
+        ways, least = [], []
+        for some in np.array_split(np.arange(len(now)), -(-len(now) * len(before) // CELLS)):
+            to = now[some]
+            step = residual[to][None, :] - residual[before][:, None]
+            both = (before >= 0)[:, None] & (to >= 0)[None, :]
+            cost = np.where(both, np.minimum(DRIFT_MOST, np.abs(step) / DRIFT_MS), 0.0)
+            if older is not None:
+                bend = np.abs(step - (residual[before] - residual[older])[:, None])
+                cost += np.where(both & (older >= 0)[:, None], np.minimum(BEND_MOST, bend / BEND_MS), 0.0)
+            whole = reached[-1][:, None] + cost + own[some][None, :]
+            ways.append(whole.argmin(axis=0))
+            least.append(whole.min(axis=0))
+        came.append(np.concatenate(ways))
+        reached.append(np.concatenate(least))
     state, path = int(reached[-1].argmin()), []
     for at in range(len(states) - 1, -1, -1):
         path.append(int(states[at][state]))

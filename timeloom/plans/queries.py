@@ -261,10 +261,8 @@ def softmax_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The five strongest events of each role and hour, keyed by role and day: candidates as the path kernels take them."""
-    by = Window.partitionBy("role", "hour").orderBy(F.desc("value"), "event_id")
-    best = events(spark, sf_dir).withColumn("rank", F.row_number().over(by)).where("rank <= 5")
-    return best.select("role", F.expr("hour div 24").alias("day"), "hour", "event_id", "t", (F.col("value") / (F.col("value") + 10)).alias("confidence"), (F.expr(f"t % {HOUR_US}") / 1e7).alias("residual_ms"))
+    """Every event, keyed by role and day: candidates of the hour's layer as the path kernels take them."""
+    return events(spark, sf_dir).select("role", F.expr("hour div 24").alias("day"), "hour", "event_id", "t", (F.col("value") / (F.col("value") + 10)).alias("confidence"), (F.expr(f"t % {HOUR_US}") / 1e7).alias("residual_ms"))
 
 
 @query()
