@@ -123,6 +123,23 @@ def test_language_identification(spark):
     assert ((score >= 0) & (score <= 1)).all()
 
 
+def test_language_rejection_of_a_left_out_language_and_junk():
+    rng = random.Random(3)
+    syllables = {"a": "th er en st ing ou wh an ed ly on at".split(), "b": "sch un ge ver ich keit ei zu er ben au st".split(), "c": "ció os ar el que ja ez la en do st es".split()}
+    words = {y: ["".join(rng.choices(s, k=rng.randint(1, 4))) for _ in range(200)] for y, s in syllables.items()}
+    text = lambda y, n=80: " ".join(rng.choices(words[y], k=n))
+    rows = [(text(y, rng.randint(20, 120)), y) for _ in range(900) for y in "ab"]
+    for at, bad in ((38, "xq zzkw vvj " * 9), (59, text("c"))):  # held out under a wrong label
+        rows[at] = (bad, rows[at][1])
+    model = langid.train([t for t, _ in rows], [y for _, y in rows])
+    accepted = lambda texts: model.decide(texts)[2].mean()
+    assert accepted([text(y) for y in "ab" for _ in range(100)]) >= 0.97
+    assert accepted([text("c") for _ in range(100)]) <= 0.03
+    assert accepted(["".join(rng.choices("abcdefghijklmnopqrstuvwxyz  ", k=400)) for _ in range(100)]) <= 0.03
+    few = langid.train([text(y) for _ in range(8) for y in "ab"], ["a", "b"] * 8)
+    assert few.decide([text(y) for y in "ab" for _ in range(50)])[2].mean() >= 0.9 and few.decide(["xq zzkw vvj " * 9])[2].mean() == 0
+
+
 def brute_groups(texts, percent=75):
     sets = []
     for t in texts:

@@ -71,7 +71,7 @@ class Model:
     tables: list[Table]
     unseen: float
     sharpness: float
-    limits: np.ndarray  # per language: highest accepted cross-entropy of a long text
+    limits: np.ndarray  # per language: highest accepted cross-entropy of an endless text
     slack: np.ndarray  # per language: what a text of n characters may have beyond it, times sqrt(n)
     number: np.ndarray | None = None
 
@@ -191,15 +191,57 @@ def kneser_ney(ids: list[np.ndarray], alphabet: int) -> list[tuple[np.ndarray, n
     return out
 
 
-def train(texts: list[str], labels: list[str]) -> Model:
-    """Fits one model per label; a tenth of the texts is kept to calibrate scores and rejection."""
+def pieces(text: str, words: int = 6) -> list[str]:
+    """Stretches of so many words, spread over the text, 20 at most."""
+    split = text.split()
+    starts = range(0, max(1, len(split) - words + 1), words)
+    return [" ".join(split[at : at + words]) for at in starts[:: -(-len(starts) // 20)]]
+
+
+def rejection(model: Model, texts: list[str], h: np.ndarray, length: np.ndarray, truth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Limits and slack from held-out texts and their cross-entropies.
+
+    The slack follows from how far short stretches lie above their own text.
+    The limit lies twice as far above a language's median as the 0.98
+    quantile, lengths taken into account, so a few junk or wrongly labelled
+    texts do not move it. Languages with under 50 texts take at least the
+    distance of all together; one without any is never rejected.
+    """
+    own = np.where(length > 0, h[np.arange(len(h)), truth], 0.0)
+    rise: list[list[np.ndarray]] = [[] for _ in model.languages]
+    for at in np.flatnonzero(length > 0).tolist():
+        short, n = model.entropies(pieces(texts[at]))
+        rise[truth[at]].append(((short[:, truth[at]] - own[at]) * np.sqrt(n))[n > 0])
+    slack = np.array([max(0.0, float(np.quantile(np.concatenate(r), 0.99))) if r and sum(map(len, r)) else 0.0 for r in rise])
+    adjusted = own - slack[truth] / np.sqrt(np.maximum(length, 1))
+    parts = [adjusted[(truth == i) & (length > 0)] for i in range(len(model.languages))]
+    every = np.concatenate([x - np.median(x) for x in parts if len(x)] or [np.zeros(1)])
+    limits = np.full(len(parts), np.inf)
+    for i, x in enumerate(parts):
+        if len(x):
+            centre = float(np.median(x))
+            away = float(np.quantile(x, 0.98)) - centre
+            limits[i] = centre + 2 * (away if len(x) >= 50 else max(away, float(np.quantile(every, 0.98))))
+    return limits, slack
+
+
+def train(texts: list[str], labels: list[str], held: np.ndarray | None = None) -> Model:
+    """Fits one model per label; a tenth of each label's texts is kept to calibrate scores and rejection.
+
+    Where texts are too few for that, rejection is calibrated by a model of half of them.
+    """
     languages = sorted(set(labels))
     none = np.zeros(0)
     if not languages:
         return Model([], np.zeros(0, np.uint32), [], 0.0, 1.0, none, none)
-    held = np.arange(len(texts)) % 10 == 9
-    if len(texts) < 20 * len(languages):
-        held[:] = False
+    half = None
+    if held is None:
+        met: dict[str, int] = {}
+        rank = np.array([met.update({y: met.get(y, -1) + 1}) or met[y] for y in labels])  # among the texts of its label
+        held = rank % 10 == 9
+        if len(texts) < 20 * len(languages):
+            held[:] = False
+            half = train(texts, labels, rank % 2 == 1) if rank.any() else None
     folded = [fold(texts[part]) for part in slices(texts)]
     seen, n = _tally(points for points, _ in folded)
     letters = np.sort(seen[np.argsort(-n, kind="stable")[:65_000]])
@@ -232,14 +274,12 @@ def train(texts: list[str], labels: list[str]) -> Model:
     check = [i for i in range(len(texts)) if held[i]] or list(range(len(texts)))
     h, length = model.entropies([texts[i] for i in check])
     truth = np.array([languages.index(labels[i]) for i in check])
-    model.limits, model.slack = np.zeros(len(languages)), np.zeros(len(languages))
-    for i in range(len(languages)):
-        own = (truth == i) & (length > 0)
-        values = h[own, i]
-        centre = float(np.median(values)) if len(values) else 3.0
-        spread = float(np.median(np.abs(values - centre))) if len(values) else 1.0
-        model.limits[i] = max(centre + 12 * spread, float(values.max()) if len(values) else 0.0) + 0.75
-        model.slack[i] = 6.0
+    if held.any():
+        model.limits, model.slack = rejection(model, [texts[i] for i in check], h, length, truth)
+    elif half:
+        model.limits, model.slack = half.limits, half.slack
+    else:
+        model.limits, model.slack = np.full(len(languages), np.inf), np.zeros(len(languages))
     grid = np.array([0.1, 0.2, 0.5, 1.0, 2.0, 4.0, 8.0])
     gap = np.sqrt(np.maximum(length, 1))[:, None] * (h - h.min(axis=1, keepdims=True))
     loss = []
