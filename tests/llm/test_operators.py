@@ -97,6 +97,21 @@ def test_secret_scan_odd_rows(spark):
     assert len(got) == len(ODD) + 1 and got[0].base_sha256 == hashlib.sha256(b"").hexdigest()
 
 
+def test_secret_network_finds_planted_secrets():
+    rng = random.Random(7)
+    hexes = lambda n: "".join(rng.choices("0123456789abcdef", k=n))
+    prose = lambda: " ".join("".join(rng.choices(["ther", "ing", "and", "mo", "li", "sta"], k=rng.randint(1, 5))) for _ in range(30))
+    texts = [prose() + (f' token = "{hexes(40)}" ' if i % 4 == 0 else " mail.server.example.com ") + prose() for i in range(800)]
+    rows = [x for i, t in enumerate(texts) for x in secret_scan.examples(t, i)]
+    fit = getattr(secret_scan, "train_clean", secret_scan.train)
+    net = fit([w for w, _ in rows], [y for _, y in rows])
+    found = lambda made: sum(any(k == 3 for _, k, _ in x) for x in secret_scan.all_spans(made, net)[1]) / len(made)
+    assert found([f"{prose()} {hexes(31)} {prose()}" for _ in range(100)]) >= 0.9
+    assert found([f"{prose()} config.production.database.primary.connection={hexes(31)} {prose()}" for _ in range(100)]) >= 0.9
+    assert found([f"{prose()} /services/internal/hooks/production/incoming/{hexes(31)} {prose()}" for _ in range(100)]) >= 0.9
+    assert found([f"{prose()} lists.server.example.com {prose()}" for _ in range(100)]) <= 0.05
+
+
 def test_toxicity_learns_from_document_labels(spark):
     rng = random.Random(5)
     words = [f"w{i}" for i in range(300)]

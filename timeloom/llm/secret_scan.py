@@ -3,8 +3,11 @@
 Rules find assignments, access keys and long hexadecimal runs. Every other
 long token of a text is a candidate, which the network scores from its
 characters and those around it. The network is trained on the rules' findings
-(in their context, and with the context replaced, so that it knows a secret
-without its key word) against tokens that no rule reports.
+(in their context, with the context replaced, so that it knows a secret
+without its key word, and at the end of a path) against tokens that no rule
+reports. A long token is scored over overlapping frames; the highest counts.
+Tokens against which it is trained may hold secrets themselves, so those that
+a first network takes for findings are left out of the training of the second.
 """
 
 from __future__ import annotations
@@ -26,6 +29,9 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+NAME = re.compile(r"[A-Za-z]{3,12}")
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+PART = re.compile(r"[=/._-]+")  # between the parts of a path
 KINDS = ("assign", "access", "hex", "model")
 
 LEFT, INSIDE, RIGHT = 20, 32, 8
@@ -62,6 +68,19 @@ def window(text: str, start: int, end: int) -> str:
     return text[max(0, start - LEFT) : start].rjust(LEFT) + inside.ljust(INSIDE) + text[end : end + RIGHT].ljust(RIGHT)
 
 
+def windows_of(text: str, start: int, end: int) -> list[str]:
+    """Frames that cover the whole token, each half over the one before, and one from each part of a path on.
+
+    Frames after the first end where the token does or after INSIDE
+    characters; what is before a frame is shown as it stands.
+    """
+    starts = [start, *range(start + INSIDE // 2, end - INSIDE // 2, INSIDE // 2)]
+    if end - start > INSIDE:
+        starts.append(end - INSIDE)
+    starts += [m.end() for m in PART.finditer(text, start, end) if m.end() <= end - 12]
+    return [window(text, at, min(end, at + INSIDE)) if at > start else window(text, start, end) for at in sorted(set(starts))]
+
+
 def encode(windows: list[str]) -> np.ndarray:
     raw = np.frombuffer("".join(windows).encode("utf-32-le", "surrogatepass"), "<u4").reshape(-1, WINDOW)
     return np.minimum(raw, 128).astype(np.int64)
@@ -105,7 +124,7 @@ def train(windows: list[str], labels: list[int], filters: int = 16, width: int =
     """Fits the network by Adam, calibrates it and sets the threshold on a held-out fifth.
 
     The threshold is the highest one that keeps ``recall`` of the held-out
-    findings, but never below 0.5. Without both labels nothing is reported.
+    findings. Without both labels nothing is reported.
     """
     rng = np.random.default_rng(seed)
     y = np.array(labels, float)
@@ -149,31 +168,59 @@ def train(windows: list[str], labels: list[int], filters: int = 16, width: int =
         net.shift -= 0.05 * float((p - y[held]).mean()) if len(held) else 0.0
     if y[held].sum():
         p = 1 / (1 + np.exp(-(net.scale * logit + net.shift)))
-        net.threshold = max(0.5, float(np.quantile(p[y[held] > 0], 1 - recall)))
+        net.threshold = float(np.quantile(p[y[held] > 0], 1 - recall, method="lower"))
     return net
 
 
 def examples(text: str, seed: int) -> list[tuple[str, int]]:
-    """Labelled windows of one text: findings, the same without their context, and plain tokens."""
+    """Labelled windows of one text: findings, variants of them without their context, and plain tokens.
+
+    Variants are the finding bare, cut short, written in letters and digits
+    at random, and at the end of a path; plain tokens are the text's own and
+    paths made of its words.
+    """
     rng = np.random.default_rng(seed & 0xFFFFFFFF)
     spans = rule_spans(text)
     out = []
     words = KEYWORD.sub("", text)
+    names = NAME.findall(words)
+    path = lambda: "".join(names[i] + "./_-="[rng.integers(0, 5)] for i in rng.integers(0, len(names), rng.integers(1, 5))) if names else ""
     for start, kind, end in spans[:8]:
         if kind == 0:
             m = ASSIGN.match(text, start)
             start, end = m.span(2)
         out.append((window(text, start, end), 1))
-        at = int(rng.integers(0, max(1, len(words) - LEFT)))
-        bare = words[at : at + LEFT] + " " + text[start:end] + " " + words[:RIGHT]
-        begin = min(len(words[at : at + LEFT]) + 1, len(bare))
-        out.append((window(bare, begin, begin + end - start), 1))
+        own = text[start:end]
+        short = own[: int(rng.integers(16, max(17, min(len(own), 64) + 1)))]
+        other = "".join(LETTERS[i] for i in rng.integers(0, len(LETTERS), len(short)))
+        for before, value in (("", own), ("", short), ("", other), (path(), short), (path(), other)):
+            at = int(rng.integers(0, max(1, len(words) - LEFT)))
+            head = words[at : at + LEFT] + " " + before
+            out.append((window(head + value + " " + words[:RIGHT], len(head), len(head) + len(value)), 1))
     plain = candidates(text, spans)
     for i in rng.permutation(len(plain))[:2].tolist():
-        out.append((window(text, *plain[i]), 0))
+        frames = windows_of(text, *plain[i])
+        out += [(frames[k], 0) for k in sorted({0, int(rng.integers(0, len(frames)))})]
+    if names and rng.random() < 0.25:
+        made = "x " + path() + path() + names[0]
+        if not rule_spans(made):
+            frames = windows_of(made + " " + words[:RIGHT], 2, len(made))
+            out.append((frames[int(rng.integers(0, len(frames)))], 0))
     return out
 
 
+def train_clean(windows: list[str], labels: list[int]) -> Network:
+    """Trains without the plain tokens that a network of the other half of the examples takes for findings."""
+    y = np.array(labels)
+    keep = np.ones(len(y), bool)
+    side = np.random.default_rng(5).permutation(len(y)) % 2
+    for half in (0, 1):
+        judge = train([w for w, h in zip(windows, side, strict=True) if h != half], y[side != half].tolist())
+        rows = np.flatnonzero((side == half) & (y == 0))
+        keep[rows] = judge.probability([windows[i] for i in rows]) < max(0.5, judge.threshold)
+    return train([windows[i] for i in np.flatnonzero(keep)], y[keep].tolist())
+
+
 def fit(documents: DataFrame, sample: int = 20_000, examples_max: int = 12_000) -> Network:
     """Trains on about ``sample`` documents picked by a hash of doc_id, at most ``examples_max`` windows of each label."""
     texts = text_of(documents)
@@ -189,7 +236,7 @@ def fit(documents: DataFrame, sample: int = 20_000, examples_max: int = 12_000)
     got: list[tuple[str, int]] = []
     for label in (0, 1):
         got += [(r["view"], label) for r in rows.where(F.col("label") == label).orderBy(F.xxhash64("view"), "view").limit(examples_max).collect()]
-    return train([w for w, _ in got], [y for _, y in got])
+    return train_clean([w for w, _ in got], [y for _, y in got])
 
 
 def spans_text(spans: list[Span]) -> str:
@@ -201,8 +248,11 @@ def all_spans(texts: list[str], net: Network) -> tuple[list[list[Span]], list[li
     base = [rule_spans(t) for t in texts]
     more = [(i, s, e) for i, t in enumerate(texts) for s, e in candidates(t, base[i])]
     every = [list(b) for b in base]
-    p = net.probability([window(texts[i], s, e) for i, s, e in more])
-    for (i, s, e), hit in zip(more, p >= net.threshold, strict=True):
+    frames = [windows_of(texts[i], s, e) for i, s, e in more]
+    p = net.probability([w for f in frames for w in f])
+    starts = np.cumsum([0, *map(len, frames)])[:-1]
+    top = np.maximum.reduceat(p, starts) if more else p
+    for (i, s, e), hit in zip(more, top >= net.threshold, strict=True):
         if hit:
             every[i].append((s, 3, e))
     return base, [sorted(x) for x in every]
