@@ -236,6 +236,14 @@ def test_html_main_text():
     assert html_extract.main_text("") == html_extract.main_text("<script>x") == ""
 
 
+def test_html_wrappers_and_figures():
+    inner = "<article><div class='entry-header'><h1>Head</h1></div><p>One two</p><figure><table><tr><td>cell</td></tr></table><figcaption>Caption</figcaption></figure></article>"
+    for name in ("layout with-sidebar", "has-sidebar", "content no-sidebar", "single-post right-sidebar", "header", "has-comments"):
+        page = f"<body><div class='{name}'>{inner}<div class='sidebar'>links</div></div><div class='site-footer'>f</div></body>"
+        assert html_extract.main_text(page) == "Head One two cell Caption"
+    assert html_extract.main_text(f"<body>{inner}<div id='comments'><article class='comment'>no</article></div></body>") == "Head One two cell Caption"
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert ngram_jaccard.group_documents(docs).count() == 0

@@ -19,10 +19,12 @@ from pyspark.sql import functions as F
 from timeloom.llm.runtime import map_arrow
 
 # Element names and attribute words that mark a part of a page.
-DROPPED = frozenset("nav footer aside form head title button select option label dialog menu figure figcaption noscript".split())
+DROPPED = frozenset("nav footer aside form head title button select option label dialog menu noscript".split())
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead title tr ul".split())
 NESTING = frozenset("address article aside blockquote body button details dialog div dl fieldset figcaption figure footer form head header html label main menu nav noscript ol option section select table td title ul".split())
-MARKED = re.compile(r"(?:^|[\s_-])(ads?|advert\w*|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|banner|alert|sidebar|side|menu|nav|navbar|navigation|breadcrumbs?|comments?|comment\w*|replies|reply|discussion|respond|disqus|share|sharing|social|related|recommended|newsletter|subscribe|signup|login|footer|masthead|header|popup|modal|overlay|widget|toolbar|pagination|pager|skip)(?:$|[\s_-])", re.IGNORECASE)
+MARKED = re.compile(r"(?:^|[_-])(ads?|advert\w*|sponsor\w*|promo\w*|cookies?|consent|gdpr|breadcrumbs?|comment\w*|replies|reply|discussion|respond|disqus|share|sharing|social|related|recommended|newsletter|subscribe|signup|login|popup|modal|pagination|pager)(?:$|[_-])", re.IGNORECASE)
+LAYOUT = re.compile(r"(?:(?:site|global)[_-])?(?:notices?|banner|alert|sidebar|side|menu|nav|navbar|navigation|footer|masthead|header|overlay|widget|toolbar|skip)", re.IGNORECASE)  # whole names
+STATE = re.compile(r"(?:has|with|no|without|is|show|hide)[_-]", re.IGNORECASE)  # what a page has, not what an element is
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 STOP_WORDS = frozenset(
     "the of and to in a is that it for was on are as with his they at be this from have or by one had not but what all were when we there can an your which their said if do will each about how up out them then she many some so these would other into has more her two like him see time could no make than been its who now people my made over did down only way find use may "
@@ -47,7 +49,7 @@ LINKED, LONG, DENSE, SPARSE = 0.4, 25, 0.2, 0.1
 class Block:
     text: str
     linked: int  # code points inside links
-    region: str  # "drop", "article" or ""
+    region: str  # "drop", "wrap" (dropped but for an article or main in it), "article" or ""
     heading: bool
     good: bool | None = None
 
@@ -116,11 +118,15 @@ def place(name: str, attributes: str, outer: str) -> str:
     """The region that an element opens."""
     if name in DROPPED or (name == "header" and outer != "article"):
         return "drop"
-    if attributes and name not in ("html", "body", "main"):
-        for m in NAMED.finditer(attributes):
-            if MARKED.search(m[1] or m[2] or m[3] or "") and name != "article":
-                return "drop"
-    return "article" if name in ("article", "main") else outer
+    if name in ("article", "main"):
+        return "article"
+    if attributes and name not in ("html", "body"):
+        names = [w for m in NAMED.finditer(attributes) for w in (m[1] or m[2] or m[3] or "").split() if not STATE.match(w)]
+        if any(MARKED.search(w) for w in names):
+            return "drop"
+        if any(LAYOUT.fullmatch(w) for w in names):
+            return "wrap"
+    return outer
 
 
 def decide(found: list[Block]) -> None:
@@ -129,7 +135,7 @@ def decide(found: list[Block]) -> None:
     for b in found:
         words = b.text.split()
         density = b.linked / max(1, len(b.text) - len(words) + 1)
-        if b.region == "drop" or density > LINKED:
+        if b.region in ("drop", "wrap") or density > LINKED:
             b.good = False
         elif b.region == "article":
             b.good = True
