@@ -37,10 +37,20 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of near duplicates the least doc_id; rows with the same doc_id stay or go together."""
-    groups = ngram_jaccard.group_documents(docs, 5, 75)
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """Keeps of each group of near duplicates a row of the least doc_id, and of rows with the same doc_id and text one.
+
+    Rows are told apart by a 64-bit hash of doc_id and text, so different
+    texts under one doc_id are decided each on its own.
+    """
+    rows = docs.select(*COLUMNS, F.xxhash64("doc_id", "text").alias("row"))
+    groups = ngram_jaccard.group_documents(rows.select(F.col("row").alias("doc_id"), "text"), 5, 75)
+    named = rows.select("row", "doc_id").distinct().join(groups.select(F.col("doc_id").alias("row"), "component_id").distinct(), "row")
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row")).alias("first"))
+    gone = named.join(first, "component_id").where("row <> first.row").select("row")
+    repeated = rows.groupBy("row").agg(F.count("*").alias("n")).where("n > 1").select("row")
+    left = rows.join(gone, "row", "left_anti")
+    one = left.join(repeated, "row", "left_semi").dropDuplicates(["row"])
+    return left.join(repeated, "row", "left_anti").select(*COLUMNS).unionByName(one.select(*COLUMNS))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
