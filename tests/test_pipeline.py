@@ -3,6 +3,7 @@ import random
 import pytest
 
 import corpus_pipeline as pipeline
+from timeloom.llm import langid, secret_scan, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, extra int"
 
@@ -52,3 +53,24 @@ def test_near_duplicates_by_row(spark, folder):
     rows = [tuple(r) for r in docs.select(*pipeline.COLUMNS).collect()]
     got = sorted((tuple(r) for r in pipeline.one_of_each_group(spark, docs, folder).collect()), key=key)
     assert got == sorted(brute_near(rows), key=key)
+
+
+def test_stages_against_brute_force(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    rows = [tuple(r) for r in docs.select(*pipeline.COLUMNS).collect()]
+    got = {name: sorted((tuple(r) for r in stage(spark, docs, folder).collect()), key=key) for name, stage in pipeline.STAGES[:4] if name != "near_duplicates"}
+    model = toxicity.fit(docs, spark.read.parquet(f"{folder}/labels.parquet"), pipeline._fold(3) != 1)
+    toxic = {r.doc_id for r in toxicity.score(docs, model).where("score >= 0.7").collect()}
+    assert toxic and got["toxicity"] == sorted((r for r in rows if r[0] not in toxic), key=key)
+    kept = langid.fit(docs, pipeline._fold(5) != 0).decide([r[1] or "" for r in rows])[2]
+    assert 0 < kept.sum() < len(rows) and got["language"] == sorted((r for r, k in zip(rows, kept, strict=True) if k), key=key)
+    spans = secret_scan.all_spans([r[1] or "" for r in rows], secret_scan.fit(docs))[1]
+    masked = [(r[0], t, *r[2:4], len(t)) if s else r for r, s, t in ((r, s, secret_scan.masked(r[1] or "", s)) for r, s in zip(rows, spans, strict=True))]
+    assert sum(map(len, spans)) >= 20 and got["secrets"] == sorted(masked, key=key)
+
+
+def test_run_and_an_empty_table(spark, folder, tmp_path):
+    assert {"sequence_id", "doc_id", "offset", "length"} <= set(pipeline.run(spark, folder).columns)
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert pipeline.run(spark, str(tmp_path)).count() == 0
