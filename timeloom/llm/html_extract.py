@@ -22,7 +22,8 @@ from timeloom.llm.runtime import map_arrow
 DROPPED = frozenset("nav footer aside form head title button select option label dialog menu noscript".split())
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead title tr ul".split())
 NESTING = frozenset("address article aside blockquote body button details dialog div dl fieldset figcaption figure footer form head header html label main menu nav noscript ol option section select table td title ul".split())
-MARKED = re.compile(r"(?:^|[_-])(ads?|advert\w*|sponsor\w*|promo\w*|cookies?|consent|gdpr|breadcrumbs?|comment\w*|replies|reply|discussion|respond|disqus|share|sharing|social|related|recommended|newsletter|subscribe|signup|login|popup|modal|pagination|pager)(?:$|[_-])", re.IGNORECASE)
+MARKED = re.compile(r"(?:^|[_-])(ads?|advert\w*|sponsor\w*|promo\w*|cookies?|consent|gdpr|breadcrumbs?|comment\w*|replies|reply|discussion|respond|disqus|share|sharing|social|newsletter|subscribe|signup|login|popup|modal|pagination|pager)(?:$|[_-])", re.IGNORECASE)
+DOUBTFUL = re.compile(r"(?:^|[_-])(related|recommended)(?:$|[_-])", re.IGNORECASE)  # lists of links, or sections of an article
 LAYOUT = re.compile(r"(?:(?:site|global)[_-])?(?:notices?|banner|alert|sidebar|side|menu|nav|navbar|navigation|footer|masthead|header|overlay|widget|toolbar|skip)", re.IGNORECASE)  # whole names
 STATE = re.compile(r"(?:has|with|no|without|is|show|hide)[_-]", re.IGNORECASE)  # what a page has, not what an element is
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -35,21 +36,26 @@ STOP_WORDS = frozenset(
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|template|svg|iframe|textarea|object|math)\b.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|template|svg|iframe|textarea)\b.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z][^>]*(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
 NAMED = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 
+# Scripts that set no blanks between words, and letters that are frequent in running text of them.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff]")
+FREQUENT = re.compile("[\u3041-\u3096\u0e30-\u0e39\u102b-\u103e\u17b6-\u17d3的是不了在人有我他这個个们來来到時时大地為为子中你說说生國国年着就那和要她出也得里後后自以會会家可下而過过天去能對对小多然於于心學学麼么之都好看起發发當当没成只如事把還还用第樣样道想作種种開开]")
+
 LINKED, LONG, DENSE, SPARSE = 0.4, 25, 0.2, 0.1
+PER_WORD = 2  # letters of an unspaced script that count as a word
 
 
 @dataclass
 class Block:
     text: str
     linked: int  # code points inside links
-    region: str  # "drop", "wrap" (dropped but for an article or main in it), "article" or ""
+    region: str  # "drop", "wrap" (dropped but for an article or main in it), "doubt" (marked as related), "article" or ""
     heading: bool
     good: bool | None = None
 
@@ -126,38 +132,56 @@ def place(name: str, attributes: str, outer: str) -> str:
             return "drop"
         if any(LAYOUT.fullmatch(w) for w in names):
             return "wrap"
+        if any(DOUBTFUL.search(w) for w in names):
+            return "doubt" if outer == "article" else "wrap"
     return outer
 
 
+def measure(text: str) -> tuple[int, float]:
+    """Length in words, and the share of stop words; letters of unspaced scripts count ``PER_WORD`` to a word."""
+    words = text.split()
+    letters = len(UNSPACED.findall(text))
+    if letters > len(text) // 2:
+        return letters // PER_WORD, len(FREQUENT.findall(text)) / letters
+    return len(words), sum(w.lower().strip(".,;:!?\"'()") in STOP_WORDS for w in words) / max(1, len(words))
+
+
 def decide(found: list[Block]) -> None:
     """Labels every block; see the module's description."""
     framed = any(b.region == "article" for b in found)
     for b in found:
-        words = b.text.split()
-        density = b.linked / max(1, len(b.text) - len(words) + 1)
+        density = b.linked / max(1, len(b.text) - b.text.count(" "))
         if b.region in ("drop", "wrap") or density > LINKED:
             b.good = False
         elif b.region == "article":
             b.good = True
-        elif len(words) >= LONG:
-            stops = sum(w.lower().strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
-            b.good = True if stops >= DENSE else False if stops < SPARSE and density > 0 else stops >= SPARSE or len(words) >= 2 * LONG
-        elif framed:
-            b.good = False
-    decided = [i for i, b in enumerate(found) if b.good is not None]
+        else:
+            length, stops = measure(b.text)
+            if length >= LONG:
+                b.good = True if stops >= DENSE else False if stops < SPARSE and density > 0 else stops >= SPARSE or length >= 2 * LONG
+            elif framed and b.region != "doubt":
+                b.good = False
+    inherit(found)
+
+
+def inherit(found: list[Block]) -> None:
+    """Gives open blocks the label of the nearest decided ones; a heading that of what follows; of unlike equals none."""
+    n = len(found)
+    before, after = [-1] * n, [n] * n
+    for i in range(n):
+        before[i] = i if found[i].good is not None else before[i - 1] if i else -1
+    for i in range(n - 1, -1, -1):
+        after[i] = i if found[i].good is not None else after[i + 1] if i + 1 < n else n
+    labels = [b.good for b in found]
     for i, b in enumerate(found):
         if b.good is None:
-            before = max((j for j in decided if j < i), default=None)
-            after = min((j for j in decided if j > i), default=None)
-            if before is None or after is None:
-                near = after if before is None else before
-                b.good = found[near].good if near is not None else False
-            elif found[before].good == found[after].good:
-                b.good = found[after].good
-            elif b.heading:
-                b.good = found[after].good
+            p, q = before[i], after[i]
+            if p < 0 or q == n:
+                b.good = bool(labels[q if p < 0 else p]) if p >= 0 or q < n else False
+            elif labels[p] == labels[q] or b.heading:
+                b.good = labels[q]
             else:
-                b.good = found[before].good if i - before < after - i else found[after].good if after - i < i - before else False
+                b.good = labels[p] if i - p < q - i else labels[q] if q - i < i - p else False
 
 
 def main_text(page: str) -> str:
