@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -11,11 +10,13 @@ from pyspark.sql import functions as F
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Keep the cluster's ``spark.checkpoint.dir``; set a local one only where none is named."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """Keep the cluster's ``spark.checkpoint.dir``; only a local master, which has one machine, may do without it."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="timeloom-checkpoint-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        sc.setCheckpointDir(named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -34,11 +35,14 @@ def text_of(documents: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
 
 def map_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, rows: int = 1000) -> DataFrame:
-    """``mapInArrow`` with batches small enough for long texts."""
-    spark = df.sparkSession
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > rows:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    return df.mapInArrow(work, schema)
+    """``mapInArrow`` that hands the work at most ``rows`` rows at a time; the session's settings stay as they are."""
+
+    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                yield batch.slice(at, rows)
+
+    return df.mapInArrow(lambda batches: work(sliced(batches)), schema)
 
 
 def slices(texts: list[str], chars: int = 1_000_000) -> Iterator[slice]:

@@ -294,9 +294,10 @@ def encode_giant(documents: DataFrame, model: str, size: int) -> DataFrame:
     keyed = documents.withColumn("row", F.sha2("text", 256))
     texts = keyed.select("row", "text").dropDuplicates(["row"])
     chunks = cut(map_arrow(texts, split, chunk_rows, 4).repartition("row", "chunk"))
-    matrices = chunks.mapInArrow(transfer, "row string, chunk bigint, width int, weights array<double>")
+    matrices = map_arrow(chunks, transfer, "row string, chunk bigint, width int, weights array<double>", 16)
     path = matrices.groupBy("row").applyInPandas(scan, "row string, chunk bigint, entry int, exit int")
-    traced = chunks.join(path, ["row", "chunk"]).select("row", "chunk", "left", "body", "right", "entry", "exit").mapInArrow(trace, "row string, chunk bigint, ids array<int>, part string")
+    traced = chunks.join(path, ["row", "chunk"]).select("row", "chunk", "left", "body", "right", "entry", "exit")
+    traced = map_arrow(traced, trace, "row string, chunk bigint, ids array<int>, part string", 16)
     whole = traced.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("chunk", "ids", "part"))).alias("parts"))
     whole = whole.select("row", F.flatten("parts.ids").alias("ids"), F.expr("substring(array_join(parts.part, ''), 2)").alias("decoded"))
     return keyed.select("doc_id", "row").join(whole, "row").select("doc_id", "ids", "decoded")
