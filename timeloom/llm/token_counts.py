@@ -11,7 +11,9 @@ Transitions are compiled when first needed.
 A batch is one symbol stream, cut into equal chunks that step through the
 transition table together. A chunk's map from entry state to (exit state,
 count) is the part before its first word end, which depends on the entry,
-and a constant rest; the maps are then composed in order.
+and a constant rest. Inside long words the maps are evaluated for all chunks
+at once, each on the exit of the chunk before, until no entry changes: a state
+forgets what lies further back than tokens reach, so few rounds do.
 """
 
 from __future__ import annotations
@@ -50,6 +52,7 @@ class Transducer:
             self.ids[symbols] = token
             self.prefixes.update(symbols[:k] for k in range(1, len(symbols)))
         self.suffix = suffix
+        self.most_fits = 2_000_000
         self.fits: dict[tuple[str, str], bool] = {}
         self.clear()
 
@@ -123,6 +126,8 @@ class Transducer:
     def _fit(self, a: str, b: str) -> bool:
         got = self.fits.get((a, b))
         if got is None:
+            if len(self.fits) >= self.most_fits:  # a memo: results stay the same
+                self.fits.clear()
             got = self.fits[a, b] = self.bpe(self._pieces(a) + self._pieces(b)) == [a, b]
         return got
 
@@ -181,23 +186,19 @@ class Transducer:
         head[0] = 0
         for i in range(chunk):
             state, out[i] = self.step(state, by_step[i])
-        known = head < chunk
-        known |= ends[:, -1]
-        entry = np.concatenate(([START], state[:-1])).astype(np.int32)
+        inner = (head == chunk) & ~ends[:, -1]  # within one word: the exit depends on the entry
+        entry = np.concatenate(([START], np.where(inner, START, state)[:-1])).astype(np.int32)
         todo = np.flatnonzero(head > 0)
-        ready = np.concatenate(([True], known[:-1]))
         while len(todo):
-            now = todo[ready[todo]]
-            s = entry[now]
-            for i in range(int(head[now].max())):
-                on = np.flatnonzero(head[now] > i)
-                s[on], out[i, now[on]] = self.step(s[on], by_step[i, now[on]])
-            whole = now[(head[now] == chunk) & (now + 1 < lanes)]
-            entry[whole + 1] = s[(head[now] == chunk) & (now + 1 < lanes)]
-            done = np.zeros(lanes, bool)
-            done[now] = True
-            ready[1:] |= done[:-1] & (head[:-1] == chunk)
-            todo = todo[~done[todo]]
+            s = entry[todo]
+            for i in range(int(head[todo].max())):
+                on = np.flatnonzero(head[todo] > i)
+                s[on], out[i, todo[on]] = self.step(s[on], by_step[i, todo[on]])
+            within = inner[todo] & (todo + 1 < lanes)
+            after, new = todo[within] + 1, s[within]
+            other = entry[after] != new
+            todo = after[other]
+            entry[todo] = new[other]
         return out.T.ravel()[:n]
 
 
