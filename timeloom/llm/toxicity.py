@@ -168,18 +168,21 @@ def train(texts: list[bytes], labels: np.ndarray, features: int = 8192, epochs:
     return model
 
 
-def fit(documents: DataFrame, labels: DataFrame, train_rows, sample: int = 5_000) -> Model:
+def fit(documents: DataFrame, labels: DataFrame, train_rows, sample: int = 5_000, longest: int = 200_000) -> Model:
     """Trains on a bounded sample of labelled documents.
 
-    ``train_rows`` is a condition on doc_id. About ``sample`` documents at
-    most, half of each label where there are as many, are picked by a hash of
-    doc_id; a null label is none, and of repeated labels the highest counts.
+    ``train_rows`` is a condition on doc_id. ``sample`` doc_ids at most, half
+    of each label where there are as many, are picked by a hash of doc_id; a
+    null label is none, and of repeated labels the highest counts. Texts of
+    more than ``longest`` code points are not learned from (they are scored
+    like all others). The picked ids are broadcast, so no text is shuffled.
     """
     marks = labels.where(F.col("toxic").isNotNull() & train_rows).groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     sizes = {r["toxic"]: r["n"] for r in marks.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     rate = F.when(F.col("toxic") == 1, min(1.0, sample / 2 / max(1, sizes.get(1, 0)))).otherwise(min(1.0, sample / 2 / max(1, sizes.get(0, 0))))
-    picked = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < rate * 1_000_003)
-    rows = text_of(documents).join(picked, "doc_id").select("doc_id", "text", "toxic")
+    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003))
+    picked = marks.where(drawn < rate * 1_000_003).orderBy(drawn, "doc_id").limit(sample)
+    rows = text_of(documents).where(F.length("text") <= longest).join(F.broadcast(picked), "doc_id").select("doc_id", "text", "toxic")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
