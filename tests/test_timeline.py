@@ -48,7 +48,7 @@ def test_queries_match_sql(spark):
 
     import duckdb
 
-    from timeloom.plans import queries as plans
+    from timeloom import plans
 
     folder, con = "/root/testdata/sf0.001", duckdb.connect()
     for f in glob.glob(f"{folder}/*.parquet"):

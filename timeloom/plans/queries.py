@@ -2,38 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from timeloom.functions import robust
 from timeloom.operators import evidence, gates, islands, joins, select, sequence
+from timeloom.plans.registry import query
+from timeloom.plans.registry import scaled as _scaled
+from timeloom.plans.registry import sql_scaled as _sql_scaled
 from timeloom.sources.tables import HOUR_US, events, micros, table
 from timeloom.streaming import onsets
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-_EVENTS = f"(select event_id, event_type as role, user_id, epoch_us(ts) as t, epoch_us(ts) // {HOUR_US} as hour, value, props from events)"
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = sql.replace("EVENTS", _EVENTS)
-        return f
-
-    return add
-
-
-def _scaled(column, by: int = 1000):
-    """Integers in place of doubles: exact to compare."""
-    return F.floor(F.col(column) * F.lit(float(by)) + 0.5).cast("long")
-
-
 @query("""with g as (select *, case when t - lag(t) over w <= 1200000000 then 0 else 1 end s from EVENTS window w as (partition by role order by t, event_id)),
 n as (select *, sum(s) over (partition by role order by t, event_id) group_no from g)
 select role, cast(group_no as bigint) group_no, min(t) first_us, max(t) last_us, count(*) n from n group by all""")
@@ -293,13 +272,6 @@ def ordered_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequence.align_sets(heard.agg(F.sort_array(F.collect_set(F.expr("user_id % 128"))).alias("members")), ["day"], "hour", "side", "members")
 
 
-_SCALED = "cast(floor(({}) * {}::double + 0.5::double) as bigint)"
-
-
-def _sql_scaled(value: str, by: int = 1000) -> str:
-    return _SCALED.format(value, by)
-
-
 @query("""with c as (select cast((t // 86400000000) * 86400000000 as double) x, any_value(t // 86400000000 % 7) d from EVENTS group by all), k as (select x, x + d * 1000000::double y from c),
 p as (select *, lead(x) over (order by x) x2, lead(y) over (order by x) y2 from k),
 i as (select event_id, t::double a, t::double + floor(value * 1000000::double) b from EVENTS),
