@@ -1,32 +1,39 @@
-"""As-of, nearest and containment joins without cross joins."""
+"""As-of, nearest, range, overlap and containment joins without cross joins.
 
-from __future__ import annotations
+Rows with a null time match nothing; left rows stay, with nulls. A column
+that a join adds replaces one of that name.
+"""
 
-from functools import reduce
+from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _stretch(time: str, width: float) -> Column:
+    return F.floor(F.col(time) / F.lit(width)).cast("long")
+
+
 def asof(left: DataFrame, right: DataFrame, keys: list[str], time: str, start: str, values: list[str], width: int | None = None) -> DataFrame:
     """Adds to each left row the ``values`` of the last right row of its keys with start <= time (null: none).
 
+    Of right rows with equal starts the one with the greatest values counts.
     With ``width`` each key is dealt out in stretches of that much time, so a
     few keys still use all tasks; a stretch gets the last right row before it
     from a join of stretches, which has one row a stretch.
     """
+    left = left.drop(*(v for v in values if v in left.columns and v not in (*keys, time)))
     if width:
-        stretch = lambda c: F.expr(f"floor({c} / {int(width)})").cast("long")
-        cut, dealt = left.withColumn("_stretch", stretch(time)), right.select(*keys, start, *(v for v in values if v != start)).withColumn("_stretch", stretch(start))
+        cut, dealt = left.withColumn("_stretch", _stretch(time, width)), right.select(*keys, start, *(v for v in values if v != start)).where(F.col(start).isNotNull()).withColumn("_stretch", _stretch(start, width))
         kept = [c for c in dealt.columns if c not in (*keys, "_stretch")]
-        last = dealt.groupBy(*keys, "_stretch").agg(F.max_by(F.struct(*kept), start).alias("_last")).select(*keys, (F.col("_stretch") + 1).alias("_from"), "_last")
+        last = dealt.groupBy(*keys, "_stretch").agg(F.max(F.struct(start, *(c for c in kept if c != start))).alias("_last")).select(*keys, (F.col("_stretch") + 1).alias("_from"), "_last")
         carried = asof(cut.select(*keys, "_stretch").distinct(), last, keys, "_stretch", "_from", ["_last"]).where("_last is not null")
         both = dealt.unionByName(carried.select(*keys, "_stretch", "_last.*"))
         return asof(cut, both, [*keys, "_stretch"], time, start, values).drop("_stretch")
     wide = F.struct(F.col(start).alias("start"), *values)
     a = left.select(*keys, F.col(time).alias("_t"), F.lit(1).alias("_side"), F.struct(*left.columns).alias("_row"), F.lit(None).cast(right.select(wide.alias("w")).schema["w"].dataType).alias("_at"))
-    b = right.select(*keys, F.col(start).alias("_t"), F.lit(0).alias("_side"), F.lit(None).cast(left.select(F.struct(*left.columns).alias("w")).schema["w"].dataType).alias("_row"), wide.alias("_at"))
-    by = Window.partitionBy(*keys).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    b = right.where(F.col(start).isNotNull()).select(*keys, F.col(start).alias("_t"), F.lit(0).alias("_side"), F.lit(None).cast(left.select(F.struct(*left.columns).alias("w")).schema["w"].dataType).alias("_row"), wide.alias("_at"))
+    by = Window.partitionBy(*keys).orderBy("_t", "_side", "_at").rowsBetween(Window.unboundedPreceding, 0)
     found = a.unionByName(b).withColumn("_at", F.last("_at", ignorenulls=True).over(by)).where("_side = 1")
     return found.select("_row.*", *(F.col(f"_at.{v}").alias(v) for v in values))
 
@@ -47,14 +54,115 @@ def nearest_within(left: DataFrame, right: DataFrame, left_id: str, left_time: s
 def apply_map(rows: DataFrame, time: str, controls: DataFrame, out: str = "mapped", width: int | None = None) -> DataFrame:
     """Maps times through piecewise linear controls (x, y): slope one before the first and after the last."""
     by = Window.partitionBy().orderBy("x") if "part" not in controls.columns else Window.partitionBy("part").orderBy("x")
-    pieces = controls.withColumn("x2", F.lead("x").over(by)).withColumn("y2", F.lead("y").over(by))
-    placed = asof(rows.withColumn("_k", F.lit(0)), pieces.withColumn("_k", F.lit(0)), ["_k"], time, "x", ["x", "y", "x2", "y2"], width)
-    line = F.col("y") + (F.col(time) - F.col("x")) * (F.col("y2") - F.col("y")) / (F.col("x2") - F.col("x"))
-    return placed.withColumn(out, F.coalesce(line, F.col("y") + F.col(time) - F.col("x"), F.col(time))).drop("_k", "x", "y", "x2", "y2")
+    names = {c: f"_{c}" for c in ("x", "y", "x2", "y2")}
+    pieces = controls.select(F.lit(0).alias("_k"), F.col("x").alias("_x"), F.col("y").alias("_y"), F.lead("x").over(by).alias("_x2"), F.lead("y").over(by).alias("_y2"))
+    placed = asof(rows.withColumn("_k", F.lit(0)), pieces, ["_k"], time, "_x", list(names.values()), width)
+    line = F.col("_y") + (F.col(time) - F.col("_x")) * (F.col("_y2") - F.col("_y")) / (F.col("_x2") - F.col("_x"))
+    return placed.withColumn(out, F.coalesce(line, F.col("_y") + F.col(time) - F.col("_x"), F.col(time))).drop("_k", *names.values())
 
 
 def self_pairs(rows: DataFrame, on: list[str], label: str, value: str) -> DataFrame:
     """Ordered pairs of labels (a < b) that share ``on``, with both values."""
     a = rows.select(*on, F.col(label).alias("a"), F.col(value).alias("va"))
     b = rows.select(*on, F.col(label).alias("b"), F.col(value).alias("vb"))
-    return reduce(lambda x, y: x.join(y, on), (a, b)).where("a < b")
+    return a.join(b, on).where("a < b")
+
+
+def members_of(spans: DataFrame, rows: DataFrame, keys: list[str], start: str, end: str, time: str, width: float, closed: bool = False) -> DataFrame:
+    """Rows inside spans of their keys: [start, end), or [start, end] if ``closed``, with the columns of both.
+
+    A span meets the rows of the stretches of ``width`` it touches, so the
+    join is on equality; a span costs as many copies as stretches it touches.
+    """
+    dealt = spans.where(F.col(start) <= F.col(end)).withColumn("_stretch", F.explode(F.sequence(_stretch(start, width), _stretch(end, width))))
+    met = dealt.join(rows.withColumn("_stretch", _stretch(time, width)), [*keys, "_stretch"]).drop("_stretch")
+    return met.where((F.col(time) >= F.col(start)) & ((F.col(time) <= F.col(end)) if closed else (F.col(time) < F.col(end))))
+
+
+def overlapping(left: DataFrame, right: DataFrame, keys: list[str], a: tuple[str, str], b: tuple[str, str], width: float, tolerance: float = 0.0, closed: bool = False) -> DataFrame:
+    """Pairs of spans of the same keys that overlap, or, ``closed``, touch; open overlap may be short of ``tolerance``.
+
+    Both sides are dealt to the stretches they touch; a pair is kept in the
+    first stretch they share, so it comes once.
+    """
+    x = left.withColumn("_first", _stretch(a[0], width)).withColumn("_stretch", F.explode(F.sequence("_first", F.greatest("_first", _stretch(a[1], width)))))
+    y = right.withColumn("_begin", F.floor((F.col(b[0]) - tolerance) / width).cast("long")).withColumn("_stretch", F.explode(F.sequence("_begin", F.greatest("_begin", F.floor((F.col(b[1]) + tolerance) / width).cast("long")))))
+    met = x.join(y, [*keys, "_stretch"]).where(F.col("_stretch") == F.greatest("_first", "_begin")).drop("_stretch", "_first", "_begin")
+    latest, soonest = F.greatest(F.col(a[0]), F.col(b[0])), F.least(F.col(a[1]), F.col(b[1]))
+    return met.where(latest <= soonest if closed else latest < soonest + tolerance)
+
+
+def overlap_share(a_start: Column, a_end: Column, b_start: Column, b_end: Column) -> Column:
+    """Length that two inclusive integer spans share over the shorter one's; 0 if they share none."""
+    shared = F.least(a_end, b_end) - F.greatest(a_start, b_start) + 1
+    shorter = F.least(a_end - a_start, b_end - b_start) + 1
+    return F.when(shared > 0, shared / F.greatest(shorter, F.lit(1))).otherwise(0.0)
+
+
+def nearest_span(rows: DataFrame, spans: DataFrame, keys: list[str], ident: str, span: tuple[str, str], other: tuple[str, str], kind: str, limit: float) -> DataFrame:
+    """Per row the nearest span of its keys within ``limit``: its kind and distance (0: they overlap), ties to the earlier one.
+
+    Rows without one keep nulls. Spans are looked for up to ``limit`` around
+    the row, so the join stays on equality.
+    """
+    wide = rows.select(*keys, ident, (F.col(span[0]) - limit).alias("_a"), (F.col(span[1]) + limit).alias("_z"), F.col(span[0]).alias("_s"), F.col(span[1]).alias("_e"))
+    near = overlapping(wide, spans.select(*keys, F.col(other[0]).alias("_os"), F.col(other[1]).alias("_oe"), F.col(kind).alias("_kind")), keys, ("_a", "_z"), ("_os", "_oe"), max(limit, 1e-9), closed=True)
+    apart = F.array_min(F.array(*(F.abs(F.col(x) - F.col(y)) for x in ("_s", "_e") for y in ("_os", "_oe"))))
+    gap = F.when(F.greatest("_s", "_os") < F.least("_e", "_oe") + 1e-9, 0.0).otherwise(apart.cast("double"))
+    best = near.withColumn("_d", gap).where(F.col("_d") <= limit).groupBy(*keys, ident).agg(F.min(F.struct("_d", "_os", "_oe", "_kind")).alias("_m"))
+    return rows.join(best, [*keys, ident], "left").select(*rows.columns, F.col("_m._kind").alias("near_kind"), F.col("_m._d").alias("near_distance"))
+
+
+def without_near(rows: DataFrame, others: DataFrame, keys: list[str], time: str, other_time: str, radius: float) -> DataFrame:
+    """Rows that have no other within ``radius`` (inclusive) of their time."""
+    near = others.select(*keys, F.col(other_time).alias("_o")).withColumn("_stretch", F.explode(F.array(*(_stretch("_o", radius) + k for k in (-1, 0, 1)))))
+    dealt = rows.withColumn("_stretch", _stretch(time, radius))
+    on = [dealt[k].eqNullSafe(near[k]) for k in keys]
+    met = (dealt["_stretch"] == near["_stretch"]) & (F.abs(dealt[time] - near["_o"]) <= radius)
+    for c in on:
+        met = met & c
+    return dealt.join(near, met, "left_anti").drop("_stretch")
+
+
+def lookup_layers(rows: DataFrame, key: str, layers: list[DataFrame], value: str, default: str | None = None) -> DataFrame:
+    """Adds ``value`` from the first layer (key, value) that names the key, even if it says null; else ``default``.
+
+    Layers hold each key once.
+    """
+    out = rows.drop(value)
+    found, present = [], []
+    for i, layer in enumerate(layers):
+        out = out.join(layer.select(key, F.struct(F.col(value).alias("v")).alias(f"_l{i}")), key, "left")
+        found.append(F.col(f"_l{i}.v"))
+        present.append(F.col(f"_l{i}").isNotNull())
+    pick: Column = F.lit(default)
+    for f, p in zip(reversed(found), reversed(present), strict=True):
+        pick = F.when(p, f).otherwise(pick)
+    return out.withColumn(value, pick).drop(*(f"_l{i}" for i in range(len(layers))))
+
+
+def full_merge(left: DataFrame, right: DataFrame, keys: list[str], items: str, position: str, label: str, apart: float) -> DataFrame:
+    """Full outer join on keys of two tables of arrays of structs, both arrays in one.
+
+    Of items with the same ``label`` that lie within ``apart`` of an earlier kept one (by position) only the first stays; left
+    items come before right ones at equal positions.
+    """
+    both = left.select(*keys, F.col(items).alias("_a")).join(right.select(*keys, F.col(items).alias("_b")), keys, "full")
+    empty = F.array().cast(left.schema[items].dataType)
+    whole = F.concat(F.coalesce("_a", empty), F.coalesce("_b", empty))
+    placed = F.array_sort(F.transform(whole, lambda x, i: F.struct(x[position].alias("p"), i.alias("i"), x.alias("x"))))
+    kind = left.schema[items].dataType.simpleString()
+    kept = F.aggregate(placed, F.array().cast(kind), lambda acc, s: F.when(F.exists(acc, lambda k: (k[label] == s["x"][label]) & (F.abs(k[position] - s["x"][position]) <= apart)), acc).otherwise(F.concat(acc, F.array(s["x"]))))
+    return both.select(*keys, kept.alias(items), F.col("_a").isNotNull().alias("in_left"), F.col("_b").isNotNull().alias("in_right"))
+
+
+def grid_candidates(rows: DataFrame, first: float, step: float, count: int, name: str) -> DataFrame:
+    """Every row with each of ``count`` evenly spaced values; the grid is a constant array, not a join."""
+    values = F.array(*(F.lit(first + step * i) for i in range(count)))
+    return rows.select("*", F.posexplode(values).alias(f"{name}_index", name))
+
+
+def similar_sources(rows: DataFrame, keys: list[str], source: str, values: str, likeness, least: float) -> DataFrame:
+    """Pairs of sources of the same keys with their likeness (a column function of two arrays), those of ``least`` or more flagged."""
+    pairs = self_pairs(rows, keys, source, values)
+    return pairs.withColumn("similarity", likeness(F.col("va"), F.col("vb"))).withColumn("similar", F.col("similarity") >= least).drop("va", "vb")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from timeloom.sources.shared import checkpoint_folder
+
 
 def chain_groups(stream: DataFrame, keys: list[str], time: str, tolerance_us: int, late: str) -> DataFrame:
     """First and last time (microseconds) and size of each group of rows at most ``tolerance_us`` after the one before.
@@ -30,7 +31,7 @@ def replay(spark: SparkSession, result: DataFrame) -> DataFrame:
     For a finite source only: complete mode keeps all groups in state. A
     batch that is run again writes the same folder again.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="timeloom-")
+    root = checkpoint_folder(spark)
     folder = f"{root}/stream-{uuid.uuid4().hex}"
     done = [-1]
     spark.createDataFrame([], result.schema).write.parquet(f"{folder}/out/batch=-1")
