@@ -30,7 +30,7 @@ def asof(left: DataFrame, right: DataFrame, keys: list[str], time: str, start: s
         carried = asof(cut.select(*keys, "_stretch").distinct(), last, keys, "_stretch", "_from", ["_last"]).where("_last is not null")
         both = dealt.unionByName(carried.select(*keys, "_stretch", "_last.*"))
         return asof(cut, both, [*keys, "_stretch"], time, start, values).drop("_stretch")
-    wide = F.struct(F.col(start).alias("start"), *values)
+    wide = F.struct(F.col(start).alias("_from"), *values)
     a = left.select(*keys, F.col(time).alias("_t"), F.lit(1).alias("_side"), F.struct(*left.columns).alias("_row"), F.lit(None).cast(right.select(wide.alias("w")).schema["w"].dataType).alias("_at"))
     b = right.where(F.col(start).isNotNull()).select(*keys, F.col(start).alias("_t"), F.lit(0).alias("_side"), F.lit(None).cast(left.select(F.struct(*left.columns).alias("w")).schema["w"].dataType).alias("_row"), wide.alias("_at"))
     by = Window.partitionBy(*keys).orderBy("_t", "_side", "_at").rowsBetween(Window.unboundedPreceding, 0)

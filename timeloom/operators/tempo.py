@@ -80,8 +80,8 @@ def expected_events(visits: DataFrame, automations: DataFrame, keys: list[str],
     part = F.coalesce(F.col(ratio).cast("double"), F.lit(0.0))
     part = F.when(part > 1, part / 100.0).otherwise(part)
     laid = visits.join(automations.where(F.col(bpm).isNotNull()), [*keys, bar]).withColumn("_tick", F.rint(F.col(start) + part * F.coalesce(F.col(length), F.lit(0))).cast("long"))
-    opening = F.max_by(bpm, F.struct(order, part)).over(Window.partitionBy(*keys))
-    return tempo_events(laid.withColumn("_opening", opening).withColumn("_order", F.struct(order, part)), keys, "_tick", bpm, "_order", F.coalesce(F.col("_opening"), F.lit(initial)))
+    opening = F.max_by(bpm, F.struct(order, part, bpm)).over(Window.partitionBy(*keys))
+    return tempo_events(laid.withColumn("_opening", opening).withColumn("_order", F.struct(order, part, bpm)), keys, "_tick", bpm, "_order", F.coalesce(F.col("_opening"), F.lit(initial)))
 
 
 def measures(downbeats: DataFrame, keys: list[str], time: str, infer_end: bool = False) -> DataFrame:
@@ -108,7 +108,7 @@ def final_end(downbeats: DataFrame, keys: list[str], time: str) -> DataFrame:
 
 def measure_at(rows: DataFrame, bars: DataFrame, keys: list[str], time: str, values: list[str], width: int | None = None) -> DataFrame:
     """Adds the ``values`` of the measure that holds each row's time; before the first measure those of the first."""
-    first = bars.groupBy(*keys).agg(F.min(F.struct("start", *values)).alias("_f")).select(*keys, *(F.col(f"_f.{v}").alias(f"_first_{v}") for v in values))
+    first = bars.groupBy(*keys).agg(F.min(F.struct("start", *(v for v in values if v != "start"))).alias("_f")).select(*keys, *(F.col(f"_f.{v}").alias(f"_first_{v}") for v in values))
     placed = joins.asof(rows, bars.select(*keys, "start", *(v for v in values if v != "start")), keys, time, "start", ["start", *(v for v in values if v != "start")], width).withColumnRenamed("start", "_start")
     both = placed.join(first, keys, "left")
     kept = [c for c in placed.columns if c not in (*values, "_start")]

@@ -1,6 +1,6 @@
 """Named queries over the driver's tables, with equivalent DuckDB SQL."""
 
-from timeloom.plans import notation, queries
+from timeloom.plans import notation, queries, timing
 from timeloom.plans.registry import ORACLE_SQL, QUERIES
 
-__all__ = ["ORACLE_SQL", "QUERIES", "notation", "queries"]
+__all__ = ["ORACLE_SQL", "QUERIES", "notation", "queries", "timing"]
