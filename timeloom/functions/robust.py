@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,3 +41,51 @@ def best_and_margin(rows: DataFrame, keys: list[str], name: str, score: str) ->
     by = Window.partitionBy(*keys).orderBy(F.desc(score), name)
     ranked = rows.withColumn("_r", F.row_number().over(by)).withColumn("_second", F.lead(score).over(by)).where("_r = 1")
     return ranked.select(*keys, F.col(name).alias("best"), F.col(score).alias("score"), (F.col(score) - F.col("_second")).alias("margin"))
+
+
+def theil_sen_line(rows: DataFrame, keys: list[str], x: str, y: str, least: float = 0.0) -> DataFrame:
+    """Per key the median slope over pairs with x apart by more than ``least`` (1 where there are none), the median intercept, and the residuals' median and maximum.
+
+    A key should hold a bounded number of points.
+    """
+    points = rows.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*keys, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
+    other = points.select(*keys, F.col("_x").alias("_x2"), F.col("_y").alias("_y2"))
+    slopes = points.join(other, keys).where(F.col("_x2") - F.col("_x") > least).groupBy(*keys).agg(F.median((F.col("_y2") - F.col("_y")) / (F.col("_x2") - F.col("_x"))).alias("_s"))
+    fitted = points.join(slopes, keys, "left").withColumn("slope", F.coalesce("_s", F.lit(1.0)))
+    cut = fitted.groupBy(*keys, "slope").agg(F.median(F.col("_y") - F.col("slope") * F.col("_x")).alias("intercept"), F.count("*").alias("n"))
+    off = F.abs(F.col("_y") - (F.col("intercept") + F.col("slope") * F.col("_x")))
+    return points.join(cut, keys).groupBy(*keys, "slope", "intercept", "n").agg(F.median(off).alias("median_residual"), F.max(off).alias("maximum_residual"))
+
+
+def median_path(rows: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
+    """One y per x of a warping path, the median of those there."""
+    return rows.groupBy(*keys, x).agg(F.median(y).alias(y))
+
+
+def trimmed_line(rows: DataFrame, keys: list[str], x: str, y: str, rounds: int = 3, width: float = 3.5, floor: float = 0.02) -> DataFrame:
+    """The median line (slope, intercept, n, median_residual) after up to ``rounds`` trims of points farther than ``width`` MADs, ``floor`` at least, from it.
+
+    A key should hold a bounded number of points; one without two different x has slope 1.
+    """
+    from timeloom.operators.sequence import per_group
+
+    def line(a: np.ndarray, b: np.ndarray) -> tuple[float, float]:
+        run, rise = a[None, :] - a[:, None], b[None, :] - b[:, None]
+        slope = float(np.median(rise[run > 0] / run[run > 0])) if (run > 0).any() else 1.0
+        return slope, float(np.median(b - slope * a))
+
+    def kernel(g: pd.DataFrame) -> dict:
+        a, b = g[x].to_numpy(float), g[y].to_numpy(float)
+        for _ in range(rounds):
+            slope, cut = line(a, b)
+            off = b - (cut + slope * a)
+            middle = np.median(off)
+            near = np.abs(off - middle) <= max(floor, width * float(np.median(np.abs(off - middle))))
+            if near.all() or not near.any():
+                break
+            a, b = a[near], b[near]
+        slope, cut = line(a, b)
+        return {"slope": [slope], "intercept": [cut], "n": [len(a)], "median_residual": [float(np.median(np.abs(b - (cut + slope * a))))]}
+
+    known = rows.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    return per_group(known, keys, [x, y], kernel, "slope double, intercept double, n bigint, median_residual double")

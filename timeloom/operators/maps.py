@@ -325,7 +325,7 @@ def smoothed_residuals(bars: DataFrame, keys: list[str], order: str, raw: str, c
     return bars.join(per_group(bars, keys, [order], kernel, f"{order} {kind}, fitted double"), [*keys, order])
 
 
-def bar_map(bars: DataFrame, keys: list[str], order: str, time: str, base: str, raw: str, confidence: str, stretch: tuple[float, float] = (0.7, 1.35), fewest: int = 4, **smoothing) -> DataFrame:
+def bar_map(bars: DataFrame, keys: list[str], order: str, time: str, base: str, raw: str, confidence: str, stretch: tuple[float, float] = (0.9, 1.1), fewest: int = 4, **smoothing) -> DataFrame:
     """Controls from per-bar residuals: smoothed, each step's stretch against the baseline clamped; too few observed bars keep the baseline."""
     fitted = smoothed_residuals(bars, keys, order, raw, confidence, **smoothing)
 
