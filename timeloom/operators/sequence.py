@@ -156,41 +156,66 @@ def banded_dtw(a: np.ndarray, b: np.ndarray, band: float, turn: float = 0.0, rep
     diagonal, in cells of b. ``turn`` is charged where the kind of step
     changes and ``repeat`` for each step that is not diagonal; ties go to the
     diagonal, then to a step in a, then to one in b.
+
+    Only the band is held, a row of it at a time: steps from the row before
+    are shifts of it, and steps within the row are one running minimum.
     """
     n, m = len(a), len(b)
     if not n or not m:
         return float("inf"), []
-    cost = np.abs(a[:, None] - b[None, :])
-    diagonal = np.arange(n) * ((m - 1) / max(1, n - 1))
-    cost[np.abs(np.arange(m)[None, :] - diagonal[:, None]) > band] = np.inf
-    moves = ((1, 1), (1, 0), (0, 1))
-    reached, came = np.full((n, m, 3), np.inf), np.zeros((n, m, 3), np.int8)
-    reached[0, 0, 0] = cost[0, 0]
+    centre = np.arange(n) * ((m - 1) / max(1, n - 1))
+    first = np.maximum(0, np.ceil(centre - band)).astype(int)
+    last = np.minimum(m - 1, np.floor(centre + band)).astype(int)
+    if first[0] > 0 or last[-1] < m - 1 or (last < first).any():
+        return float("inf"), []
+    above, origins = np.zeros((3, 0)), []
     for i in range(n):
-        for j in np.flatnonzero(np.isfinite(cost[i])).tolist():
-            for kind, (di, dj) in enumerate(moves):
-                if i >= di and j >= dj and i + j:
-                    ways = reached[i - di, j - dj] + turn * (np.arange(3) != kind) + repeat * (kind > 0)
-                    came[i, j, kind] = ways.argmin()
-                    reached[i, j, kind] = ways.min() + cost[i, j]
-    kind = int(reached[-1, -1].argmin())
-    whole = float(reached[-1, -1, kind])
+        width = last[i] - first[i] + 1
+        cost = np.abs(a[i] - b[first[i] : last[i] + 1])
+        row, origin = np.full((3, width), np.inf), np.zeros((3, width), np.int8)
+        if not i:
+            row[0, 0] = cost[0]
+        for kind in (0, 1) if i else ():
+            ways = np.full((3, width), np.inf)
+            shift = first[i] - first[i - 1] - (1 - kind)  # where the step's origin lies in the row above
+            lo, hi = max(0, -shift), min(width, above.shape[1] - shift)
+            if hi > lo:
+                ways[:, lo:hi] = above[:, lo + shift : hi + shift]
+            ways[[k for k in range(3) if k != kind]] += turn
+            origin[kind] = ways.argmin(axis=0)
+            row[kind] = ways.min(axis=0) + (cost + repeat if kind else cost)
+        if width > 1:
+            run = np.cumsum(cost + repeat)
+            enter = np.minimum(row[0], row[1]) + turn
+            row[2, 1:] = run[1:] + np.minimum.accumulate(enter[:-1] - run[:-1])
+            origin[2, 1:] = np.stack((row[0, :-1] + turn, row[1, :-1] + turn, row[2, :-1])).argmin(axis=0)
+        origins.append(origin)
+        above = row
+    kind = int(above[:, -1].argmin())
+    whole = float(above[kind, -1])
     if not np.isfinite(whole):
         return whole, []
     i, j, steps = n - 1, m - 1, [(n - 1, m - 1)]
     while i or j:
-        (di, dj), kind = moves[kind], int(came[i, j, kind])
-        i, j = i - di, j - dj
+        before = int(origins[i][kind, j - first[i]])
+        i, j = (i - 1, j - 1) if kind == 0 else (i - 1, j) if kind == 1 else (i, j - 1)
+        kind = before
         steps.append((i, j))
     return whole, steps[::-1]
 
 
-def viterbi_path(rows: DataFrame, keys: list[str], layer: str, ident: str) -> DataFrame:
-    """Chosen ``ident`` (null: skipped) of each layer, from the columns ``confidence`` and ``residual_ms``."""
+def viterbi_path(rows: DataFrame, keys: list[str], layer: str, ident: str, saturated: str = "corridor_saturated") -> DataFrame:
+    """Chosen ``ident`` (null: skipped) of each layer, from the columns ``confidence`` and ``residual_ms``.
+
+    Rows with a null in these, and rows that ``saturated`` (if there is such a column) marks, are never chosen; their layer stays.
+    """
 
     def kernel(g: pd.DataFrame) -> dict:
         layers = _layers(g, layer)
-        path = viterbi(layers, g["confidence"].to_numpy(float), g["residual_ms"].to_numpy(float))
+        usable = g["confidence"].notna() & g["residual_ms"].notna()
+        if saturated in g:
+            usable &= ~g[saturated].fillna(False).astype(bool)
+        path = viterbi([r[usable.to_numpy()[r]] for r in layers], g["confidence"].to_numpy(float), g["residual_ms"].to_numpy(float))
         return {"layer": [g[layer].iat[r[0]] for r in layers], "chosen": pd.array([g[ident].iat[p] if p >= 0 else None for p in path], "Int64")}
 
     return per_group(rows, keys, [layer, ident], kernel, "layer bigint, chosen bigint")
@@ -234,13 +259,26 @@ def set_agreement(a: np.ndarray, b: np.ndarray, period: int = 12, octave: float
     return float(np.where(same, 1.0, np.where(near, octave, 0.0)).mean())
 
 
+def align_counted(similarity: np.ndarray, skip_row: float, skip_column: float, backwards: bool = False) -> tuple[float, list[tuple[int, int]]]:
+    """As ``align``, but of alignments that score alike the one with most matches, forwards or from the end; the score is per match."""
+    given = similarity[::-1, ::-1] if backwards else similarity
+    more = 1e-7  # worth of a match where scores tie
+    score, found = align(np.where(given > 0, given + more, given), skip_row, skip_column)
+    n, m = similarity.shape
+    pairs = sorted((n - 1 - i, m - 1 - j) for i, j in found) if backwards else found
+    return (score - more * len(pairs)) / max(1, len(pairs)), pairs
+
+
 def align_sets(rows: DataFrame, keys: list[str], at: str, side: str, members: str, skip_a: float = 0.22, skip_b: float = 0.025) -> DataFrame:
-    """Matches (a_at, b_at) of two ordered lists of integer sets; ``side`` is 0 for the first list, 1 for the second."""
+    """Matches (a_at, b_at) of two ordered lists of integer sets, and the whole score over the first list's length.
+
+    ``side`` is 0 for the first list, 1 for the second.
+    """
 
     def kernel(g: pd.DataFrame) -> dict:
         left, right = g[g[side] == 0], g[g[side] == 1]
         likeness = np.array([[set_agreement(np.asarray(p), np.asarray(q)) for q in right[members]] for p in left[members]]).reshape(len(left), len(right))
-        _, found = align(likeness, skip_a, skip_b)
-        return {"a_at": left[at].to_numpy()[[i for i, _ in found]], "b_at": right[at].to_numpy()[[j for _, j in found]]}
+        score, found = align(likeness, skip_a, skip_b)
+        return {"a_at": left[at].to_numpy()[[i for i, _ in found]], "b_at": right[at].to_numpy()[[j for _, j in found]], "score": score / max(1, len(left))}
 
-    return per_group(rows, keys, [side, at], kernel, "a_at bigint, b_at bigint")
+    return per_group(rows, keys, [side, at], kernel, "a_at bigint, b_at bigint, score double")

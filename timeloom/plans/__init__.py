@@ -1,6 +1,6 @@
 """Named queries over the driver's tables, with equivalent DuckDB SQL."""
 
-from timeloom.plans import grouping, notation, queries, timing
+from timeloom.plans import grouping, judging, notation, queries, timing
 from timeloom.plans.registry import ORACLE_SQL, QUERIES
 
-__all__ = ["ORACLE_SQL", "QUERIES", "grouping", "notation", "queries", "timing"]
+__all__ = ["ORACLE_SQL", "QUERIES", "grouping", "judging", "notation", "queries", "timing"]
