@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from timeloom.functions import robust
-from timeloom.operators import evidence, gates, islands, joins, select, sequence
+from timeloom.functions import robust, vectors
+from timeloom.operators import evidence, gates, islands, joins, select, sequence, tempo
 from timeloom.plans.registry import query
 from timeloom.plans.registry import scaled as _scaled
 from timeloom.plans.registry import sql_scaled as _sql_scaled
@@ -130,8 +130,8 @@ def set_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cosine_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
     b = a.select((F.col("vec_id") - 1).alias("vec_id"), F.col("x").alias("y"))
-    dot = lambda p, q: f"aggregate(zip_with({p}, {q}, (i, j) -> i * j), 0D, (s, v) -> s + v)"
-    return a.join(b, "vec_id").select("vec_id", F.expr(f"cast(floor({dot('x', 'y')} / sqrt({dot('x', 'x')} * {dot('y', 'y')}) * 1000000D + 0.5D) as bigint)").alias("cosine"))
+    likeness = vectors.dot(F.col("x"), F.col("y")) / F.sqrt(vectors.dot(F.col("x"), F.col("x")) * vectors.dot(F.col("y"), F.col("y")))
+    return a.join(b, "vec_id").select("vec_id", _scaled(likeness, 1_000_000).alias("cosine"))
 
 
 @query("""with c as (select conv_id, turn, role, case when role is not distinct from lag(role) over w and row_number() over w > 1 then 0 else 1 end s from conversations window w as (partition by conv_id order by turn))
@@ -189,7 +189,8 @@ def lyric_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.when(F.col("w") == F.array(F.lit("")), 0).otherwise(F.size("w")).cast("long").alias("tokens"))
 
 
-@query()
+@query("""with recursive o as (select p_brand brand, p_partkey::double pos, p_retailprice sc, row_number() over (partition by p_brand order by p_retailprice desc, p_partkey) r from part), f as (select brand, r, [pos] kept, sc, true k from o where r = 1
+union all select o.brand, o.r, case when len(list_filter(f.kept, lambda p: abs(p - o.pos) < 50)) = 0 then list_append(f.kept, o.pos) else f.kept end, o.sc, len(list_filter(f.kept, lambda p: abs(p - o.pos) < 50)) = 0 from f join o on o.brand = f.brand and o.r = f.r + 1) select brand, cast(len(kept) - 1 as int) as rank, kept[-1] as position, sc as score from f where k""")
 def nms_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").select(F.col("p_brand").alias("brand"), F.col("p_partkey").alias("position"), F.col("p_retailprice").alias("score"))
     return select.suppress(parts, ["brand"], "position", "score", 50.0)
@@ -199,9 +200,8 @@ def nms_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 select role, day, cast(last_value(4 * 60000000000 // gap ignore nulls) over (partition by role order by day rows between unbounded preceding and current row) as bigint) milli_bpm from n""")
 def dense_tempo(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = events(spark, sf_dir).groupBy("role", F.expr("t div 86400000000").alias("day")).agg(F.min("t").alias("t"))
-    by = Window.partitionBy("role").orderBy("day")
-    paced = days.withColumn("gap", F.lead("t").over(by) - F.col("t")).withColumn("bpm", F.expr("4 * 60000000000 div gap"))
-    return paced.select("role", "day", F.last("bpm", ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, 0)).alias("milli_bpm"))
+    paced = tempo.dense_tempo(days, ["role"], "t", F.lit(4), 1e9, float("nan"))
+    return paced.select("role", "day", F.when(~F.isnan("bpm"), F.floor("bpm").cast("long")).alias("milli_bpm"))
 
 
 @query("""with h as (select role, hour, min(t) t from EVENTS group by all), n as (select *, lead(t) over (partition by role order by hour) nx from h)
