@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from timeloom.llm.runtime import map_arrow, slices, text_of
+from timeloom.llm.runtime import map_arrow, release, slices, text_of
 from timeloom.llm.textarrays import LETTER, class_table, joined, mix
 
 ORDER = 4
@@ -305,7 +305,12 @@ def fit(documents: DataFrame, train_rows, sample: int = 6_000) -> Model:
         rate = F.when(F.col("lang") == language, min(1.0, share / n)).otherwise(rate)
     rows = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < rate * 1_000_003).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["lang"], r["text"]))
-    return train([r["text"] for r in rows], [r["lang"] for r in rows])
+    texts, labels = [r["text"] for r in rows], [r["lang"] for r in rows]
+    del rows
+    model = train(texts, labels)
+    del texts, labels
+    release()
+    return model
 
 
 def identify(documents: DataFrame, model: Model) -> DataFrame:

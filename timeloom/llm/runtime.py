@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,20 +33,47 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(collect: bool = True) -> None:
+    """Hands memory that freed arrays have left back to the system, where the C library can."""
+    if collect:
+        gc.collect()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def text_of(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Only key and text, a null text read as empty, so clashing extra columns never matter."""
     return documents.select(F.col(key).alias(key), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
 def map_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, rows: int = 1000) -> DataFrame:
-    """``mapInArrow`` that hands the work at most ``rows`` rows at a time; the session's settings stay as they are."""
+    """``mapInArrow`` that hands the work at most ``rows`` rows at a time; the session's settings stay as they are.
+
+    After a partition a worker, which waits for the next one, keeps no memory.
+    """
 
     def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 yield batch.slice(at, rows)
 
-    return df.mapInArrow(lambda batches: work(sliced(batches)), schema)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(sliced(batches))
+        release()
+
+    return df.mapInArrow(whole, schema)
+
+
+def per_group(df: DataFrame, key: str, work: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """``applyInPandas`` by one key, after each group of which a worker keeps no memory."""
+
+    def whole(group: pd.DataFrame) -> pd.DataFrame:
+        made = work(group)
+        del group
+        release(collect=False)
+        return made
+
+    return df.groupBy(key).applyInPandas(whole, schema)
 
 
 def slices(texts: list[str], chars: int = 1_000_000) -> Iterator[slice]:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from timeloom.llm.runtime import map_arrow, slices, text_of
+from timeloom.llm.runtime import map_arrow, release, slices, text_of
 from timeloom.llm.textarrays import LETTER, NUMBER, class_table, joined, span_hashes
 
 BITS = 20
@@ -194,7 +194,12 @@ def fit(documents: DataFrame, labels: DataFrame, train_rows, sample: int = 5_000
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(packed, pa.binary()), batch.column("toxic")], names=["doc_id", "pairs", "toxic"])
 
     got = sorted(map_arrow(rows, work, "doc_id bigint, pairs binary, toxic int").collect(), key=lambda r: (r["doc_id"], bytes(r["pairs"])))
-    return train([bytes(r["pairs"]) for r in got], np.array([r["toxic"] for r in got], float))
+    pairs, marked = [bytes(r["pairs"]) for r in got], np.array([r["toxic"] for r in got], float)
+    del got
+    model = train(pairs, marked)
+    del pairs
+    release()
+    return model
 
 
 def score(documents: DataFrame, model: Model) -> DataFrame:
