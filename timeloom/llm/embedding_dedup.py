@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from timeloom.llm.components import connected_components
-from timeloom.llm.runtime import cut, map_arrow
+from timeloom.llm.runtime import cut, map_arrow, per_group
 from timeloom.llm.textarrays import mix
 
 BLOCK = 512
@@ -193,7 +193,7 @@ def loose_pairs(vectors: DataFrame, limit: float) -> DataFrame:
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("bucket", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "key", "code")
     dealt = dealt.withColumn("part", F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(parts)))
-    return dealt.groupBy("part").applyInPandas(compare, "a bigint, b bigint")
+    return per_group(dealt, "part", compare, "a bigint, b bigint")
 
 
 def count_block(group: pd.DataFrame, limit: float) -> pd.DataFrame:
@@ -228,14 +228,14 @@ def link_vectors(embeddings: DataFrame, limit: float = 0.95) -> DataFrame:
     classes = rows.where("key is not null").groupBy("key").agg(F.count("*").alias("copies"), F.min("vec_id").alias("first"), F.min("unit").alias("unit"))
     classes = cut(classes)
     loose = connected_components(loose_pairs(classes.select("key", "unit"), limit))
-    sizes = loose.groupBy("component").agg(F.count("*").alias("n")).select("component", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    placed = loose.withColumnRenamed("id", "key").join(sizes, "component").join(classes, "key")
+    sizes = cut(loose.groupBy("component").agg(F.count("*").alias("n")).select("component", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), "n"))
+    placed = loose.withColumnRenamed("id", "key").join(sizes.drop("n"), "component").join(classes, "key")
     placed = placed.withColumn("side", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("component", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "key", "copies", "unit")
-    parts = max(1, classes.count() // 4096)
-    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("component", "i", "j"), F.lit(parts)))
-    counted = cut(dealt.groupBy("part").applyInPandas(lambda g: count_block(g, limit), "key bigint, links bigint, head bigint"))
+    rows_dealt = sizes.agg(F.sum(F.col("n") * F.col("blocks"))).first()[0] or 0
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("component", "i", "j"), F.lit(max(1, rows_dealt // 4096))))
+    counted = cut(per_group(dealt, "part", lambda g: count_block(g, limit), "key bigint, links bigint, head bigint"))
     links = counted.groupBy("key").agg(F.sum("links").alias("links"))
     joined = connected_components(counted.select(F.col("key").alias("a"), F.col("head").alias("b")))
     joined = joined.join(classes.select(F.col("key").alias("id"), "first"), "id")
