@@ -7,8 +7,9 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
-from timeloom.llm import embedding_dedup, fingerprints, html_extract, langid, ngram_jaccard, packing, secret_scan, sentencepiece_codec, token_counts, toxicity
+from timeloom.llm import embedding_dedup, fingerprints, html_extract, langid, ngram_jaccard, packing, queries, secret_scan, sentencepiece_codec, token_counts, toxicity
 from timeloom.llm.bytebpe import byte_bpe
 
 ODD = ["", " ", "  a  b\n\n c's don't 'tis I'LL ''s<|endoftext|>  hi   ", "été ½ 12ab3 ...!?'ve'", "日本語 😀😀 á", "x" * 3000, "loremipsum" * 300 + " z", "ΣΑΣ İstanbul", "tab\t\tx", "\n's"]
@@ -168,9 +169,11 @@ def brute_groups(texts, percent=75):
     return [(i, len(s), part[i]) for i, s in enumerate(sets)]
 
 
-@pytest.mark.parametrize("small", [48, 2])
-def test_jaccard_join_against_brute_force(spark, monkeypatch, small):
+@pytest.mark.parametrize(("small", "least"), [(48, 4096), (2, 4096), (48, 8)])
+def test_jaccard_join_against_brute_force(spark, monkeypatch, small, least):
+    """The last case has hot shingles (a passage that all texts end with) and a heavy class."""
     monkeypatch.setattr(ngram_jaccard, "SMALL", small)
+    monkeypatch.setattr(ngram_jaccard, "LEAST", least)
     rng = random.Random(8)
     base = [rng.choices([f"w{i}" for i in range(500)], k=60) for _ in range(6)]
     texts = [None, "", "one two", "One two", "a b c d e"]
@@ -179,9 +182,9 @@ def test_jaccard_join_against_brute_force(spark, monkeypatch, small):
             c = list(b)
             for _ in range(rng.randint(0, 4)):
                 c[rng.randrange(60)] = f"x{rng.random()}"
-            texts.append(" ".join(c))
-    texts += texts[5:8]
-    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in ngram_jaccard.group_documents(table(spark, texts)).collect())
+            texts.append(" ".join(c) + (" one passage that all of these texts end with" if least < 4096 else ""))
+    texts += texts[5:8] + (texts[9:10] * 20 if least < 4096 else [])
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in ngram_jaccard.group_documents(table(spark, texts).coalesce(1)).collect())
     assert got == brute_groups(texts)
 
 
@@ -232,10 +235,20 @@ def test_html_main_text():
     page = '<html><head><title>T</title></head><body><nav><a href="/">Home</a></nav><div class="ad">Buy</div><article><h1>Head</h1><p>One &amp; two<br>three<p>x</article><div id="comments">no</div><footer>f</footer>'
     assert html_extract.main_text(page) == "Head One & two three x"
     loose = "<body><div><a href=1>a</a> <a href=2>b</a></div><p>short lead</p><p>" + "the cat and the dog are in the house with a man " * 4 + "</p><p>end note</p><div><a href=3>more links here</a></div>"
-    assert html_extract.main_text(loose).startswith("short lead" if "short lead" in html_extract.main_text(loose) else "the cat")
+    assert html_extract.main_text(loose) == ("the cat and the dog are in the house with a man " * 4).strip()  # of unlike neighbours equally near, none
+    near = loose.replace("<p>end note</p>", "<h2>Next</h2><p>" + "the cat and the dog are in the house with a man " * 4 + "</p>")
+    assert "man Next the" in html_extract.main_text(near)
     assert html_extract.main_text("") == html_extract.main_text("<script>x") == ""
 
 
+def test_html_unspaced_formulas_and_sections():
+    line = "今日は天気がとても良いので、私たちは公園に行って花を見ながらお弁当を食べました。" * 4
+    assert html_extract.main_text(f"<body><div><a href=x>ホーム</a></div><div><p>{line}</p><p>{line}</p></div></body>") == f"{line} {line}"
+    body = "the cat and the dog are in the house with a man " * 3
+    page = f"<article><figure><figcaption>A</figcaption></figure><p>One <math><mi>x</mi></math></p><div class='related-work'><h2>Work</h2><p>{body}</p></div><div class='related-posts'><a href=y>x y z</a></div><p>two</p></article>"
+    assert html_extract.main_text(page) == f"A One x Work {body}two"
+
+
 def test_html_wrappers_and_figures():
     inner = "<article><div class='entry-header'><h1>Head</h1></div><p>One two</p><figure><table><tr><td>cell</td></tr></table><figcaption>Caption</figcaption></figure></article>"
     for name in ("layout with-sidebar", "has-sidebar", "content no-sidebar", "single-post right-sidebar", "header", "has-comments"):
@@ -244,9 +257,45 @@ def test_html_wrappers_and_figures():
     assert html_extract.main_text(f"<body>{inner}<div id='comments'><article class='comment'>no</article></div></body>") == "Head One two cell Caption"
 
 
+def test_secret_candidates_against_a_plain_search():
+    rng = random.Random(6)
+    for _ in range(60):
+        text = " ".join(rng.choice(["password=" + "a1" * rng.randint(2, 9), "AKIA" + "Z" * rng.randint(8, 20), "%032x" % rng.getrandbits(128), "x" * rng.randint(3, 40), "api_key: /tmp/" + "q" * 20, "word"]) for _ in range(rng.randint(0, 12)))
+        taken = secret_scan.rule_spans(text)
+        want = [m.span() for m in secret_scan.CANDIDATE.finditer(text) if not any(a < m.end() and m.start() < b for a, _, b in taken)]
+        assert secret_scan.candidates(text, taken) == want
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert ngram_jaccard.group_documents(docs).count() == 0
     assert packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json")).count() == 0
     assert fingerprints.compare_edited(docs).count() == 0
     assert embedding_dedup.link_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+    assert sentencepiece_codec.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model")).count() == 0
+    assert token_counts.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json")).count() == 0
+    assert secret_scan.scan(docs, secret_scan.fit(docs)).count() == 0
+    assert toxicity.score(docs, toxicity.fit(docs, spark.createDataFrame([], "doc_id long, toxic int"), F.lit(True))).count() == 0
+    assert langid.identify(docs, langid.fit(docs, F.lit(True))).count() == 0
+    assert html_extract.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_repeated_ids_and_clashing_columns(spark):
+    """A row that comes twice comes out twice, the same; columns named like helpers or results do not matter."""
+    texts = ["one two three four five six", None, "", "one two three four five six"]
+    rows = [(7 if i < 2 else 8, t, 0, 0, "k", "x") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame([*rows, rows[0]], "doc_id long, text string, key int, n int, component_id string, score string")
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in ngram_jaccard.group_documents(docs).collect()) == [(7, 0, 7), (7, 2, 7), (7, 2, 7), (8, 0, 8), (8, 2, 7)]
+    assert sorted((r.doc_id, r.n_tokens) for r in token_counts.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json")).collect()) == [(7, 0), (7, 6), (7, 6), (8, 0), (8, 6)]
+    assert sentencepiece_codec.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"), 8).count() == 5
+    vectors = spark.createDataFrame([(1, [1.0, 0.0], 5, "u"), (1, [1.0, 0.0], 5, "u"), (2, [0.0, 0.0], 5, "u"), (3, None, 5, "u"), (4, [1.0, 0.01], 5, "u")], "vec_id long, embedding array<double>, key int, unit string")
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in embedding_dedup.link_vectors(vectors).collect()) == [(1, 2, 1), (1, 2, 1), (2, 0, 2), (3, 0, 3), (4, 2, 1)]
+    pages = spark.createDataFrame([(1, "u", "<p>" + "the cat and the dog are in the house with a man " * 3 + "</p>", "t"), (1, "u", None, "t")], "page_id long, url string, html string, text string")
+    assert sorted((r.page_id, r.n_chars > 0) for r in html_extract.extract(pages).collect()) == [(1, False), (1, True)]
+
+
+def test_building_queries_leaves_the_session_as_it_is(spark):
+    before = {r["key"]: r["value"] for r in spark.sql("SET").collect()}
+    for name in ("op1_sentencepiece", "op5_token_counts", "op9_html_extract"):
+        queries.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert {r["key"]: r["value"] for r in spark.sql("SET").collect()} == before

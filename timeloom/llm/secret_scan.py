@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from timeloom.llm.runtime import map_arrow, text_of
+from timeloom.llm.runtime import map_arrow, release, text_of
 
 # The rules.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -53,11 +53,14 @@ def rule_spans(text: str) -> list[Span]:
 
 
 def candidates(text: str, taken: list[Span]) -> list[tuple[int, int]]:
-    """Long tokens that no rule's finding touches."""
-    out = []
+    """Long tokens that no rule's finding touches; ``taken`` is in order of start."""
+    out, at, reach = [], 0, 0
     for m in CANDIDATE.finditer(text):
         s, e = m.span()
-        if not any(a < e and s < b for a, _, b in taken):
+        while at < len(taken) and taken[at][0] < e:
+            reach = max(reach, taken[at][2])
+            at += 1
+        if reach <= s:
             out.append((s, e))
     return out
 
@@ -218,7 +221,9 @@ def train_clean(windows: list[str], labels: list[int]) -> Network:
         judge = train([w for w, h in zip(windows, side, strict=True) if h != half], y[side != half].tolist())
         rows = np.flatnonzero((side == half) & (y == 0))
         keep[rows] = judge.probability([windows[i] for i in rows]) < max(0.5, judge.threshold)
-    return train([windows[i] for i in np.flatnonzero(keep)], y[keep].tolist())
+    model = train([windows[i] for i in np.flatnonzero(keep)], y[keep].tolist())
+    release()
+    return model
 
 
 def fit(documents: DataFrame, sample: int = 20_000, examples_max: int = 12_000) -> Network:
@@ -243,18 +248,29 @@ def spans_text(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
 
-def all_spans(texts: list[str], net: Network) -> tuple[list[list[Span]], list[list[Span]]]:
-    """The rules' findings and all findings of each text."""
+def all_spans(texts: list[str], net: Network, most: int = 8_192) -> tuple[list[list[Span]], list[list[Span]]]:
+    """The rules' findings and all findings of each text; about ``most`` frames are judged at a time, or one token's."""
     base = [rule_spans(t) for t in texts]
-    more = [(i, s, e) for i, t in enumerate(texts) for s, e in candidates(t, base[i])]
     every = [list(b) for b in base]
-    frames = [windows_of(texts[i], s, e) for i, s, e in more]
-    p = net.probability([w for f in frames for w in f])
-    starts = np.cumsum([0, *map(len, frames)])[:-1]
-    top = np.maximum.reduceat(p, starts) if more else p
-    for (i, s, e), hit in zip(more, top >= net.threshold, strict=True):
-        if hit:
-            every[i].append((s, 3, e))
+    held: list[tuple[int, int, int, list[str]]] = []
+    n = 0
+
+    def judge() -> None:
+        p = net.probability([w for *_, frames in held for w in frames])
+        top = np.maximum.reduceat(p, np.cumsum([0, *(len(h[3]) for h in held)])[:-1])
+        for (i, s, e, _), hit in zip(held, top >= net.threshold, strict=True):
+            if hit:
+                every[i].append((s, 3, e))
+
+    for i, t in enumerate(texts):
+        for s, e in candidates(t, base[i]):
+            held.append((i, s, e, windows_of(t, s, e)))
+            n += len(held[-1][3])
+            if n >= most:
+                judge()
+                held, n = [], 0
+    if held:
+        judge()
     return base, [sorted(x) for x in every]
 
 
