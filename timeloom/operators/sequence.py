@@ -8,11 +8,12 @@ kernels take every row they are given.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 SKIP = 0.42  # cost of leaving a layer without a candidate
 DRIFT_MS, DRIFT_MOST = 120.0, 2.0  # scale and ceiling of the cost of a change in residual
@@ -20,18 +21,61 @@ BEND_MS, BEND_MOST = 180.0, 1.5  # the same for a change of that change
 CELLS = 1_000_000  # transitions weighed at once; a fuller layer is taken in stretches
 
 
+def _starts(keys: pd.DataFrame) -> np.ndarray:
+    """Places where a row's keys differ from the row's before; 0 is one."""
+    new = np.zeros(len(keys), bool)
+    new[:1] = True
+    for name in keys:
+        column = keys[name]
+        last = column.shift()
+        new[1:] |= ((column != last) & ~(column.isna() & last.isna())).to_numpy()[1:]
+    return np.flatnonzero(new)
+
+
 def per_group(rows: DataFrame, keys: list[str], order: list[str], kernel: Callable[[pd.DataFrame], dict], schema: str) -> DataFrame:
-    """Applies a kernel to each group in order; its columns follow the keys, a group without results gives no row."""
+    """Applies a kernel to each group in order; its columns follow the keys, a group without results gives no row.
+
+    Groups are dealt by their keys and streamed in sorted partitions, so a
+    small group costs no call of its own and a task holds one group beside a
+    batch. Nulls sort last; a null key is a group like any other.
+    """
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     names = [c.split()[0] for c in schema.split(", ")]
 
-    def work(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        made = pd.DataFrame(kernel(group.sort_values(order, kind="stable").reset_index(drop=True)), columns=names)
-        for at, (name, value) in enumerate(zip(keys, key, strict=True)):
-            made.insert(at, name, value)
-        return made
-
-    return rows.groupBy(*keys).applyInPandas(work, ", ".join([*(f"{k} {kinds[k]}" for k in keys), schema]))
+    def made(group: pd.DataFrame) -> pd.DataFrame:
+        out = pd.DataFrame(kernel(group.reset_index(drop=True)), columns=names)
+        for at, key in enumerate(keys):
+            value = group[key].iat[0]
+            out.insert(at, key, None if pd.api.types.is_scalar(value) and pd.isna(value) else value)
+        return out
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []  # parts of the group that may go on
+        for batch in batches:
+            if not len(batch):
+                continue
+            starts = _starts(batch[keys])
+            if held and _starts(pd.concat([held[-1][keys].tail(1), batch[keys].head(1)], ignore_index=True))[-1] == 0:
+                starts = starts[1:]  # the first rows belong to the group held
+            edges = [0, *starts.tolist(), len(batch)]
+            parts = [batch.iloc[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+            done = []
+            for number, part in enumerate(parts):
+                if number and held:
+                    done.append(pd.concat(held) if len(held) > 1 else held[0])
+                    held = []
+                if len(part):
+                    held.append(part)
+            results = [r for r in map(made, done) if len(r)]
+            if results:
+                yield pd.concat(results, ignore_index=True)
+        if held:
+            last = made(pd.concat(held) if len(held) > 1 else held[0])
+            if len(last):
+                yield last
+
+    dealt = rows.repartition(*keys).sortWithinPartitions(*(F.asc_nulls_last(c) for c in [*keys, *order]))
+    return dealt.mapInPandas(work, ", ".join([*(f"{k} {kinds[k]}" for k in keys), schema]))
 
 
 def align(similarity: np.ndarray, skip_row: float, skip_column: float) -> tuple[float, list[tuple[int, int]]]:
