@@ -114,12 +114,13 @@ def merge_intervals(rows: DataFrame, keys: list[str], start: str, end: str, tole
     return numbered.groupBy(*keys, "region_no").agg(F.min(start).alias("start"), F.max(end).alias("stop"), F.count("*").alias("n"))
 
 
-def coverage_gaps(rows: DataFrame, keys: list[str], bucket: str, long: int = 8) -> DataFrame:
-    """Runs of integer buckets that a key skips between those it has; ``long_gap`` says that one has at least ``long``."""
+def coverage_gaps(rows: DataFrame, keys: list[str], bucket: str, long: int | None = None) -> DataFrame:
+    """Runs of integer buckets that a key skips between those it has; with ``long`` also ``long_gap``: whether one has at least that many."""
     have = rows.select(*keys, bucket).where(F.col(bucket).isNotNull()).distinct()
     after = F.lead(bucket).over(Window.partitionBy(*keys).orderBy(bucket))
     gaps = have.withColumn("_next", after).where(F.col("_next") > F.col(bucket) + 1)
-    return gaps.select(*keys, (F.col(bucket) + 1).alias("first"), (F.col("_next") - 1).alias("last"), (F.col("_next") - F.col(bucket) - 1).alias("n")).withColumn("long_gap", F.col("n") >= long)
+    made = gaps.select(*keys, (F.col(bucket) + 1).alias("first"), (F.col("_next") - 1).alias("last"), (F.col("_next") - F.col(bucket) - 1).alias("n"))
+    return made if long is None else made.withColumn("long_gap", F.col("n") >= long)
 
 
 def runs(rows: DataFrame, keys: list[str], order: list[str], value: Column) -> DataFrame:

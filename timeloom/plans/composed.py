@@ -91,7 +91,7 @@ def manual_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""with c as (select user_id % 10 g, hour * 3600::double x, max(hour * 3600::double + (user_id % 7)::double * 400::double) y from EVENTS where event_id % 30 = 0 group by all), p as (select *, lead(x) over w x2, lead(y) over w y2 from c window w as (partition by g order by x)), f as (select g, min(x) fx, arg_min(y, x) fy from c group by g),
-r as (select user_id % 10 g, t::double / 1000000::double t, 60::double + value bpm from EVENTS where event_id % 5 = 0), m as (select r.*, case when p.x is null then f.fy + (t - f.fx) when p.x2 is null then p.y + (t - p.x) else p.y + (t - p.x) * (p.y2 - p.y) / (p.x2 - p.x) end n from r asof left join p on r.g = p.g and r.t >= p.x join f on f.g = r.g),
+r as (select user_id % 10 g, t::double / 1000000::double t, 60::double + value bpm from EVENTS where event_id % 5 = 0), m as (select r.*, case when f.fx is null then t when p.x is null then f.fy + (t - f.fx) when p.x2 is null then p.y + (t - p.x) else p.y + (t - p.x) * (p.y2 - p.y) / (p.x2 - p.x) end n from r asof left join p on r.g = p.g and r.t >= p.x left join f on f.g = r.g),
 q as (select *, (lead(n) over w - n) / (lead(t) over w - t) ra from m window w as (partition by g order by t)), s as (select *, case when ra > 0 then ra end ga from q), u as (select *, coalesce(ga, last_value(ga ignore nulls) over (partition by g order by t rows between unbounded preceding and 1 preceding), 1::double) rt from s)
 select g, {sql_scaled("n", 10)} as time, {sql_scaled("bpm / rt", 100)} bpm from u""")
 def retimed_tempos(spark: SparkSession, sf_dir: str) -> DataFrame:
