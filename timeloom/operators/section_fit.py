@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from timeloom.operators import fusion, islands, joins
 from timeloom.operators.gates import MODES
-from timeloom.operators.sequence import align, per_group, set_agreement
+from timeloom.operators.sequence import agreements, align, per_group
 
 
 @dataclass(frozen=True)
@@ -78,10 +78,6 @@ def with_groups(made: DataFrame, groups: DataFrame, keys: list[str], role: str,
     return whole.withColumn("groups", F.coalesce("groups", empty)).withColumn("context", F.coalesce("context", empty)).withColumn("observable", F.size("groups") >= Fit.fewest)
 
 
-def _likeness(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
-    return np.array([[set_agreement(p, q) for q in b] for p in a]).reshape(len(a), len(b))
-
-
 def _step_likeness(a: list[np.ndarray], b: list[np.ndarray]) -> float:
     x, y = (np.diff([int(s.min()) for s in side if len(s)]) for side in (a, b))
     n = min(len(x), len(y))
@@ -108,7 +104,7 @@ def evaluate(start: float, end: float, expected: float, times: np.ndarray, sets:
     usable = np.flatnonzero(right - left >= fit.fewest)
     rows = []
     slices, of = np.unique(left[usable] * (len(heard) + 1) + right[usable], return_inverse=True)
-    all_likeness = _likeness(sets, heard_sets[int(left[usable].min()) : int(right[usable].max())]) if len(usable) else None
+    all_likeness = agreements(sets, heard_sets[int(left[usable].min()) : int(right[usable].max())]) if len(usable) else None
     for number, packed in enumerate(slices.tolist()):
         lo, hi = divmod(packed, len(heard) + 1)
         base = int(left[usable].min())

@@ -303,6 +303,20 @@ def set_agreement(a: np.ndarray, b: np.ndarray, period: int = 12, octave: float
     return float(np.where(same, 1.0, np.where(near, octave, 0.0)).mean())
 
 
+def agreements(a: list[np.ndarray], b: list[np.ndarray], period: int = 12, octave: float = 0.72) -> np.ndarray:
+    """``set_agreement`` of every set of a with every set of b, as products of membership tables."""
+    symbols = np.unique(np.concatenate([*a, *b, np.zeros(0, np.int64)]).astype(np.int64))
+    held = lambda sets: np.array([np.isin(symbols, s) for s in sets], np.float64).reshape(len(sets), len(symbols))
+    x, y = held(a), held(b)
+    classes = symbols % period
+    has = np.zeros((len(b), period))
+    for c in range(period):
+        has[:, c] = y[:, classes == c].any(axis=1)
+    same, near = x @ y.T, x @ has[:, classes].T
+    size = x.sum(axis=1)[:, None]
+    return np.where((size > 0) & (y.sum(axis=1)[None, :] > 0), (same + octave * (near - same)) / np.maximum(size, 1), 0.0)
+
+
 def align_counted(similarity: np.ndarray, skip_row: float, skip_column: float, backwards: bool = False) -> tuple[float, list[tuple[int, int]]]:
     """As ``align``, but of alignments that score alike the one with most matches, forwards or from the end; the score is per match."""
     given = similarity[::-1, ::-1] if backwards else similarity
@@ -321,7 +335,7 @@ def align_sets(rows: DataFrame, keys: list[str], at: str, side: str, members: st
 
     def kernel(g: pd.DataFrame) -> dict:
         left, right = g[g[side] == 0], g[g[side] == 1]
-        likeness = np.array([[set_agreement(np.asarray(p), np.asarray(q)) for q in right[members]] for p in left[members]]).reshape(len(left), len(right))
+        likeness = agreements([np.asarray(p) for p in left[members]], [np.asarray(q) for q in right[members]])
         score, found = align(likeness, skip_a, skip_b)
         return {"a_at": left[at].to_numpy()[[i for i, _ in found]], "b_at": right[at].to_numpy()[[j for _, j in found]], "score": score / max(1, len(left))}
 
