@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timeloom.llm import embedding_dedup, html_extract, langid, secret_scan, toxicity
+from timeloom.llm import collocations, embedding_dedup, html_extract, langid, mixing, secret_scan, spelling, toxicity
 from timeloom.llm.fingerprints import compare_edited
 from timeloom.llm.ngram_jaccard import group_documents
 from timeloom.llm.packing import pack_documents
@@ -70,6 +70,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score", "accepted")
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_secret_scan, op3_toxicity, op4_embedding_dedup, op5_token_counts, op6_fingerprints, op7_ngram_jaccard, op8_packing, op9_html_extract, op10_language_id)}
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_counts(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
-ORACLE_SQL: dict[str, str] = {}
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_secret_scan, op3_toxicity, op4_embedding_dedup, op5_token_counts, op6_fingerprints, op7_ngram_jaccard, op8_packing, op9_html_extract, op10_language_id, op11_mixing, op12_collocations, op13_spelling)}
+
+ORACLE_SQL: dict[str, str] = {"op11_mixing": mixing.MIX_SQL, "op12_collocations": collocations.COLLOCATION_SQL}
