@@ -7,6 +7,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from timeloom.functions import slopes
+from timeloom.operators.sequence import per_group, per_groups
+
 
 def median_and_mad(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Median, and median absolute deviation from it."""
@@ -28,12 +31,23 @@ def residual_metrics(rows: DataFrame, keys: list[str], residual: str) -> DataFra
     return rows.groupBy(*keys).agg(F.count("*").alias("n"), F.median(size).alias("median_abs"), F.percentile(size, 0.95).alias("p95_abs"), F.max(size).alias("max_abs"), F.median(residual).alias("signed_median"))
 
 
+def _points(rows: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
+    return rows.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*keys, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
+
+
 def theil_sen(rows: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
-    """Median slope over all pairs of a key's points with x1 < x2; a key should hold a bounded number of points."""
-    a = rows.select(*keys, F.col(x).alias("x1"), F.col(y).alias("y1"))
-    b = rows.select(*keys, F.col(x).alias("x2"), F.col(y).alias("y2"))
-    slopes = a.join(b, keys).where("x2 > x1").select(*keys, ((F.col("y2") - F.col("y1")) / (F.col("x2") - F.col("x1"))).alias("s"))
-    return slopes.groupBy(*keys).agg(F.median("s").alias("slope"), F.count("*").alias("pairs"))
+    """Median slope over all pairs of a key's points with x1 < x2, and the number of these pairs; a key without any gives no row.
+
+    No pairs are formed but few around the median (``slopes``): a key of n points costs n log n time and memory of n.
+    ``dealt_median_slope`` takes keys that one task can't hold.
+    """
+
+    def kernel(g: pd.DataFrame, starts: np.ndarray) -> tuple[np.ndarray, dict]:
+        slope, pairs = slopes.median_slopes(g["_x"].to_numpy(), g["_y"].to_numpy(), starts)
+        some = np.flatnonzero(pairs)
+        return some, {"slope": slope[some], "pairs": pairs[some]}
+
+    return per_groups(_points(rows, keys, x, y), keys, ["_x", "_y"], kernel, "slope double, pairs bigint")
 
 
 def best_and_margin(rows: DataFrame, keys: list[str], name: str, score: str) -> DataFrame:
@@ -46,15 +60,20 @@ def best_and_margin(rows: DataFrame, keys: list[str], name: str, score: str) ->
 def theil_sen_line(rows: DataFrame, keys: list[str], x: str, y: str, least: float = 0.0) -> DataFrame:
     """Per key the median slope over pairs with x apart by more than ``least`` (1 where there are none), the median intercept, and the residuals' median and maximum.
 
-    A key should hold a bounded number of points.
+    As ``theil_sen``, no pairs are formed.
     """
-    points = rows.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*keys, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
-    other = points.select(*keys, F.col("_x").alias("_x2"), F.col("_y").alias("_y2"))
-    slopes = points.join(other, keys).where(F.col("_x2") - F.col("_x") > least).groupBy(*keys).agg(F.median((F.col("_y2") - F.col("_y")) / (F.col("_x2") - F.col("_x"))).alias("_s"))
-    fitted = points.join(slopes, keys, "left").withColumn("slope", F.coalesce("_s", F.lit(1.0)))
-    cut = fitted.groupBy(*keys, "slope").agg(F.median(F.col("_y") - F.col("slope") * F.col("_x")).alias("intercept"), F.count("*").alias("n"))
-    off = F.abs(F.col("_y") - (F.col("intercept") + F.col("slope") * F.col("_x")))
-    return points.join(cut, keys).groupBy(*keys, "slope", "intercept", "n").agg(F.median(off).alias("median_residual"), F.max(off).alias("maximum_residual"))
+
+    def kernel(g: pd.DataFrame, starts: np.ndarray) -> tuple[np.ndarray, dict]:
+        a, b = g["_x"].to_numpy(), g["_y"].to_numpy()
+        slope, pairs = slopes.median_slopes(a, b, starts, least)
+        slope = np.where(pairs > 0, slope, 1.0)
+        n = np.diff(np.append(starts, len(a)))
+        own = np.repeat(np.arange(len(starts)), n)
+        intercept = slopes.group_medians(b - slope[own] * a, own, len(starts))
+        off = np.abs(b - (intercept[own] + slope[own] * a))
+        return np.arange(len(starts)), {"slope": slope, "intercept": intercept, "n": n, "median_residual": slopes.group_medians(off, own, len(starts)), "maximum_residual": np.maximum.reduceat(off, starts)}
+
+    return per_groups(_points(rows, keys, x, y), keys, ["_x", "_y"], kernel, "slope double, intercept double, n bigint, median_residual double, maximum_residual double")
 
 
 def median_path(rows: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
@@ -65,13 +84,12 @@ def median_path(rows: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
 def trimmed_line(rows: DataFrame, keys: list[str], x: str, y: str, rounds: int = 3, width: float = 3.5, floor: float = 0.02) -> DataFrame:
     """The median line (slope, intercept, n, median_residual) after up to ``rounds`` trims of points farther than ``width`` MADs, ``floor`` at least, from it.
 
-    A key should hold a bounded number of points; one without two different x has slope 1.
+    One without two different x has slope 1.
     """
-    from timeloom.operators.sequence import per_group
 
     def line(a: np.ndarray, b: np.ndarray) -> tuple[float, float]:
-        run, rise = a[None, :] - a[:, None], b[None, :] - b[:, None]
-        slope = float(np.median(rise[run > 0] / run[run > 0])) if (run > 0).any() else 1.0
+        slope, pairs = slopes.median_slope(a, b)
+        slope = slope if pairs else 1.0
         return slope, float(np.median(b - slope * a))
 
     def kernel(g: pd.DataFrame) -> dict:

@@ -179,7 +179,7 @@ def transition_adjustment(p: str, c: str, stretch: float = 0.80, translation: fl
 
 def geometry(chart: Column, audio: Column, policy: dict) -> Column:
     """(accepted, basis, stretch, correction) of an edge: a normal stretch, or a short edge with a small correction."""
-    stretch, correction = audio / chart, F.abs(audio - chart)
+    stretch, correction = F.try_divide(audio, chart), F.abs(audio - chart)
     forward = (chart > 0) & (audio > 0)
     normal = stretch.between(*policy["stretch"])
     short = (chart <= policy["short_seconds"]) & (correction <= policy["short_delta"])
@@ -189,7 +189,7 @@ def geometry(chart: Column, audio: Column, policy: dict) -> Column:
 
 def fused_edge(chart: Column, midi: Column, stretch: tuple[float, float] = (0.90, 1.10), longest: float = 16.0, most: float = 0.5) -> Column:
     """The reason why a fused edge is unsafe, or null."""
-    ratio = midi / chart
+    ratio = F.try_divide(midi, chart)
     fits = ratio.between(*stretch) | ((chart <= longest) & (F.abs(midi - chart) <= most))
     return F.when(chart <= 0, "chart_control_did_not_advance").when(midi <= 0, "midi_control_did_not_advance").when(~fits, "unsafe_fused_edge_geometry")
 

@@ -78,6 +78,45 @@ def per_group(rows: DataFrame, keys: list[str], order: list[str], kernel: Callab
     return dealt.mapInPandas(work, ", ".join([*(f"{k} {kinds[k]}" for k in keys), schema]))
 
 
+def per_groups(rows: DataFrame, keys: list[str], order: list[str], kernel: Callable[[pd.DataFrame, np.ndarray], tuple[np.ndarray, dict]], schema: str) -> DataFrame:
+    """As ``per_group``, for kernels that take many small groups at once: whole groups in order and the places where each begins.
+
+    The kernel returns, for each row of its result, the number of the group in what it was given, and the columns.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def made(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.reset_index(drop=True)
+        starts = _starts(frame[keys])
+        group, columns = kernel(frame, starts)
+        out = frame[keys].iloc[starts[group]].reset_index(drop=True)
+        for name in names:
+            out[name] = columns[name]
+        return out
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []  # the group that may go on
+        for batch in batches:
+            if not len(batch):
+                continue
+            starts = _starts(batch[keys])
+            goes_on = bool(held) and _starts(pd.concat([held[-1][keys].tail(1), batch[keys].head(1)], ignore_index=True))[-1] == 0
+            if goes_on and len(starts) == 1:
+                held.append(batch)
+                continue
+            last = int(starts[-1])
+            done = [*held, batch.iloc[:last]]
+            held = [batch.iloc[last:]]
+            if sum(map(len, done)):
+                yield made(pd.concat(done))
+        if held:
+            yield made(pd.concat(held))
+
+    dealt = rows.repartition(*keys).sortWithinPartitions(*(F.asc_nulls_last(c) for c in [*keys, *order]))
+    return dealt.mapInPandas(work, ", ".join([*(f"{k} {kinds[k]}" for k in keys), schema]))
+
+
 def align(similarity: np.ndarray, skip_row: float, skip_column: float) -> tuple[float, list[tuple[int, int]]]:
     """Best order-preserving matching: its score and its (row, column) matches.
 

@@ -59,10 +59,10 @@ def word_continuations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vocals.with_continuations(words, notes, ["g"]).select("g", F.rint("t").cast("long").alias("time"), "w", "midi")
 
 
-@query(f"""with r as (select user_id % 40 g, t::double / 1000000::double x, value + (event_id % 10)::double y from EVENTS where event_id % 3 = 0), s as (select a.g, median((b.y - a.y) / (b.x - a.x)) m from r a join r b on a.g = b.g and b.x > a.x group by a.g), i as (select r.g, any_value(m) m, median(y - m * x) c, count(*) n from r join s using (g) group by r.g), d as (select r.g, median(abs(y - (c + m * x))) md from r join i using (g) group by r.g)
+@query(f"""with r as (select user_id % 40 g, t::double / 1000000::double x, value + (event_id % 10)::double y from EVENTS), s as (select a.g, median((b.y - a.y) / (b.x - a.x)) m from r a join r b on a.g = b.g and b.x > a.x group by a.g), i as (select r.g, any_value(m) m, median(y - m * x) c, count(*) n from r join s using (g) group by r.g), d as (select r.g, median(abs(y - (c + m * x))) md from r join i using (g) group by r.g)
 select g, n, {sql_scaled("m * 1000000::double", 1000)} slope, {sql_scaled("md", 1000)} median_residual from i join d using (g)""")
 def robust_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = events(spark, sf_dir).where("event_id % 3 = 0").select((F.col("user_id") % 40).alias("g"), (F.col("t").cast("double") / 1e6).alias("x"), (F.col("value") + F.col("event_id") % 10).alias("y"))
+    rows = events(spark, sf_dir).select((F.col("user_id") % 40).alias("g"), (F.col("t").cast("double") / 1e6).alias("x"), (F.col("value") + F.col("event_id") % 10).alias("y"))
     got = robust.theil_sen_line(rows, ["g"], "x", "y")
     return got.select("g", "n", scaled(F.col("slope") * 1e6).alias("slope"), scaled("median_residual").alias("median_residual"))
 

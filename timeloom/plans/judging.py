@@ -109,11 +109,11 @@ def proposal_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evidence.fit_metrics(rows, ["g"], "res", "cor").select("g", "n", scaled("improvement", 10).alias("improvement"), scaled("base_mad", 10).alias("base_mad"), scaled("mad", 10).alias("mad"))
 
 
-@query(f"""with o as (select user_id g, (t - 1704067200000000)::double / 1000000::double x, (cast(floor(value * 100::double) as bigint) % 900)::double y from EVENTS where event_id % 2 = 0), n as (select *, case when row_number() over (partition by g order by x, y) <= count(*) over (partition by g) // 2 then 1 else 2 end h from o),
+@query(f"""with o as (select user_id g, (t - 1704067200000000)::double / 1000000::double x, (cast(floor(value * 100::double) as bigint) % 900)::double y from EVENTS), n as (select *, case when row_number() over (partition by g order by x, y) <= count(*) over (partition by g) // 2 then 1 else 2 end h from o),
 s as (select a.g, a.h, median((b.y - a.y) / (b.x - a.x)) slope from n a join n b on a.g = b.g and a.h = b.h and b.x > a.x group by all), w as (select g, h, count(*) n, max(x) - min(x) span from n group by all), k as (select *, coalesce(n >= 4 and span >= 30 and abs(slope) >= 1::double and abs(slope * span) >= 75::double, false) sig from w left join s using (g, h))
 select g, cast(sum(n) as bigint) n, {sql_scaled("max(slope) filter (h = 1)", 1000000)} first_slope, {sql_scaled("max(slope) filter (h = 2)", 1000000)} second_slope from k group by g""")
 def half_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = events(spark, sf_dir).where("event_id % 2 = 0").select(F.col("user_id").alias("g"), ((F.col("t") - 1_704_067_200_000_000).cast("double") / 1e6).alias("x"), (F.floor(F.col("value") * 100) % 900).cast("double").alias("y"))
+    rows = events(spark, sf_dir).select(F.col("user_id").alias("g"), ((F.col("t") - 1_704_067_200_000_000).cast("double") / 1e6).alias("x"), (F.floor(F.col("value") * 100) % 900).cast("double").alias("y"))
     return evidence.half_shapes(rows, ["g"], "x", "y").select("g", F.col("n").cast("long").alias("n"), scaled("first_slope", 10**6).alias("first_slope"), scaled("second_slope", 10**6).alias("second_slope"))
 
 
