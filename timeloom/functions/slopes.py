@@ -15,6 +15,11 @@ SAMPLE = 768  # points whose pairs steer the search
 ROUNDS = 200
 
 
+def resolution(slope: float, wide: float, tall: float) -> float:
+    """What slopes must differ by to be told apart by counts, over points of that extent."""
+    return 2.0**-46 * (tall / wide + abs(slope)) if wide > 0 else 0.0
+
+
 def sequence_of(x: np.ndarray, y: np.ndarray, least: float = 0.0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(x, y, first, second) of two entries a point: it can be a pair's second from x on, and a first for what lies more than ``least`` behind.
 
@@ -28,16 +33,16 @@ def sequence_of(x: np.ndarray, y: np.ndarray, least: float = 0.0) -> tuple[np.nd
     return x[both], y[both], first[order], both
 
 
-def _merged(z: np.ndarray, first: np.ndarray, found: list | None = None) -> int:
-    """How many firsts stand before a second of smaller z; ``found`` gets (first, second) places of them, an array a level."""
+def descents(z: np.ndarray, heads: np.ndarray, tails: np.ndarray, found: list | None = None) -> int:
+    """How many pairs of a head and a tail behind it have a smaller z at the tail; ``found`` gets (head, tail) places of them, an array a level."""
     n = len(z)
     if n < 2:
         return 0
     size = 1 << (n - 1).bit_length()
     value = np.concatenate((z, np.full(size - n, np.inf)))[:, None]
     place = np.arange(size)[:, None]
-    heads = np.concatenate((first, np.zeros(size - n, bool)))
-    tails = np.concatenate((~first, np.zeros(size - n, bool)))
+    heads = np.concatenate((heads, np.zeros(size - n, bool)))
+    tails = np.concatenate((tails, np.zeros(size - n, bool)))
     total = 0
     while value.shape[0] > 1:
         half = value.shape[1]
@@ -60,7 +65,7 @@ def _merged(z: np.ndarray, first: np.ndarray, found: list | None = None) -> int:
 
 def count_below(x: np.ndarray, y: np.ndarray, first: np.ndarray, slope: float) -> int:
     """How many slopes of first with second entries are below ``slope``; entries as of ``sequence_of``."""
-    return _merged(y - slope * x, first)
+    return descents(y - slope * x, first, ~first)
 
 
 def _between(x: np.ndarray, y: np.ndarray, first: np.ndarray, low: float, high: float) -> np.ndarray:
@@ -71,7 +76,7 @@ def _between(x: np.ndarray, y: np.ndarray, first: np.ndarray, low: float, high:
     order = np.lexsort((place, start))
     pairs: list[np.ndarray] = []
     end = y - high * x if np.isfinite(high) else -x
-    _merged(end[order], first[order], pairs)
+    descents(end[order], first[order], ~first[order], pairs)
     if not pairs:
         return np.zeros(0)
     i, j = (order[p] for p in np.concatenate(pairs, axis=1))
@@ -103,6 +108,7 @@ def median_slope(x: np.ndarray, y: np.ndarray, least: float = 0.0) -> tuple[floa
         return None, 0
     centre_x, centre_y = ordered[n // 2], float(np.median(y))  # smaller numbers round less
     px, py, first, _ = sequence_of(ordered - centre_x, y[order] - centre_y, least)
+    wide, tall = float(np.ptp(x)), float(np.ptp(y))
     ranks = (pairs - 1) // 2, pairs // 2  # of the two middle slopes, from 0
     some = np.random.default_rng(0).choice(n, min(n, SAMPLE), replace=False)
     drawn = np.sort(_direct(x[some], y[some], least))
@@ -133,7 +139,7 @@ def median_slope(x: np.ndarray, y: np.ndarray, least: float = 0.0) -> tuple[floa
             margin = min(0.25, max(0.01, 0.35 * room / (over - under), 1.0 / len(inside)))
             guesses = [float(np.quantile(inside, min(max(q, 0.0), 1.0), method="nearest")) for q in (at - margin, at + margin)]
             if guesses[0] == guesses[1]:  # many pairs have this slope
-                near = [np.spacing(abs(guesses[0]) or 1e-300) * 2.0**k for k in (4, 16)]
+                near = [resolution(guesses[0], wide, tall) * k for k in (1, 1024)]
                 for by in near:
                     if any([narrow(guesses[0] - by), narrow(guesses[0] + by)]):
                         break
@@ -144,7 +150,7 @@ def median_slope(x: np.ndarray, y: np.ndarray, least: float = 0.0) -> tuple[floa
                 continue
         elif np.isfinite(low) and np.isfinite(high):
             width = high - low
-            if width <= 8 * np.spacing(max(abs(low), abs(high))):
+            if width <= 4 * resolution(max(abs(low), abs(high)), wide, tall):
                 return (low + high) / 2, pairs
             margin = min(0.25, max(0.02, 0.35 * room / (over - under)))
             guesses = [low + width * min(max(q, 0.001), 0.999) for q in (at - margin, at + margin)] if turn % 3 else [low + width / 2]

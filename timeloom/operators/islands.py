@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from timeloom.operators import joins, tempo
+from timeloom.operators import dealt, joins, tempo
 from timeloom.operators.sequence import per_group
 
 ISLANDS = 256  # islands of one key that a kernel call takes together
@@ -56,11 +56,14 @@ def _head_times(rows: DataFrame, keys: list[str], time: str, tolerance: float, w
     """(keys, time, n, head) of every distinct time.
 
     A gap wider than the tolerance ends every group, so chains are grouped
-    one by one; only inside an unbroken chain does order matter.
+    one by one; only inside an unbroken chain does order matter. With
+    ``width`` also an unbroken chain is dealt out, in stretches of that much time.
     """
     kind = dict(rows.dtypes)[time]
     counted = rows.where(F.col(time).isNotNull()).groupBy(*keys, time).agg(F.count("*").alias("n"))
-    chained = chain_groups(counted, keys, time, tolerance, width=width).withColumn("_part", F.expr(f"group_no div {ISLANDS}"))
+    if width:
+        return dealt.head_times(counted, keys, time, tolerance, width)
+    chained = chain_groups(counted, keys, time, tolerance).withColumn("_part", F.expr(f"group_no div {ISLANDS}"))
 
     def kernel(g: pd.DataFrame) -> dict:
         t, chain = g[time].to_numpy(), g["group_no"].to_numpy()
