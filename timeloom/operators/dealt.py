@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from timeloom.functions import slopes
-from timeloom.operators.sequence import per_group
+from timeloom.operators.sequence import per_group, per_groups
 from timeloom.sources.shared import cut
 
 
@@ -227,29 +227,46 @@ def head_times(counted: DataFrame, keys: list[str], time: str, tolerance: float,
     stretch = stretch.withColumn("_anew", F.coalesce(F.col("_a") - F.lag("_z").over(along) > tolerance, F.lit(True)))
     stretch = cut(stretch.withColumn("_to", F.lead("_s").over(along)).withColumn("_after", F.lead("_a", 2).over(along)).withColumn("_to2", F.lead("_s", 2).over(along)).withColumn("_anew1", F.lead("_anew").over(along)).withColumn("_anew2", F.lead("_anew", 2).over(along)))
 
-    def entries(g: pd.DataFrame) -> dict:
-        t = g["t"].to_numpy()
-        last = _last_heads(t, tolerance)
-        if bool(g["_anew"].iat[0]):
-            return {"entry": t[:1], "last": t[last[:1]]}
-        some = slice(0, int(np.searchsorted(t, int(g["_s"].iat[0]) * width + tolerance, side="right")) + 1)
-        return {"entry": t[some], "last": t[last[some]]}
+    def entries(g: pd.DataFrame, starts: np.ndarray) -> tuple[np.ndarray, dict]:
+        t, anew, number = g["t"].to_numpy(), g["_anew"].to_numpy(bool), g["_s"].to_numpy()
+        own, first, last = [], [], []
+        for k, (a, z) in enumerate(zip(starts, np.append(starts[1:], len(t)), strict=True)):
+            mine = t[a:z]
+            if anew[a]:
+                at = 0
+                while (after := int(np.searchsorted(mine, mine[at] + tolerance, side="right"))) < len(mine):
+                    at = max(after, at + 1)
+                some, ends = mine[:1], mine[at : at + 1]
+            else:
+                some = mine[: int(np.searchsorted(mine, number[a] * width + tolerance, side="right")) + 1]
+                ends = mine[_last_heads(mine, tolerance)[: len(some)]]
+            own.append(np.full(len(some), k))
+            first.append(some)
+            last.append(ends)
+        return np.concatenate(own), {"entry": np.concatenate(first), "last": np.concatenate(last)}
 
     own = [*keys, "_s"]
-    nodes = cut(per_group(rows.join(stretch.select(*own, "_anew"), own), [*own, "_anew"], ["t"], entries, f"entry {kind}, last {kind}"))
+    nodes = cut(per_groups(rows.join(stretch.select(*own, "_anew"), own), [*own, "_anew"], ["t"], entries, f"entry {kind}, last {kind}"))
 
     # the next head after a last head: in the next stretch, or else the first of the one after
     leaving = nodes.select(*own, "last").distinct().join(stretch.select(*own, "_to", "_anew1"), own).where("not _anew1").select(*keys, F.col("_to").alias("_s"), F.lit(1).alias("asks"), F.col("last").alias("t"), F.col("_s").alias("from"))
     met = nodes.where("not _anew").select(*own, F.lit(0).alias("asks"), F.col("entry").alias("t"), F.lit(None).cast("long").alias("from")).unionByName(leaving)
 
-    def enter(g: pd.DataFrame) -> dict:
-        asks = g["asks"].to_numpy() == 1
-        t, last = g["t"].to_numpy()[~asks], g["t"].to_numpy()[asks]
-        at = np.searchsorted(t, last + tolerance, side="right")
-        found = at < len(t)
-        return {"from": g["from"].to_numpy()[asks].astype("int64"), "last": last, "next": pd.array([t[i] if ok else None for i, ok in zip(at, found, strict=True)], dtype="Int64" if kind == "bigint" else "Float64")}
-
-    met = per_group(met, own, ["asks", "t"], enter, f"from bigint, last {kind}, next {kind}")
+    def enter(g: pd.DataFrame, starts: np.ndarray) -> tuple[np.ndarray, dict]:
+        asks, t = g["asks"].to_numpy() == 1, g["t"].to_numpy()
+        ends = np.append(starts[1:], len(t))
+        at = np.zeros(len(t), np.int64)
+        for a, z in zip(starts, ends, strict=True):
+            m = a + int(np.count_nonzero(~asks[a:z]))
+            at[m:z] = a + np.searchsorted(t[a:m], t[m:z] + tolerance, side="right")
+            at[m:z] = np.where(at[m:z] < m, at[m:z], -1)
+        some = np.flatnonzero(asks)
+        group = np.searchsorted(starts, some, side="right") - 1
+        found = pd.array(t[np.maximum(at[some], 0)], dtype="Int64" if kind == "bigint" else "Float64")
+        found[at[some] < 0] = pd.NA
+        return group, {"from": g["from"].to_numpy()[some].astype("int64"), "last": t[some], "next": found}
+
+    met = per_groups(met, own, ["asks", "t"], enter, f"from bigint, last {kind}, next {kind}")
     ahead = stretch.select(*keys, F.col("_s").alias("from"), "_to", "_to2", "_after", "_anew2")
     beyond = F.col("next").isNull()
     steps = met.drop("_s").join(ahead, [*keys, "from"]).select(*keys, F.col("from").alias("_s"), "last", F.when(beyond, F.when(~F.col("_anew2"), F.col("_after"))).otherwise(F.col("next")).alias("next"), F.when(beyond, F.col("_to2")).otherwise(F.col("_to")).alias("next_s")).where("next is not null")
@@ -267,16 +284,37 @@ def head_times(counted: DataFrame, keys: list[str], time: str, tolerance: float,
     heads = taken.join(nodes.select(*own, "entry", "last"), on)
     carried = stretch.select(*own).join(heads, own, "left").withColumn("_carry", F.last("last", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, -1))).select(*own, "entry", "_carry")
 
-    def final(g: pd.DataFrame) -> dict:
-        t, entry, carry = g["t"].to_numpy(), g["entry"].iat[0], g["_carry"].iat[0]
-        first = len(t) if pd.isna(entry) else int(np.searchsorted(t, entry))
-        head = np.empty(len(t), t.dtype)
-        head[:first] = 0 if pd.isna(carry) else carry
-        at = first
-        while at < len(t):
-            end = max(int(np.searchsorted(t, t[at] + tolerance, side="right")), at + 1)
-            head[at:end] = t[at]
-            at = end
-        return {"time": t, "n": g["n"], "head": head}
-
-    return per_group(rows.join(carried, own), own, ["t"], final, f"time {kind}, n bigint, head {kind}").drop("_s")
+    def final(g: pd.DataFrame, starts: np.ndarray) -> tuple[np.ndarray, dict]:
+        t, entry, carry = g["t"].to_numpy(), g["entry"], g["_carry"]
+        some, held = entry.notna().to_numpy(), carry.notna().to_numpy()
+        entry, carry = entry.fillna(0).to_numpy(t.dtype), carry.fillna(0).to_numpy(t.dtype)
+        head, ends = np.empty(len(t), t.dtype), np.append(starts[1:], len(t))
+        for a, z in zip(starts, ends, strict=True):
+            at = a + int(np.searchsorted(t[a:z], entry[a])) if some[a] else z
+            head[a:at] = carry[a] if held[a] else 0
+            while at < z:
+                end = max(a + int(np.searchsorted(t[a:z], t[at] + tolerance, side="right")), at + 1)
+                head[at:end] = t[at]
+                at = end
+        return np.repeat(np.arange(len(starts)), ends - starts), {"time": t, "n": g["n"].to_numpy(), "head": head}
+
+    return per_groups(rows.join(carried, own), own, ["t"], final, f"time {kind}, n bigint, head {kind}").drop("_s")
+
+
+def regions(rows: DataFrame, keys: list[str], start: str, end: str, width: float, name: str = "_region") -> DataFrame:
+    """Adds the number of the unbroken region a span lies in: a new one begins where a span starts when all before it have ended.
+
+    A key is dealt out in stretches of ``width``; a table of one row a stretch carries on how far spans reach.
+    """
+    own = [*keys, "_s"]
+    by = Window.partitionBy(*own).orderBy(start, end)
+    spans = rows.where(F.col(start).isNotNull()).withColumn("_s", F.floor(F.col(start) / width).cast("long"))
+    along = Window.partitionBy(*keys).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    reach = spans.groupBy(*own).agg(F.max(end).alias("_z"))
+    reach = reach.select(*own, F.max("_z").over(along).alias("_reached"))
+    begun = spans.join(reach, own).withColumn("_reached", F.greatest("_reached", F.max(end).over(by.rowsBetween(Window.unboundedPreceding, -1))))
+    begun = begun.withColumn("_new", F.coalesce((F.col(start) >= F.col("_reached")).cast("int"), F.lit(1)))
+    counted = begun.groupBy(*own).agg(F.sum("_new").alias("_n"))
+    before = counted.select(*own, F.coalesce(F.sum("_n").over(along), F.lit(0)).alias("_before"))
+    inside = F.sum("_new").over(by.rowsBetween(Window.unboundedPreceding, 0))
+    return begun.withColumn("_in", inside).join(before, own).withColumn(name, F.col("_before") + F.col("_in")).select(*rows.columns, name)

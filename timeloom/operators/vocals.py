@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from timeloom.functions import notation, vectors
-from timeloom.operators import joins
+from timeloom.operators import dealt, joins
 from timeloom.operators.sequence import per_group
 
 HOP = 0.01  # seconds between pitch frames
@@ -135,10 +135,11 @@ def representative_pitch(syllables: DataFrame, frames: DataFrame, keys: list[str
     return syllables.drop("pitch").join(found, [*keys, ident], "left")
 
 
-def monophonic(notes: DataFrame, keys: list[str], shortest: float = SHORTEST) -> DataFrame:
+def monophonic(notes: DataFrame, keys: list[str], shortest: float = SHORTEST, width: float | None = None) -> DataFrame:
     """(keys, t, d, midi, confidence): one note at a time. Of notes that overlap, equal pitches join; else the surer one keeps the time both claim.
 
-    Rests shorter than ``shortest`` of a trimmed note go. A key is one voice of a song.
+    Rests shorter than ``shortest`` of a trimmed note go. A key is one voice of a song. With ``width`` a voice is dealt out: a note that
+    starts when all before have ended owes them nothing, so each unbroken stretch of sound is a group of its own.
     """
 
     def kernel(g: pd.DataFrame) -> dict:
@@ -164,4 +165,8 @@ def monophonic(notes: DataFrame, keys: list[str], shortest: float = SHORTEST) ->
         return {"t": [n[0] for n in line], "d": [n[1] - n[0] for n in line], "midi": [n[2] for n in line], "confidence": [n[3] for n in line]}
 
     ordered = notes.where("d > 0").withColumn("_c", -F.coalesce("confidence", F.lit(0.0)))
-    return per_group(ordered, keys, ["t", "_c"], kernel, "t double, d double, midi bigint, confidence double")
+    schema = "t double, d double, midi bigint, confidence double"
+    if not width:
+        return per_group(ordered, keys, ["t", "_c"], kernel, schema)
+    parted = dealt.regions(ordered.withColumn("_z", F.col("t") + F.col("d")), keys, "t", "_z", width)
+    return per_group(parted, [*keys, "_region"], ["t", "_c"], kernel, schema).drop("_region")

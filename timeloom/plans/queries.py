@@ -29,6 +29,27 @@ def onset_group_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("user_id", F.col("start").alias("start_us"), F.col("stop").alias("stop_us"), "n")
 
 
+_ROLE_HEADS = """with recursive o as (select role, t, row_number() over (partition by role order by t) r from EVENTS),
+f as (select role, t, r, t head from o where r = 1 union all select o.role, o.t, o.r, case when o.t - f.head > 14400000000 then o.t else f.head end from f join o on o.role = f.role and o.r = f.r + 1)
+select role, head first_us, max(t) last_us, count(*) n from f group by role, head"""
+
+
+@query(_ROLE_HEADS)
+def role_head_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Few keys, each nearly one unbroken chain, dealt out in stretches."""
+    got = islands.head_groups(events(spark, sf_dir), ["role"], "t", 14_400_000_000, 48 * HOUR_US)
+    return got.select("role", F.col("start").alias("first_us"), F.col("stop").alias("last_us"), "n")
+
+
+@query(_ROLE_HEADS)
+def head_group_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of a stream of files, replayed to its end."""
+    schema = table(spark, sf_dir, "events").schema
+    files = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(f"{sf_dir}/*.parquet")
+    rows = files.select(F.col("event_type").alias("role"), F.expr(f"timestamp_micros({micros('ts')})").alias("at"))
+    return onsets.replay_heads(spark, onsets.head_groups(rows, ["role"], "at", 14_400_000_000, "1 hour"), ["role"])
+
+
 @query("""with i as (select role, t s, t + cast(floor(value * 1000000::double) as bigint) e from EVENTS),
 f as (select *, case when s <= max(e) over (partition by role order by s, e rows between unbounded preceding and 1 preceding) then 0 else 1 end n from i),
 r as (select *, sum(n) over (partition by role order by s, e) region from f)
