@@ -55,6 +55,49 @@ def song(spark):
     return spark.createDataFrame(bars, "song int, index int, start double, end double"), spark.createDataFrame(notes, schema), spark.createDataFrame(played, schema)
 
 
+def full_grid(start, end, expected, times, sets, context, heard, heard_sets, fit):
+    """Every transform of the grid aligned on its own."""
+    rows, number = [], 0
+    for stretch in fit.stretch[0] + fit.stretch[2] * np.arange(round((fit.stretch[1] - fit.stretch[0]) / fit.stretch[2]) + 1):
+        for target in expected - fit.radius + fit.step * np.arange(round(2 * fit.radius / fit.step) + 1):
+            number += 1
+            shift, margin = target - stretch * start, max(0.5, fit.maximum * 2)
+            lo, hi = np.searchsorted(heard, shift + stretch * start - margin, side="left"), np.searchsorted(heard, shift + stretch * end + margin, side="right")
+            if hi - lo < fit.fewest:
+                continue
+            whole, pairs = sequence.align(sequence.agreements(sets, heard_sets[lo:hi]), *fit.skips)
+            if len(pairs) < fit.fewest:
+                continue
+            off = np.array([abs(heard[lo + j] - (shift + stretch * times[i])) for i, j in pairs])
+            coverage, around = len({i for i, _ in pairs}) / len(times), section_fit._step_likeness(context, heard_sets[lo:hi])
+            if coverage >= fit.coverage and np.median(off) <= fit.median and off.max() <= fit.maximum:
+                score = 0.58 * whole / len(times) + 0.20 * coverage + 0.10 * np.exp(-np.median(off) / 0.12) + fit.context_weight * around
+                rows.append((shift + stretch * start, stretch, len(pairs), coverage, float(np.median(off)), float(off.max()), score, number))
+    rows.sort(key=lambda r: (-round(r[6], 12), -r[3], round(r[4], 12), r[7]))
+    kept = []
+    for r in rows:
+        if all(abs(r[0] - o[0]) >= fit.apart for o in kept):
+            kept.append(r)
+    return kept[: fit.most]
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_pruned_placements_equal_the_full_grid(seed):
+    rng = np.random.default_rng(seed)
+    fit = section_fit.Fit(radius=1.5, stretch=(0.94, 1.06, 0.02), step=0.1, apart=[0.75, 0.2][seed % 2], median=[0.12, 0.3][seed % 2], maximum=[0.35, 0.6][seed % 2], coverage=[0.5, 0.3][seed // 5])
+    n = int(rng.integers(5, 14))
+    times = np.sort(rng.random(n) * 9) + 20
+    pitches = rng.integers(40, 40 + int(rng.choice([3, 12])), n)
+    played = [(0.3 + 1.02 * t + rng.normal() * 0.03, p) for t, p in zip(times, pitches, strict=True) if rng.random() < 0.9] + [(float(t), int(p)) for t, p in zip(rng.random(12) * 16 + 17, rng.integers(40, 52, 12), strict=True)]
+    played.sort()
+    heard, heard_sets = np.array([t for t, _ in played]), [np.array([p]) for _, p in played]
+    sets = [np.array([p]) for p in pitches]
+    args = (20.0, 29.0, 20.2, times, sets, sets, heard, heard_sets, fit)
+    got, want = section_fit.evaluate(*args), full_grid(*args)
+    assert [g[4] for g in got] == [w[2] for w in want]
+    assert np.allclose([(g[0], g[2], g[5], g[6], g[7], g[10]) for g in got] or [()], [(w[0], w[1], w[3], w[4], w[5], w[6]) for w in want] or [()])
+
+
 def test_section_fit_finds_a_known_map(spark):
     bars, written, performed = song(spark)
     made = [r.asDict() for r in section_fit.windows(bars, ["song"]).orderBy("window").collect()]

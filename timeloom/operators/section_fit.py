@@ -87,47 +87,85 @@ def _step_likeness(a: list[np.ndarray], b: list[np.ndarray]) -> float:
 CANDIDATE = "midi_start double, midi_end double, stretch double, translation double, matched bigint, coverage double, median_residual double, maximum_residual double, sequence_score double, context_score double, score double"
 
 
+def _supported(stretch: np.ndarray, target: np.ndarray, start: float, times: np.ndarray, likeness: np.ndarray, heard: np.ndarray, within: float) -> np.ndarray:
+    """Of each transform, how many written groups have a performed one that agrees at all within ``within`` of where they are placed."""
+    counts = np.zeros(len(stretch), np.int64)
+    for i, t in enumerate(times):
+        agreeing = heard[likeness[i] > 0]
+        at = target + stretch * (t - start)
+        counts += np.searchsorted(agreeing, at - within - 1e-9, side="left") < np.searchsorted(agreeing, at + within + 1e-9, side="right")
+    return counts
+
+
+def _distinct(rows: list[tuple], fit: Fit) -> list[tuple]:
+    """The best rows that lie ``apart`` in time, at most ``most``."""
+    rows.sort(key=lambda r: (-r[10], -r[5], r[6], r[11]))
+    kept: list[tuple] = []
+    for r in rows:
+        if all(abs(r[0] - o[0]) >= fit.apart for o in kept):
+            kept.append(r)
+            if len(kept) == fit.most:
+                break
+    return kept
+
+
 def evaluate(start: float, end: float, expected: float, times: np.ndarray, sets: list[np.ndarray], context: list[np.ndarray], heard: np.ndarray, heard_sets: list[np.ndarray], fit: Fit) -> list[tuple]:
     """The best placements of one window, distinct in time, best first.
 
-    All stretches and translations of the grid are tried. Those that see the
-    same slice of performed groups share one alignment, which is made once;
-    their residuals are then measured together.
+    All stretches and translations of the grid count, but few are aligned.
+    A placement is only accepted if every match lies within ``maximum`` of
+    its place, half of them within ``median``, and the matches cover enough:
+    so transforms without that many agreeing performed groups at these
+    distances are left out, whatever their alignment. The slices of performed
+    groups that the others see are aligned once each, in order of a bound on
+    their score (each written group's best agreement, what must be skipped,
+    the coverage its transforms can reach); once the best ones kept are above
+    every bound left, the rest can't change them.
     """
+    n = len(times)
     stretches = fit.stretch[0] + fit.stretch[2] * np.arange(round((fit.stretch[1] - fit.stretch[0]) / fit.stretch[2]) + 1)
     targets = expected - fit.radius + fit.step * np.arange(round(2 * fit.radius / fit.step) + 1)
-    stretch = np.repeat(stretches, len(targets))
-    shift = np.tile(targets, len(stretches)) - stretch * start
+    stretch, target = np.repeat(stretches, len(targets)), np.tile(targets, len(stretches))
+    shift = target - stretch * start
     margin = max(0.5, fit.maximum * 2)
     left = np.searchsorted(heard, shift + stretch * start - margin, side="left")
     right = np.searchsorted(heard, shift + stretch * end + margin, side="right")
-    usable = np.flatnonzero(right - left >= fit.fewest)
-    rows = []
+    if not n or not len(heard):
+        return []
+    likeness = agreements(sets, heard_sets)
+    needed = max(fit.fewest, int(np.ceil(fit.coverage * n - 1e-9)))
+    covered = _supported(stretch, target, start, times, likeness, heard, fit.maximum)
+    usable = np.flatnonzero((right - left >= fit.fewest) & (covered >= needed) & (2 * _supported(stretch, target, start, times, likeness, heard, fit.median) >= needed))
     slices, of = np.unique(left[usable] * (len(heard) + 1) + right[usable], return_inverse=True)
-    all_likeness = agreements(sets, heard_sets[int(left[usable].min()) : int(right[usable].max())]) if len(usable) else None
-    for number, packed in enumerate(slices.tolist()):
+    around = np.array([_step_likeness(context, heard_sets[p // (len(heard) + 1) : p % (len(heard) + 1)]) for p in slices.tolist()])
+    most_covered = np.zeros(len(slices), np.int64)
+    np.maximum.at(most_covered, of, covered[usable])
+    bound = np.empty(len(slices))
+    for k, packed in enumerate(slices.tolist()):
         lo, hi = divmod(packed, len(heard) + 1)
-        base = int(left[usable].min())
-        whole, pairs = align(all_likeness[:, lo - base : hi - base], *fit.skips)
+        gain = likeness[:, lo:hi].max(axis=1)
+        whole = np.where(gain > 0, gain, -fit.skips[0]).sum() - max(0, hi - lo - n) * fit.skips[1]
+        bound[k] = 0.58 * whole / n + 0.20 * most_covered[k] / n + 0.10 + fit.context_weight * around[k] + 1e-9
+    rows: list[tuple] = []
+    kept: list[tuple] = []
+    for k in np.argsort(-bound, kind="stable").tolist():
+        if len(kept) == fit.most and bound[k] < kept[-1][10]:
+            break
+        lo, hi = divmod(int(slices[k]), len(heard) + 1)
+        whole, pairs = align(likeness[:, lo:hi], *fit.skips)
         if len(pairs) < fit.fewest:
             continue
-        mine = usable[of == number]
+        mine = usable[of == k]
         i, j = np.array(pairs).T
         off = np.abs(heard[lo + j][None, :] - (shift[mine][:, None] + stretch[mine][:, None] * times[i][None, :]))
         middle, most = np.median(off, axis=1), off.max(axis=1)
-        coverage, around = len(set(i.tolist())) / max(1, len(times)), _step_likeness(context, heard_sets[lo:hi])
-        sequence = whole / max(1, len(times))
-        score = 0.58 * sequence + 0.20 * coverage + 0.10 * np.exp(-middle / 0.12) + fit.context_weight * around
+        coverage, sequence = len(set(i.tolist())) / n, whole / n
+        score = 0.58 * sequence + 0.20 * coverage + 0.10 * np.exp(-middle / 0.12) + fit.context_weight * around[k]
         good = (coverage >= fit.coverage) & (middle <= fit.median) & (most <= fit.maximum)
-        rows += [(shift[k] + stretch[k] * start, shift[k] + stretch[k] * end, stretch[k], shift[k], len(pairs), coverage, middle[q], most[q], sequence, around, score[q], k) for q, k in enumerate(mine.tolist()) if good[q]]
-    rows.sort(key=lambda r: (-r[10], -r[5], r[6], r[11]))
-    kept: list[tuple] = []
-    for r in rows:
-        if all(abs(r[0] - o[0]) >= fit.apart for o in kept):
-            kept.append(r[:11])
-            if len(kept) == fit.most:
-                break
-    return kept
+        if good.any():
+            rows += [(shift[q] + stretch[q] * start, shift[q] + stretch[q] * end, stretch[q], shift[q], len(pairs), coverage, middle[g], most[g], sequence, around[k], score[g], q) for g, q in enumerate(mine.tolist()) if good[g]]
+            kept = _distinct(rows, fit)
+    return [r[:11] for r in kept]
 
 
 def candidates(made: DataFrame, performed: DataFrame, keys: list[str], role: str, baseline: str = "expected", fit: Fit = Fit()) -> DataFrame:
