@@ -87,14 +87,22 @@ def _step_likeness(a: list[np.ndarray], b: list[np.ndarray]) -> float:
 CANDIDATE = "midi_start double, midi_end double, stretch double, translation double, matched bigint, coverage double, median_residual double, maximum_residual double, sequence_score double, context_score double, score double"
 
 
-def _supported(stretch: np.ndarray, target: np.ndarray, start: float, times: np.ndarray, likeness: np.ndarray, heard: np.ndarray, within: float) -> np.ndarray:
-    """Of each transform, how many written groups have a performed one that agrees at all within ``within`` of where they are placed."""
-    counts = np.zeros(len(stretch), np.int64)
-    for i, t in enumerate(times):
-        agreeing = heard[likeness[i] > 0]
-        at = target + stretch * (t - start)
-        counts += np.searchsorted(agreeing, at - within - 1e-9, side="left") < np.searchsorted(agreeing, at + within + 1e-9, side="right")
-    return counts
+def _supported(stretches: np.ndarray, first: float, step: float, targets: int, apart: np.ndarray, likeness: np.ndarray, heard: np.ndarray, within: float) -> np.ndarray:
+    """Of each transform, how many written groups (``apart`` from the window's start) have a performed one that agrees at all within ``within`` of where they are placed.
+
+    An agreeing pair votes for a run of the evenly spaced targets; the runs of a written group are added up as differences.
+    """
+    i, j = np.nonzero(likeness > 0)
+    counts = np.empty((len(stretches), targets), np.int64)
+    for k, stretch in enumerate(stretches):
+        middle = (heard[j] - stretch * apart[i] - first) / step
+        lo = np.clip(np.ceil(middle - within / step - 1e-6), 0, targets).astype(np.int64)
+        hi = np.clip(np.floor(middle + within / step + 1e-6) + 1, 0, targets).astype(np.int64)
+        some = hi > lo
+        width = targets + 1
+        votes = np.bincount(i[some] * width + lo[some], minlength=len(apart) * width) - np.bincount(i[some] * width + hi[some], minlength=len(apart) * width)
+        counts[k] = (np.cumsum(votes.reshape(len(apart), width), axis=1)[:, :targets] > 0).sum(axis=0)
+    return counts.ravel()
 
 
 def _distinct(rows: list[tuple], fit: Fit) -> list[tuple]:
@@ -134,8 +142,8 @@ def evaluate(start: float, end: float, expected: float, times: np.ndarray, sets:
         return []
     likeness = agreements(sets, heard_sets)
     needed = max(fit.fewest, int(np.ceil(fit.coverage * n - 1e-9)))
-    covered = _supported(stretch, target, start, times, likeness, heard, fit.maximum)
-    usable = np.flatnonzero((right - left >= fit.fewest) & (covered >= needed) & (2 * _supported(stretch, target, start, times, likeness, heard, fit.median) >= needed))
+    covered, close = (_supported(stretches, targets[0], fit.step, len(targets), times - start, likeness, heard, within) for within in (fit.maximum, fit.median))
+    usable = np.flatnonzero((right - left >= fit.fewest) & (covered >= needed) & (2 * close >= needed))
     slices, of = np.unique(left[usable] * (len(heard) + 1) + right[usable], return_inverse=True)
     around = np.array([_step_likeness(context, heard_sets[p // (len(heard) + 1) : p % (len(heard) + 1)]) for p in slices.tolist()])
     most_covered = np.zeros(len(slices), np.int64)
@@ -196,7 +204,8 @@ def candidates(made: DataFrame, performed: DataFrame, keys: list[str], role: str
                 out += [(*(getattr(row, k) for k in own), rank, row.start, row.end, *f) for rank, f in enumerate(found, 1)]
             yield pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
 
-    return asked.select(*own, "start", "end", baseline, "groups", "context", "heard").mapInPandas(work, schema)
+    tasks = int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes, much work: not to be merged into fewer tasks
+    return asked.select(*own, "start", "end", baseline, "groups", "context", "heard").repartition(tasks, *own).mapInPandas(work, schema)
 
 
 def _follows(p: dict, c: dict, reject: float = 0.35) -> float | None:
