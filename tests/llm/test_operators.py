@@ -203,6 +203,35 @@ def test_embedding_links_against_brute_force(spark):
     assert all(got[i].n_links == 0 and got[i].kept for i in (900, 901, 902))
 
 
+def test_estimates_of_codes_are_unbiased_and_within_their_intervals():
+    rng = np.random.default_rng(7)
+    bits, bands = embedding_dedup.band_plan(40_000, 0.95)
+    for dim in (16, 64, 300):
+        x = rng.normal(size=(400, dim))
+        y = x * 0.95 + rng.normal(size=(400, dim)) * np.sqrt(1 - 0.95**2)
+        both = np.concatenate((x, y)) / np.linalg.norm(np.concatenate((x, y)), axis=1, keepdims=True)
+        signs, factors = embedding_dedup.signs_of(both, bits, bands)
+        codes = embedding_dedup.Codes(np.array([np.frombuffer(b, np.uint8) for b in embedding_dedup.Codes.packed(signs, factors, dim)]), bits, bands)
+        i, j = np.arange(400), np.arange(400, 800)
+        true = np.einsum("ij,ij->i", both[i], both[j])
+        error = codes.pairs(i, j) - true
+        assert abs(error.mean()) < 4 * error.std() / 20 and (np.abs(error) <= codes.interval(i, j, 0.9)).all()
+        assert 0.5 < error.std() / (codes.interval(i, j, 0.95).mean() / embedding_dedup.SURE) < 1.5
+
+
+def test_few_pairs_of_a_crowd_are_recomputed(spark):
+    rng = np.random.default_rng(8)
+    centre = rng.normal(size=64)
+    centre *= 1.5 / np.linalg.norm(centre)
+    x = [centre + rng.normal(size=64) / 8 for _ in range(1200)]  # mutual cosine about 0.7: one component of everything that is loosely alike
+    x += [v + rng.normal(size=64) * 0.04 for v in x[:200]]
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    vectors = embedding_dedup.prepare(df).select("key", "unit")
+    lists = embedding_dedup.chosen_pairs(vectors, 0.95).collect()
+    chosen = sum(len(zlib.decompress(r["pairs"])) // 8 for r in lists)
+    assert 200 <= chosen < 1400 * 1399 / 2 / 20
+
+
 def test_embedding_links_within_a_crowd(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "CROWD", 64)
     rng = np.random.default_rng(6)

@@ -1,17 +1,27 @@
-"""Near-duplicate vectors by randomised-rotation binary codes.
-
-Each vector is rotated at random; groups of its sign bits bring together
-vectors that may be close, and a code of eight bits a coordinate goes with
-them. In a group all members are compared with each other by their codes,
-whose distance from the vectors bounds the cosine from above. Vectors that
-hang together loosely are then compared block by block, exactly, in double
-precision, so links are counted without a row per pair.
+"""Near-duplicate vectors by randomised-rotation binary codes with correction factors.
+
+A vector is rotated at random several times and keeps the signs, one bit a
+coordinate. Bands of these bits bring together vectors that may be close; in
+a bucket all members are compared by their codes alone.
+
+With the bits go four factors. The rotations form two families; the signs of
+one, rotated back, point along the vector, and the inner product of both (the
+first factor) scales them so that the estimate of an inner product with any
+other vector is unbiased, its error lying in a random direction of known
+length (the second factor). One family of the one vector is taken with the
+other family of the other, so the two errors are independent, and so are the
+two estimates that are averaged. A pair is recomputed exactly, in double
+precision, where its confidence interval reaches the limit, and only there.
+
+A pair that meets in several bands is chosen in the first of them, so links
+are counted once. Chosen pairs travel as one packed list a task, not as rows.
 """
 
 from __future__ import annotations
 
 import functools
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,13 +30,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from timeloom.llm.components import connected_components
-from timeloom.llm.runtime import cut, map_arrow, per_group
+from timeloom.llm.components import connected_components, stars
+from timeloom.llm.runtime import cut, map_arrow, per_group, release
 from timeloom.llm.textarrays import mix
 
-BLOCK = 512
 CROWD = 1024  # members of a bucket compared at once; fuller buckets are dealt out in pairs of such blocks
 FEW = 16  # buckets of so many members are compared many at a time
+BITS = 512  # of a code, at least
+SURE = 5.0  # standard errors of an interval
+LISTED = 500_000  # chosen pairs of one task that recomputes them
 
 
 @functools.lru_cache(64)
@@ -49,32 +61,83 @@ def unit_rows(vectors: list) -> list[np.ndarray | None]:
     return out
 
 
-def band_plan(n: int, limit: float, miss: float = 1e-3) -> tuple[int, int]:
+def band_plan(n: int, limit: float, miss: float = 2e-4) -> tuple[int, int]:
     """(bits, bands): buckets stay small as ``n`` grows, and a pair at the limit is missed with probability ``miss``."""
     bits = max(8, math.ceil(math.log2(max(n, 2))) + 2)
     meet = (1 - math.acos(limit) / math.pi) ** bits
     return bits, math.ceil(math.log(miss) / math.log1p(-meet))
 
 
-def sign_keys(x: np.ndarray, bits: int, bands: int) -> np.ndarray:
-    """Band keys of unit rows of one dimension: sign bits of as many rotations as needed."""
-    dim = x.shape[1]
-    need = bits * bands
-    signs = np.concatenate([x @ rotation(dim, r) > 0 for r in range(-(-need // dim))], axis=1)[:, :need].reshape(len(x), bands, bits)
-    keys = np.zeros((len(x), bands), np.uint64)
+def shape_of(dim: int, bits: int, bands: int) -> tuple[int, int]:
+    """How many rotations there are, and how many of them are the first family."""
+    count = max(2, -(-max(bits * bands, BITS) // dim))
+    return count, count // 2
+
+
+def signs_of(x: np.ndarray, bits: int, bands: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sign bits of unit rows of one dimension in all rotations, and the factors of both families: scale and length of the error."""
+    count, first = shape_of(x.shape[1], bits, bands)
+    signs = np.concatenate([x @ rotation(x.shape[1], r) > 0 for r in range(count)], axis=1)
+    factors = []
+    for part in (slice(0, first), slice(first, count)):
+        back = _rotated_back(signs, x.shape[1], part)
+        scale = np.einsum("ij,ij->i", back, x)
+        factors += [scale, np.sqrt(np.maximum(0.0, np.einsum("ij,ij->i", back, back) / scale**2 - 1))]
+    return signs, np.stack(factors, axis=1).astype(np.float32)
+
+
+def _rotated_back(signs: np.ndarray, dim: int, part: slice) -> np.ndarray:
+    """The signs of a family of rotations as vectors, each rotated back."""
+    out = np.zeros((len(signs), dim))
+    for r in range(part.start, part.stop):
+        out += (signs[:, r * dim : (r + 1) * dim] * 2.0 - 1.0) @ rotation(dim, r).T
+    return out
+
+
+def band_keys(signs: np.ndarray, bits: int, bands: int, dim: int) -> np.ndarray:
+    """Band keys from the first sign bits."""
+    some = signs[:, : bits * bands].reshape(len(signs), bands, bits)
+    keys = np.zeros((len(signs), bands), np.uint64)
     for i in range(bits):
-        keys = keys << np.uint64(1) | signs[:, :, i].astype(np.uint64)
+        keys = keys << np.uint64(1) | some[:, :, i].astype(np.uint64)
     with np.errstate(over="ignore"):
         return mix(keys * np.uint64(0x9E3779B97F4A7C15) + np.arange(bands, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(dim)).view(np.int64)
 
 
-def code(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Eight-bit coordinates of the first rotation of unit rows, their scale and a bound of the distance to the row."""
-    z = x @ rotation(x.shape[1], 0)
-    scale = (np.abs(z).max(axis=1) / 127).astype(np.float32)
-    q = np.clip(np.rint(z / scale[:, None]), -127, 127).astype(np.int8)
-    away = np.sqrt(((z - q * scale[:, None].astype(np.float64)) ** 2).sum(axis=1))
-    return q, scale, np.nextafter((away + 1e-5).astype(np.float32), np.float32(1))
+class Codes:
+    """Codes of one dimension as they travel: dimension, factors and sign bits; and what estimates need of them."""
+
+    def __init__(self, raw: np.ndarray, bits: int, bands: int) -> None:
+        self.dim = int(np.ascontiguousarray(raw[0, :4]).view(np.uint32)[0])
+        count, first = shape_of(self.dim, bits, bands)
+        factors = np.ascontiguousarray(raw[:, 4:20]).view(np.float32).astype(np.float64)
+        signs = np.unpackbits(raw[:, 20:], axis=1, count=count * self.dim).astype(bool)
+        self.keys = band_keys(signs, bits, bands, self.dim)
+        self.a = (_rotated_back(signs, self.dim, slice(0, first)) / factors[:, :1]).astype(np.float32)
+        self.b = (_rotated_back(signs, self.dim, slice(first, count)) / factors[:, 2:3]).astype(np.float32)
+        self.ra, self.rb = factors[:, 1], factors[:, 3]
+
+    @staticmethod
+    def packed(signs: np.ndarray, factors: np.ndarray, dim: int) -> list[bytes]:
+        head = np.full((len(signs), 1), dim, np.uint32).view(np.uint8)
+        return [r.tobytes() for r in np.concatenate((head, np.ascontiguousarray(factors).view(np.uint8), np.packbits(signs, axis=1)), axis=1)]
+
+    def interval(self, x, y, limit: float) -> np.ndarray:
+        """By how much the estimates of the pairs may err for vectors at the limit; x and y index rows and broadcast."""
+        ra, rb, sa, sb = self.ra[x], self.rb[x], self.ra[y], self.rb[y]
+        side = 1 - limit * limit
+        spread = ((ra**2 + sb**2 + rb**2 + sa**2) * side + ra**2 * sb**2 + rb**2 * sa**2) / (4 * max(1, self.dim - 1))
+        most = ((ra + sb + rb + sa) * math.sqrt(side) + ra * sb + rb * sa) / 2
+        return np.minimum(SURE * np.sqrt(spread), most) + 1e-5
+
+    def pairs(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Estimates of the inner products of rows x with rows y, one by one."""
+        return (np.einsum("ij,ij->i", self.a[x], self.b[y]) + np.einsum("ij,ij->i", self.b[x], self.a[y])) / 2
+
+    def table(self, here: slice) -> np.ndarray:
+        """The same of all rows of a slice with each other."""
+        half = self.a[here] @ self.b[here].T
+        return (half + half.T) / 2
 
 
 def _by_dim(arrays: list) -> dict[int, list[int]]:
@@ -103,117 +166,110 @@ def _units(column: pa.Array) -> list[np.ndarray]:
     return [np.frombuffer(b, np.float64) for b in column.to_pylist()]
 
 
-def _least_linked(key: np.ndarray, near: np.ndarray) -> np.ndarray:
-    """Least key over what is linked with each member, itself included."""
-    reach = near.copy()
-    np.fill_diagonal(reach, True)
-    least = key.copy()
-    while True:
-        values = np.unique(least)
-        rank = np.searchsorted(values, least)
-        new = values[np.where(reach, rank[None, :], len(values)).min(axis=1)]
-        if (new == least).all():
-            return least
-        least = new
-
-
-def compare_buckets(place: np.ndarray, key: np.ndarray, side: np.ndarray, crossed: np.ndarray, packed: list[bytes], limit: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of keys that connect what may reach the limit among all members of each place (of both sides, where crossed).
-
-    ``packed``: scale, distance and coordinates of each member. A cosine
-    differs from that of the codes by no more than the distances allow.
-    """
-    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    by_size: dict[int, list[int]] = {}
+def choose(place: np.ndarray, band: np.ndarray, side: np.ndarray, crossed: np.ndarray, packed: list[bytes], limit: float, bits: int, bands: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows (i, j) whose interval reaches the limit, among all members of each place (of both sides, where crossed), in the first band in which they meet."""
+    by_size: dict[tuple[int, bytes], list[int]] = {}
     for i, raw in enumerate(packed):
-        by_size.setdefault(len(raw), []).append(i)
-    for rows in by_size.values():
-        rows = np.array(rows)[np.argsort(place[rows], kind="stable")]
-        raw = np.frombuffer(b"".join(packed[i] for i in rows), np.uint8).reshape(len(rows), -1)
-        head = np.ascontiguousarray(raw[:, :8]).view(np.float32)
-        x = raw[:, 8:].view(np.int8).astype(np.float32) * head[:, :1]
-        away, own = head[:, 1].astype(np.float64), key[rows]
-        where, part, cross = place[rows], side[rows], crossed[rows]
+        by_size.setdefault((len(raw), raw[:4]), []).append(i)
+    for members in by_size.values():
+        rows = np.array(members)[np.argsort(place[members], kind="stable")]
+        codes = Codes(np.frombuffer(b"".join(packed[i] for i in rows), np.uint8).reshape(len(rows), -1), bits, bands)
+        where, part, cross, met = place[rows], side[rows], crossed[rows], band[rows]
+
+        def first_met(i: np.ndarray, j: np.ndarray, codes: Codes = codes, met: np.ndarray = met) -> np.ndarray:
+            keep = np.ones(len(i), bool)
+            for t in range(int(met[i].max()) if len(i) else 0):
+                keep &= (codes.keys[i, t] != codes.keys[j, t]) | (met[i] <= t)
+            return keep
+
         starts = np.flatnonzero(np.concatenate(([True], where[1:] != where[:-1])))
         sizes = np.diff(np.append(starts, len(rows)))
         each = np.repeat(sizes, sizes)
         for step in range(1, min(FEW, int(sizes.max()))):
             at = np.flatnonzero((where[step:] == where[:-step]) & (each[step:] <= FEW))
             at = at[~cross[at] | (part[at] != part[at + step])]
-            for some in np.array_split(at, len(at) // 65536 + 1):
-                value = np.einsum("ij,ij->i", x[some], x[some + step])
-                hit = some[value + away[some] + (1 + away[some]) * away[some + step] >= limit - 1e-5]
-                a.append(own[hit])
-                b.append(own[hit + step])
+            for i in np.array_split(at, len(at) // 65536 + 1):
+                i = i[codes.pairs(i, i + step) + codes.interval(i, i + step, limit) >= limit]
+                i = i[first_met(i, i + step)]
+                yield rows[i], rows[i + step]
         for start, n in zip(starts[sizes > FEW].tolist(), sizes[sizes > FEW].tolist(), strict=True):
-            here = slice(start, start + n)
-            slack = away[here].astype(np.float32)
-            near = x[here] @ x[here].T + slack[:, None] + (1 + slack[:, None]) * slack[None, :] >= limit - 1e-5
+            own = np.arange(start, start + n)
+            near = codes.table(slice(start, start + n)) + codes.interval(own[:, None], own[None, :], limit) >= limit
             if cross[start]:
-                near &= part[here][:, None] != part[here][None, :]
-            near |= near.T
-            some = np.flatnonzero(near.sum(axis=1) > near.diagonal())
-            if len(some):
-                a.append(own[here][some])
-                b.append(_least_linked(own[here][some], near[np.ix_(some, some)]))
-    return np.concatenate(a), np.concatenate(b)
+                near &= part[own][:, None] != part[own][None, :]
+            i, j = np.nonzero(np.triu(near, 1))
+            keep = first_met(own[i], own[j])
+            yield rows[own[i[keep]]], rows[own[j[keep]]]
 
 
-def loose_pairs(vectors: DataFrame, limit: float) -> DataFrame:
-    """Pairs (a, b) of keys near enough that every link lies within what they connect.
-
-    In each bucket all members are compared with each other, and pairs within
-    twice the angle of the limit connect, so that a link whose two vectors
-    never meet can still be found through a third one.
-    """
+def chosen_pairs(vectors: DataFrame, limit: float) -> DataFrame:
+    """The pairs to recompute, a row a task: ``keys``, and ``pairs`` of places in them, packed."""
     bits, bands = band_plan(vectors.count(), limit)
-    wide = math.cos(2 * math.acos(limit)) - 1e-9
 
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def members_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             units, own = _units(batch.column("unit")), batch.column("key").to_numpy()
-            for rows in _by_dim(units).values():
-                x = np.stack([units[i] for i in rows])
-                made, (q, scale, away) = sign_keys(x, bits, bands), code(x)
-                packed = np.concatenate((scale[:, None].view(np.uint8), away[:, None].view(np.uint8), q.view(np.uint8)), axis=1)
-                codes = pa.array([p.tobytes() for p in packed], pa.binary()).take(pa.array(np.repeat(np.arange(len(rows)), bands)))
-                yield pa.RecordBatch.from_arrays([pa.array(made.ravel()), pa.array(np.repeat(own[rows], bands)), codes], names=["bucket", "key", "code"])
+            for dim, rows in _by_dim(units).items():
+                signs, factors = signs_of(np.stack([units[i] for i in rows]), bits, bands)
+                keys = band_keys(signs, bits, bands, dim)
+                codes = pa.array(Codes.packed(signs, factors, dim), pa.binary()).take(pa.array(np.repeat(np.arange(len(rows)), bands)))
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.tile(np.arange(bands, dtype=np.int32), len(rows))), pa.array(np.repeat(own[rows], bands)), codes], names=["bucket", "band", "key", "code"])
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         place = group.groupby(["bucket", "i", "j"], sort=False).ngroup().to_numpy()
-        a, b = compare_buckets(place, group["key"].to_numpy(), group["side"].to_numpy(), (group["i"] != group["j"]).to_numpy(), group["code"].tolist(), wide)
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).query("a != b").drop_duplicates()
-
-    members = map_arrow(vectors, keys, "bucket bigint, key bigint, code binary", 1000)
+        key = group["key"].to_numpy()
+        made, held, n = [], [], 0
+
+        def flush() -> None:
+            a, b = (np.concatenate([key[h[k]] for h in held]) for k in (0, 1))
+            keys, flat = np.unique(np.concatenate((a, b)), return_inverse=True)
+            made.append((keys.tolist(), zlib.compress(flat.astype(np.int32).tobytes(), 1)))
+
+        for i, j in choose(place, group["band"].to_numpy(), group["side"].to_numpy(), (group["i"] != group["j"]).to_numpy(), group["code"].tolist(), limit, bits, bands):
+            for at in range(0, len(i), LISTED):
+                held.append((i[at : at + LISTED], j[at : at + LISTED]))
+                n += len(held[-1][0])
+                if n >= LISTED:
+                    flush()
+                    held, n = [], 0
+        if n:
+            flush()
+        return pd.DataFrame(made, columns=["keys", "pairs"])
+
+    members = map_arrow(vectors, members_of, "bucket bigint, band int, key bigint, code binary", 1000)
     sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     sizes = cut(sizes.select("bucket", F.ceil(F.col("n") / CROWD).cast("int").alias("blocks"), "n"))
     rows = sizes.agg(F.sum(F.col("n") * F.col("blocks"))).first()[0] or 0
     parts = max(1, rows // 16_384)
     dealt = members.join(sizes.select("bucket", "blocks"), "bucket").withColumn("side", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("bucket", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "key", "code")
+    dealt = dealt.select("bucket", "band", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "key", "code")
     dealt = dealt.withColumn("part", F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(parts)))
-    return per_group(dealt, "part", compare, "a bigint, b bigint")
-
-
-def count_block(group: pd.DataFrame, limit: float) -> pd.DataFrame:
-    """Links within each (component, i, j) of the group: per key the weight linked, and a key of its linked set."""
-    keys, links, heads = [], [], []
-    for (_, i, j), part in group.groupby(["component", "i", "j"]):
-        for _, same in part.groupby(part["unit"].str.len()):
-            x = np.stack([np.frombuffer(b, np.float64) for b in same["unit"]])
-            key, copies, side = same["key"].to_numpy(), same["copies"].to_numpy(), same["side"].to_numpy()
-            near = x @ x.T >= limit
-            near |= near.T
-            np.fill_diagonal(near, False)
-            counted = near if i == j else near & (side[:, None] != side[None, :])
-            order = np.argsort(key)
-            least = _least_linked(key, near)
-            keys.append(key[order])
-            links.append((counted @ copies)[order])
-            heads.append(least[order])
-    empty = np.zeros(0, np.int64)
-    return pd.DataFrame({"key": np.concatenate(keys or [empty]), "links": np.concatenate(links or [empty]), "head": np.concatenate(heads or [empty])})
+    return per_group(dealt, "part", compare, "keys array<bigint>, pairs binary")
+
+
+def recompute(units: pd.DataFrame, lists: pd.DataFrame, limit: float) -> pd.DataFrame:
+    """Of one task's pairs, those that reach the limit: per key the weight linked, and the least key linked with it here."""
+    if not len(lists) or not len(units):
+        return pd.DataFrame({"key": [], "links": [], "head": []}).astype("int64")
+    keys = np.asarray(lists["keys"].iat[0], np.int64)
+    i, j = np.frombuffer(zlib.decompress(lists["pairs"].iat[0]), np.int32).reshape(2, -1)
+    held = units.set_index("key").loc[keys]
+    x, copies = np.frombuffer(b"".join(held["unit"]), np.float64).reshape(len(keys), -1) if held["unit"].str.len().nunique() == 1 else None, held["copies"].to_numpy()
+    if x is None:  # pairs are of one dimension, keys of a task need not be
+        raw = [np.frombuffer(b, np.float64) for b in held["unit"]]
+        cosine = np.array([raw[p] @ raw[q] for p, q in zip(i, j, strict=True)])
+    else:
+        cosine = np.concatenate([np.einsum("ij,ij->i", x[i[at : at + 65536]], x[j[at : at + 65536]]) for at in range(0, len(i), 65536)])
+    hit = cosine >= limit
+    i, j = i[hit], j[hit]
+    links = np.bincount(i, weights=copies[j], minlength=len(keys)) + np.bincount(j, weights=copies[i], minlength=len(keys))
+    head = keys.copy()
+    if len(i):
+        node, root = stars(keys[i], keys[j])
+        head[np.searchsorted(keys, node)] = root
+    some = links > 0
+    return pd.DataFrame({"key": keys[some], "links": links[some].astype(np.int64), "head": head[some]})
 
 
 def link_vectors(embeddings: DataFrame, limit: float = 0.95) -> DataFrame:
@@ -227,15 +283,15 @@ def link_vectors(embeddings: DataFrame, limit: float = 0.95) -> DataFrame:
     rows = cut(prepare(embeddings))
     classes = rows.where("key is not null").groupBy("key").agg(F.count("*").alias("copies"), F.min("vec_id").alias("first"), F.min("unit").alias("unit"))
     classes = cut(classes)
-    loose = connected_components(loose_pairs(classes.select("key", "unit"), limit))
-    sizes = cut(loose.groupBy("component").agg(F.count("*").alias("n")).select("component", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), "n"))
-    placed = loose.withColumnRenamed("id", "key").join(sizes.drop("n"), "component").join(classes, "key")
-    placed = placed.withColumn("side", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("component", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "key", "copies", "unit")
-    rows_dealt = sizes.agg(F.sum(F.col("n") * F.col("blocks"))).first()[0] or 0
-    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("component", "i", "j"), F.lit(max(1, rows_dealt // 4096))))
-    counted = cut(per_group(dealt, "part", lambda g: count_block(g, limit), "key bigint, links bigint, head bigint"))
+    lists = cut(chosen_pairs(classes.select("key", "unit"), limit).withColumn("task", F.monotonically_increasing_id()))
+    asked = lists.select(F.col("task").alias("of"), F.explode("keys").alias("key")).join(classes.select("key", "unit", "copies"), "key")
+
+    def exact(units: pd.DataFrame, lists: pd.DataFrame) -> pd.DataFrame:
+        made = recompute(units, lists, limit)
+        release(collect=False)
+        return made
+
+    counted = cut(asked.groupBy("of").cogroup(lists.groupBy("task")).applyInPandas(exact, "key bigint, links bigint, head bigint"))
     links = counted.groupBy("key").agg(F.sum("links").alias("links"))
     joined = connected_components(counted.select(F.col("key").alias("a"), F.col("head").alias("b")))
     joined = joined.join(classes.select(F.col("key").alias("id"), "first"), "id")
