@@ -136,12 +136,35 @@ def gap_spans(parts: dict[str, DataFrame], applied: DataFrame, keys: list[str])
     return out
 
 
-def phase_episodes(controls: DataFrame, keys: list[str], gaps: DataFrame, dead: float = 0.045, beat: float = 0.5) -> DataFrame:
-    """Runs of one direction in which a song's offset moves, with what they amount to and a class. Controls: chart_time, offset, roles (count).
+# Classes of phrase runs that leave open which performed run a written one is.
+RISKY = ("multiple_possible_run_instances", "additional_midi_occurrences", "phrase_count_mismatch", "possible_extra_chart_or_missing_midi_phrase", "probable_complete_run")
 
-    A step within ``dead`` goes along with the run. Classes: stable,
-    correction_and_catch_up (the next steps go back), temporary_correction,
-    persistent_migration (it stays, by a jump or next to a gap), supported_tempo_evolution (smooth, several roles), provisional_phase_change.
+
+def phrase_context(episodes: DataFrame, runs: DataFrame, keys: list[str], width: float = 60.0) -> DataFrame:
+    """Episodes (episode, start, stop) with the phrase runs that overlap them.
+
+    Adds ``exact_phrase`` (a matching run with firm boundaries is among them), ``ambiguous_phrase`` (one of the ``RISKY``), ``phrase_runs``
+    (sorted) and ``dominant_run``: the run that shares most time, of equal ones the earliest, then the least. ``runs``: run, start, stop,
+    classification, boundary_score. Both sides are dealt out in stretches of ``width``.
+    """
+    other = runs.select(*keys, "run", F.col("start").alias("_a"), F.col("stop").alias("_z"), "classification", "boundary_score")
+    met = joins.overlapping(episodes.select(*keys, "episode", "start", "stop"), other, keys, ("start", "stop"), ("_a", "_z"), width, 1e-9)
+    shared = F.least("stop", "_z") - F.greatest("start", "_a")
+    exact = (F.col("classification") == "matching_phrase_run") & (F.col("boundary_score") >= 0.45)
+    found = met.groupBy(*keys, "episode").agg(F.max(exact).alias("_x"), F.max(F.col("classification").isin(*RISKY)).alias("_y"), F.array_sort(F.collect_set("run")).alias("_r"), F.min_by("run", F.struct(-shared, "_a", "run")).alias("dominant_run"))
+    no_runs = F.array().cast(f"array<{dict(runs.dtypes)['run']}>")
+    out = episodes.join(found, [*keys, "episode"], "left")
+    return out.withColumn("exact_phrase", F.coalesce("_x", F.lit(False))).withColumn("ambiguous_phrase", F.coalesce("_y", F.lit(False))).withColumn("phrase_runs", F.coalesce("_r", no_runs)).drop("_x", "_y", "_r")
+
+
+def phase_episodes(controls: DataFrame, keys: list[str], gaps: DataFrame, dead: float = 0.045, beat: float = 0.5, roots: DataFrame | None = None, runs: DataFrame | None = None) -> DataFrame:
+    """Runs of one direction in which a song's offset moves, with what they amount to, what speaks for an error, and a class. Controls: chart_time, offset, roles (count).
+
+    A step within ``dead`` goes along with the run. ``roots`` (keys, root_valid, root_offset; without it roots count as valid and unknown)
+    gives the departure from the root and whether it stays near a whole number of beats; ``runs`` as of ``phrase_context``. Classes:
+    stable, correction_and_catch_up (the next steps go back), temporary_correction, probable_occurrence_switch and structurally_unrooted
+    (large, without a valid root), persistent_migration (it stays, and something speaks for an error), supported_tempo_evolution (smooth, several
+    roles or an exact phrase), provisional_phase_change.
     """
 
     def kernel(g: pd.DataFrame) -> dict:
@@ -163,21 +186,44 @@ def phase_episodes(controls: DataFrame, keys: list[str], gaps: DataFrame, dead:
             after = o[r[-1] + 2 : r[-1] + 6]
             back = bool(len(after) and np.abs(after - o[r[0]]).min() < abs(o[r[-1] + 1] - o[r[0]]) * 0.45)
             stays = bool(np.median(np.abs(after - o[r[-1] + 1])) <= max(0.12, abs(moved) * 0.35)) if len(after) else len(r) >= 3 and abs(moved) >= 0.30
-            out.append((number, t[r[0]], t[r[-1] + 1], moved, abs(moved) / beat, float(step.max()), float(np.median(step)), len(r), int(roles[r[0] + 1 : r[-1] + 2].max()), back, stays))
-        names = ("episode", "start", "stop", "moved", "beats", "largest_step", "median_step", "steps", "role_count", "returns", "persists")
+            out.append((number, t[r[0]], t[r[-1] + 1], moved, abs(moved) / beat, float(step.max()), float(np.median(step)), len(r), int(roles[r[0] + 1 : r[-1] + 2].max()), back, stays, o[r[0]], o[r[-1] + 1]))
+        names = ("episode", "start", "stop", "moved", "beats", "largest_step", "median_step", "steps", "role_count", "returns", "persists", "entry_offset", "exit_offset")
         return dict(zip(names, zip(*out, strict=True) if out else ([] for _ in names), strict=True))
 
-    made = per_group(controls, keys, ["chart_time"], kernel, "episode bigint, start double, stop double, moved double, beats double, largest_step double, median_step double, steps bigint, role_count bigint, returns boolean, persists boolean")
+    made = per_group(controls, keys, ["chart_time"], kernel, "episode bigint, start double, stop double, moved double, beats double, largest_step double, median_step double, steps bigint, role_count bigint, returns boolean, persists boolean, entry_offset double, exit_offset double")
     near = joins.nearest_span(made, gaps, keys, "episode", ("start", "stop"), ("start", "stop"), "kind", 15.0).withColumn("near_gap", F.col("near_distance").isNotNull())
+    if roots is None:
+        near = near.withColumn("root_valid", F.lit(True)).withColumn("root_offset", F.lit(None).cast("double"))
+    else:
+        near = near.join(roots.select(*keys, "root_valid", F.col("root_offset").cast("double").alias("root_offset")), keys, "left").withColumn("root_valid", F.coalesce("root_valid", F.lit(False)))
+    if runs is None:
+        near = near.withColumn("exact_phrase", F.lit(False)).withColumn("ambiguous_phrase", F.lit(False)).withColumn("phrase_runs", F.array().cast("array<bigint>")).withColumn("dominant_run", F.lit(None).cast("bigint"))
+    else:
+        near = phrase_context(near, runs, keys)
     length = F.col("stop") - F.col("start")
-    smooth = (F.col("steps") >= 3) & (F.col("largest_step") <= 0.22) & (F.col("median_step") <= 0.12) & (F.abs(F.col("moved") / F.greatest(length, F.lit(1e-9))) <= 0.055)
-    abrupt = F.col("largest_step") >= 0.32
-    lone = (F.col("role_count") < 2) & (F.col("beats") >= 0.70)
+    departure = (F.col("exit_offset") - F.col("root_offset")) / beat
+    near = near.withColumn("root_departure", F.col("exit_offset") - F.col("root_offset")).withColumn("root_beats", departure).withColumn("plateau_error", F.abs(departure - F.rint(departure)))
+    near = near.withColumn("plateau", F.coalesce((F.abs(F.rint("root_beats")) >= 1) & (F.col("plateau_error") <= 0.16), F.lit(False)) & F.col("persists"))
+    near = near.withColumn("rate", F.col("moved") / F.greatest(length, F.lit(1e-9)))
+    near = near.withColumn("smooth", (F.col("steps") >= 3) & (F.col("largest_step") <= 0.22) & (F.col("median_step") <= 0.12) & (F.abs("rate") <= 0.055)).withColumn("abrupt", (F.col("largest_step") >= 0.32) | (F.col("largest_step") / beat >= 0.70))
+    smooth, abrupt, plateau, several = F.col("smooth"), F.col("abrupt"), F.col("plateau"), F.col("role_count") >= 2
+    exact, ambiguous, large = F.col("exact_phrase"), F.col("ambiguous_phrase"), F.col("beats") >= 0.70
+    lone = ~several & large
+    wrong = abrupt | plateau | ambiguous | F.col("near_gap") | lone
     kind = (
-        F.when(F.abs("moved") < 0.12, "stable").when(F.col("returns"), "correction_and_catch_up").when((length <= 8) & ~F.col("persists"), "temporary_correction").when(smooth & (F.col("role_count") >= 2) & ~abrupt, "supported_tempo_evolution")
-        .when(F.col("persists") & (abrupt | F.col("near_gap") | lone), "persistent_migration").when((length >= 20) & smooth, "supported_tempo_evolution").otherwise("provisional_phase_change")
+        F.when(F.abs("moved") < 0.12, "stable").when(F.col("returns"), "correction_and_catch_up").when((length <= 8) & ~F.col("persists"), "temporary_correction")
+        .when(~F.col("root_valid") & F.col("near_gap") & large & F.col("persists"), "probable_occurrence_switch").when(~F.col("root_valid") & large, "structurally_unrooted")
+        .when(smooth & several & ~ambiguous & ~plateau & ~abrupt, "supported_tempo_evolution").when(exact & smooth & ~plateau & ~abrupt, "supported_tempo_evolution")
+        .when(F.col("persists") & wrong, "persistent_migration").when((length >= 20) & smooth, "supported_tempo_evolution").otherwise("provisional_phase_change")
     )
-    return near.withColumn("classification", kind)
+    part = lambda condition, worth: F.when(condition, worth).otherwise(0.0)
+    error = 0.08 + part(abrupt, 0.30) + part(plateau, 0.28) + part(ambiguous, 0.22) + part(F.col("near_gap"), 0.24) + part(lone, 0.18) + part(F.col("persists"), 0.12) - part(exact & ~ambiguous, 0.12)
+    reasons = {"smooth_directional_evolution": smooth, "multi_role_support": several, "abrupt_phase_step": abrupt, "persistent_metrical_plateau": plateau, "repeated_structure_ambiguity": ambiguous, "exact_phrase_ordinal_support": exact, "near_unsupported_or_recovery_gap": F.col("near_gap")}
+    out = near.withColumn("classification", kind).withColumn("reasons", F.array_compact(F.array(*(F.when(c, F.lit(n)) for n, c in reasons.items()))))
+    out = out.withColumn("movement_confidence", F.least(F.lit(1.0), 0.30 + 0.09 * F.least("steps", F.lit(5)) + part(several, 0.20) + part(smooth, 0.10))).withColumn("phase_error_confidence", F.greatest(F.lit(0.0), F.least(F.lit(1.0), error)))
+    migrates = F.col("classification") == "persistent_migration"
+    severe = F.when(migrates & ((F.col("beats") >= 1.5) | plateau), 5).when(migrates | F.col("classification").isin("structurally_unrooted", "probable_occurrence_switch"), 4).when(F.col("classification").isin("correction_and_catch_up", "provisional_phase_change"), 3).otherwise(1)
+    return out.withColumn("severity", severe)
 
 
 def region_samples(segments: DataFrame, samples: DataFrame, keys: list[str], width: float = 32.0) -> DataFrame:
