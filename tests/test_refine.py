@@ -54,7 +54,7 @@ def test_phase_reports(spark):
     whole = refine.phase_episodes(controls, ["g"], gaps.limit(0), roots=roots, runs=said).orderBy("episode").collect()
     assert [(r.phrase_runs, r.dominant_run, r.exact_phrase, r.ambiguous_phrase) for r in whole] == [([7, 8], 7, True, True), ([7, 8, 9], 7, True, True)]  # spans that touch count
     assert [(r.root_departure, r.plateau, r.classification, r.severity) for r in whole] == [(0.5, False, "correction_and_catch_up", 3), (0.0, False, "structurally_unrooted", 4)]
-    assert whole[0].reasons == ["abrupt_phase_step", "repeated_structure_ambiguity", "exact_phrase_ordinal_support"] and round(whole[0].phase_error_confidence, 3) == 0.9
+    assert whole[0].reasons == ["abrupt_phase_step", "repeated_structure_ambiguity", "exact_phrase_ordinal_support"] and round(whole[0].phase_error_confidence, 3) == 0.78
     runs = spark.createDataFrame([(1, i, s, 0.5) for i, s in enumerate([0.6, 0.7, 0.4, 0.6])], "g int, i int, s double, r double")
     assert rows(refine.persistent(runs, ["g"], "i", "s", "r")) == [(1, 4, 3, 2, True)]
     gap = spark.createDataFrame([(1, 0, 10, 29)], "g int, gap int, first int, last int")

@@ -209,6 +209,44 @@ def audio_frames(spark: SparkSession, pattern: str, hop: int = 256) -> DataFrame
     return files.mapInPandas(work, "song string, stem string, t double, level double, attack double, peak double")
 
 
+def audio_pieces(spark: SparkSession, pattern: str, frames: int = 4096, hop: int = 256) -> DataFrame:
+    """(song, stem, rate, first, count, before, samples) of uncompressed 16-bit WAV files: pieces of ``frames`` frames, mixed to one channel.
+
+    ``samples`` (float32 bytes) reach ``spectra.margin`` beyond the piece on
+    both sides, as far as there is sound; frame ``first`` is centred
+    ``before`` samples into them. A file is decoded in slices, and its pieces
+    are dealt over all tasks.
+    """
+    import wave
+
+    import numpy as np
+
+    from timeloom.operators import spectra
+
+    reach = spectra.margin(hop)
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for song, stem, content in zip(batch["song"], batch["stem"], batch["content"], strict=True):
+                with wave.open(io.BytesIO(content)) as w:
+                    if w.getsampwidth() != 2:
+                        raise ValueError(f"{song}/{stem}: only 16-bit sounds are decoded")
+                    total, rate, channels = w.getnframes(), w.getframerate(), w.getnchannels()
+                    whole = -(-total // hop)
+                    for first in range(0, whole, frames):
+                        count = min(frames, whole - first)
+                        start = max(0, first * hop - reach)
+                        w.setpos(start)
+                        stop = min(total, (first + count) * hop + reach)
+                        samples = np.frombuffer(w.readframes(stop - start), "<i2").reshape(-1, channels).astype(np.float32).mean(axis=1) / 32768
+                        yield pd.DataFrame({"song": [song], "stem": [stem], "rate": [float(rate)], "first": [first], "count": [count], "before": [first * hop - start], "samples": [samples.astype(np.float32).tobytes()]})
+
+    name = F.element_at(F.split("path", "/"), -1)
+    files = spark.read.format("binaryFile").load(pattern).select(F.element_at(F.split("path", "/"), -2).alias("song"), F.regexp_replace(name, r"\.[^.]*$", "").alias("stem"), "content")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return files.mapInPandas(work, "song string, stem string, rate double, first bigint, count bigint, before bigint, samples binary").repartition(tasks, "song", "stem", "first")
+
+
 def timed_words(rows: DataFrame) -> DataFrame:
     """Recognised words (speaker, start, end, word) that have a time; the recogniser itself is an outside step."""
     return rows.where(F.col("start").isNotNull()).select("song", "speaker", F.col("start").alias("t"), F.greatest(F.lit(0.0), F.coalesce("end", F.col("start")) - F.col("start")).alias("d"), F.col("word").alias("w"))
