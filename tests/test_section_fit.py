@@ -69,7 +69,7 @@ def full_grid(start, end, expected, times, sets, context, heard, heard_sets, fit
             if len(pairs) < fit.fewest:
                 continue
             off = np.array([abs(heard[lo + j] - (shift + stretch * times[i])) for i, j in pairs])
-            coverage, around = len({i for i, _ in pairs}) / len(times), section_fit._step_likeness(context, heard_sets[lo:hi])
+            coverage, around = len({i for i, _ in pairs}) / len(times), section_fit._step_likeness(section_fit._lowest(context), section_fit._lowest(heard_sets[lo:hi]))
             if coverage >= fit.coverage and np.median(off) <= fit.median and off.max() <= fit.maximum:
                 score = 0.58 * whole / len(times) + 0.20 * coverage + 0.10 * np.exp(-np.median(off) / 0.12) + fit.context_weight * around
                 rows.append((shift + stretch * start, stretch, len(pairs), coverage, float(np.median(off)), float(off.max()), score, number))

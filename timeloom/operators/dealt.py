@@ -308,7 +308,7 @@ def regions(rows: DataFrame, keys: list[str], start: str, end: str, width: float
     """
     own = [*keys, "_s"]
     by = Window.partitionBy(*own).orderBy(start, end)
-    spans = rows.where(F.col(start).isNotNull()).withColumn("_s", F.floor(F.col(start) / width).cast("long"))
+    spans = cut(rows.where(F.col(start).isNotNull()).withColumn("_s", F.floor(F.col(start) / width).cast("long")))  # read several times
     along = Window.partitionBy(*keys).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     reach = spans.groupBy(*own).agg(F.max(end).alias("_z"))
     reach = reach.select(*own, F.max("_z").over(along).alias("_reached"))

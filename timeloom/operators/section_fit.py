@@ -78,8 +78,13 @@ def with_groups(made: DataFrame, groups: DataFrame, keys: list[str], role: str,
     return whole.withColumn("groups", F.coalesce("groups", empty)).withColumn("context", F.coalesce("context", empty)).withColumn("observable", F.size("groups") >= Fit.fewest)
 
 
-def _step_likeness(a: list[np.ndarray], b: list[np.ndarray]) -> float:
-    x, y = (np.diff([int(s.min()) for s in side if len(s)]) for side in (a, b))
+def _lowest(sets: list[np.ndarray]) -> np.ndarray:
+    return np.array([int(s.min()) if len(s) else -1 for s in sets], np.int64)
+
+
+def _step_likeness(a: np.ndarray, b: np.ndarray) -> float:
+    """How alike the steps from group to group are, by the groups' lowest symbols (-1: none, passed over)."""
+    x, y = np.diff(a[a >= 0]), np.diff(b[b >= 0])
     n = min(len(x), len(y))
     return float(np.where(x[:n] == y[:n], 1.0, np.where(x[:n] % 12 == y[:n] % 12, 0.5, 0.0)).mean()) if n else 0.0
 
@@ -145,7 +150,8 @@ def evaluate(start: float, end: float, expected: float, times: np.ndarray, sets:
     covered, close = (_supported(stretches, targets[0], fit.step, len(targets), times - start, likeness, heard, within) for within in (fit.maximum, fit.median))
     usable = np.flatnonzero((right - left >= fit.fewest) & (covered >= needed) & (2 * close >= needed))
     slices, of = np.unique(left[usable] * (len(heard) + 1) + right[usable], return_inverse=True)
-    around = np.array([_step_likeness(context, heard_sets[p // (len(heard) + 1) : p % (len(heard) + 1)]) for p in slices.tolist()])
+    own, lows = _lowest(context), _lowest(heard_sets)
+    around = np.array([_step_likeness(own, lows[p // (len(heard) + 1) : p % (len(heard) + 1)]) for p in slices.tolist()])
     most_covered = np.zeros(len(slices), np.int64)
     np.maximum.at(most_covered, of, covered[usable])
     bound = np.empty(len(slices))

@@ -345,12 +345,18 @@ def set_agreement(a: np.ndarray, b: np.ndarray, period: int = 12, octave: float
 def agreements(a: list[np.ndarray], b: list[np.ndarray], period: int = 12, octave: float = 0.72) -> np.ndarray:
     """``set_agreement`` of every set of a with every set of b, as products of membership tables."""
     symbols = np.unique(np.concatenate([*a, *b, np.zeros(0, np.int64)]).astype(np.int64))
-    held = lambda sets: np.array([np.isin(symbols, s) for s in sets], np.float64).reshape(len(sets), len(symbols))
+
+    def held(sets: list[np.ndarray]) -> np.ndarray:
+        table = np.zeros((len(sets), len(symbols)))
+        if len(symbols):
+            table[np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.searchsorted(symbols, np.concatenate([*sets, np.zeros(0, np.int64)]))] = 1.0
+        return table
+
     x, y = held(a), held(b)
     classes = symbols % period
     has = np.zeros((len(b), period))
-    for c in range(period):
-        has[:, c] = y[:, classes == c].any(axis=1)
+    row, column = np.nonzero(y)
+    has[row, classes[column]] = 1.0
     same, near = x @ y.T, x @ has[:, classes].T
     size = x.sum(axis=1)[:, None]
     return np.where((size > 0) & (y.sum(axis=1)[None, :] > 0), (same + octave * (near - same)) / np.maximum(size, 1), 0.0)
