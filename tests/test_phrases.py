@@ -146,6 +146,24 @@ def test_chains_with_a_root(spark):
     assert [r.id for r in phrases.safe_chain(df, ["g"], "id").orderBy("step").collect()] == [0, 2, 3]
 
 
+@pytest.mark.parametrize("seed", range(12))
+def test_first_fit_families_against_a_plain_search(seed):
+    rng = np.random.default_rng(seed)
+    n, near = int(rng.integers(1, 300)), [0.0, 1.0, 2.5][seed % 3]
+    a = np.sort(rng.integers(0, 60, n))
+    z, s = a + rng.integers(0, 9, n), rng.integers(-9, 9, n) / [1, 1, 2][seed % 3]
+    families, want = [], []
+    for i in range(n):
+        at = next((k for k, f in enumerate(families) if z[i] >= f[0] - 1 and a[i] <= f[1] + 1 and abs(s[i] - f[2]) <= near), len(families))
+        if at == len(families):
+            families.append([a[i], z[i], s[i], []])
+        f = families[at]
+        f[3].append(s[i])
+        f[0], f[1], f[2] = min(f[0], a[i]), max(f[1], z[i]), int(np.rint(np.median(f[3])))
+        want.append(at)
+    assert fusion.first_fit(a.tolist(), z.tolist(), s.tolist(), near) == want
+
+
 def test_first_fit_clusters(spark):
     data = [(1, 1, "a", 0.0, 1.0), (1, 2, "b", 60.0, 1.0), (1, 3, "a", 65.0, 2.0), (1, 4, "c", 300.0, 1.0), (1, 5, "b", None, 1.0)]
     df = spark.createDataFrame(data, "m int, id int, role string, res double, w double")

@@ -5,6 +5,9 @@ Keys are a song, or a song and measure; a key holds a bounded number of rows.
 
 from __future__ import annotations
 
+import heapq
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -155,21 +158,63 @@ def shift_families(rows: DataFrame, keys: list[str], ident: str, start: str, end
     kind = dict(rows.dtypes)[ident]
 
     def kernel(g: pd.DataFrame) -> dict:
-        families: list[list] = []  # first, last, median shift, shifts
-        where = []
-        for a, z, s in zip(g[start], g[end], g[shift], strict=True):
-            at = next((k for k, f in enumerate(families) if z >= f[0] - 1 and a <= f[1] + 1 and abs(s - f[2]) <= near), len(families))
-            if at == len(families):
-                families.append([a, z, s, []])
-            f = families[at]
-            f[3].append(s)
-            f[0], f[1], f[2] = min(f[0], a), max(f[1], z), int(np.rint(np.median(f[3])))
-            where.append(at)
-        return {ident: g[ident], "family": where}
+        return {ident: g[ident], "family": first_fit(g[start].tolist(), g[end].tolist(), g[shift].tolist(), near)}
 
     return per_group(rows, keys, [start, shift, ident], kernel, f"{ident} {kind}, family bigint")
 
 
+class _Median:
+    """The median of what was added so far: the lower half as a heap of negatives, the upper half as a heap."""
+
+    def __init__(self) -> None:
+        self.low: list[float] = []
+        self.high: list[float] = []
+
+    def add(self, value: float) -> None:
+        heapq.heappush(self.high, -heapq.heappushpop(self.low, -value))
+        if len(self.high) > len(self.low):
+            heapq.heappush(self.low, -heapq.heappop(self.high))
+
+    def value(self) -> float:
+        return -self.low[0] if len(self.low) > len(self.high) else (self.high[0] - self.low[0]) / 2
+
+
+def first_fit(starts: list, ends: list, shifts: list, near: float) -> list[int]:
+    """The family of each window, windows in order of start.
+
+    Families are looked up by their median, in cells of ``near``; as starts
+    never fall, a family that a window starts beyond is out for good. So a
+    window is compared with the few live families around its shift, and
+    medians cost a logarithm.
+    """
+    cell = near if near > 0 else 1.0
+    live: dict[int, set[int]] = {}
+    last: list = []
+    middle: list[float] = []
+    halves: list[_Median] = []
+    where = []
+    for a, z, s in zip(starts, ends, shifts, strict=True):
+        at = -1
+        for c in range(math.floor((s - near) / cell), math.floor((s + near) / cell) + 1):
+            held = live.get(c, set())
+            held -= {k for k in held if a > last[k] + 1}
+            fits = [k for k in held if abs(s - middle[k]) <= near]
+            if fits and (at < 0 or min(fits) < at):
+                at = min(fits)
+        if at < 0:
+            at = len(last)
+            last.append(z)
+            middle.append(s)
+            halves.append(_Median())
+        else:
+            live[math.floor(middle[at] / cell)].discard(at)
+        halves[at].add(s)
+        last[at], middle[at] = max(last[at], z), round(halves[at].value())
+        live.setdefault(math.floor(middle[at] / cell), set()).add(at)
+        where.append(at)
+    return where
+
+
 def describe_families(rows: DataFrame, keys: list[str], start: str, end: str, shift: str, score: str, margin: float = 0.04) -> DataFrame:
     """Each family's span, median shift, best and second score, and whether it is distinctive against families it overlaps."""
     own = [*keys, "family"]
