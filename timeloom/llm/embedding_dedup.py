@@ -104,6 +104,12 @@ def band_keys(signs: np.ndarray, bits: int, bands: int, dim: int) -> np.ndarray:
         return mix(keys * np.uint64(0x9E3779B97F4A7C15) + np.arange(bands, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(dim)).view(np.int64)
 
 
+@functools.lru_cache(16)
+def _family(dim: int, start: int, stop: int) -> np.ndarray:
+    """The rotations of a family below each other, in single precision: what intervals allow for is far more."""
+    return np.concatenate([rotation(dim, r).T for r in range(start, stop)]).astype(np.float32)
+
+
 class Codes:
     """Codes of one dimension as they travel: dimension, factors and sign bits; and what estimates need of them."""
 
@@ -111,12 +117,16 @@ class Codes:
         self.dim = int(np.ascontiguousarray(raw[0, :4]).view(np.uint32)[0])
         count, first = shape_of(self.dim, bits, bands)
         factors = np.ascontiguousarray(raw[:, 4:20]).view(np.float32).astype(np.float64)
-        signs = np.unpackbits(raw[:, 20:], axis=1, count=count * self.dim).astype(bool)
-        self.keys = band_keys(signs, bits, bands, self.dim)
-        self.a = (_rotated_back(signs, self.dim, slice(0, first)) / factors[:, :1]).astype(np.float32)
-        self.b = (_rotated_back(signs, self.dim, slice(first, count)) / factors[:, 2:3]).astype(np.float32)
+        self.signs, self.plan = np.unpackbits(raw[:, 20:], axis=1, count=count * self.dim), (bits, bands)
+        each = self.signs.astype(np.float32) * np.float32(2) - np.float32(1)
+        self.a = each[:, : first * self.dim] @ _family(self.dim, 0, first) / factors[:, :1].astype(np.float32)
+        self.b = each[:, first * self.dim :] @ _family(self.dim, first, count) / factors[:, 2:3].astype(np.float32)
         self.ra, self.rb = factors[:, 1], factors[:, 3]
 
+    def keys_of(self, rows: np.ndarray) -> np.ndarray:
+        """Band keys of some rows."""
+        return band_keys(self.signs[rows], *self.plan, self.dim)
+
     @staticmethod
     def packed(signs: np.ndarray, factors: np.ndarray, dim: int) -> list[bytes]:
         head = np.full((len(signs), 1), dim, np.uint32).view(np.uint8)
@@ -178,8 +188,11 @@ def choose(place: np.ndarray, band: np.ndarray, side: np.ndarray, crossed: np.nd
 
         def first_met(i: np.ndarray, j: np.ndarray, codes: Codes = codes, met: np.ndarray = met) -> np.ndarray:
             keep = np.ones(len(i), bool)
-            for t in range(int(met[i].max()) if len(i) else 0):
-                keep &= (codes.keys[i, t] != codes.keys[j, t]) | (met[i] <= t)
+            if len(i):
+                some, flat = np.unique(np.concatenate((i, j)), return_inverse=True)
+                keys, (p, q) = codes.keys_of(some), flat.reshape(2, -1)
+                for t in range(int(met[i].max())):
+                    keep &= (keys[p, t] != keys[q, t]) | (met[i] <= t)
             return keep
 
         starts = np.flatnonzero(np.concatenate(([True], where[1:] != where[:-1])))
