@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from timeloom.operators import fusion, islands, joins
 from timeloom.operators.gates import MODES
-from timeloom.operators.sequence import agreements, align, per_group
+from timeloom.operators.sequence import agreements, align_slices, dealt_by, per_group
 
 
 @dataclass(frozen=True)
@@ -41,6 +41,9 @@ class Fit:
     most: int = 5
 
 
+TOGETHER = 8  # slices aligned at once
+
+
 def windows(bars: DataFrame, keys: list[str], fit: Fit = Fit()) -> DataFrame:
     """(keys, window, first, last, start, end, context_start, context_end): runs of measures that overlap by one, about eleven seconds long.
 
@@ -162,17 +165,24 @@ def evaluate(start: float, end: float, expected: float, times: np.ndarray, sets:
         bound[k] = 0.58 * whole / n + 0.20 * most_covered[k] / n + 0.10 + fit.context_weight * around[k] + 1e-9
     rows: list[tuple] = []
     kept: list[tuple] = []
-    for k in np.argsort(-bound, kind="stable").tolist():
+    order = np.argsort(-bound, kind="stable")
+    aligned: list[tuple[float, list[tuple[int, int]]]] = []
+    for place, k in enumerate(order.tolist()):
         if len(kept) == fit.most and bound[k] < kept[-1][10]:
             break
+        if place == len(aligned):
+            some = [divmod(int(slices[q]), len(heard) + 1) for q in order[place : place + TOGETHER].tolist()]
+            aligned += align_slices(likeness, some, *fit.skips)
         lo, hi = divmod(int(slices[k]), len(heard) + 1)
-        whole, pairs = align(likeness[:, lo:hi], *fit.skips)
+        whole, pairs = aligned[place]
         if len(pairs) < fit.fewest:
             continue
         mine = usable[of == k]
         i, j = np.array(pairs).T
         off = np.abs(heard[lo + j][None, :] - (shift[mine][:, None] + stretch[mine][:, None] * times[i][None, :]))
-        middle, most = np.median(off, axis=1), off.max(axis=1)
+        off.sort(axis=1)
+        half = off.shape[1] // 2
+        middle, most = off[:, half] if off.shape[1] % 2 else (off[:, half - 1] + off[:, half]) / 2, off[:, -1]
         coverage, sequence = len(set(i.tolist())) / n, whole / n
         score = 0.58 * sequence + 0.20 * coverage + 0.10 * np.exp(-middle / 0.12) + fit.context_weight * around[k]
         good = (coverage >= fit.coverage) & (middle <= fit.median) & (most <= fit.maximum)
@@ -198,20 +208,23 @@ def candidates(made: DataFrame, performed: DataFrame, keys: list[str], role: str
     own = [*keys, role, "window"]
     schema = ", ".join([*(f"{k} {kinds[k]}" for k in own), "rank bigint, chart_start double, chart_end double", CANDIDATE])
 
-    def sets(groups) -> list[np.ndarray]:
-        return [np.asarray(g["symbols"], np.int64) for g in groups]
+    def flat(name: str) -> list:
+        """Times, symbols one after the other and how many each group has: plain arrays, which reach Python without an object a group."""
+        parts = {"t": F.transform(name, lambda g: g["time"]), "s": F.flatten(F.transform(name, lambda g: g["symbols"])), "n": F.transform(name, lambda g: F.size(g["symbols"]))}
+        return [c.alias(f"_{name}_{part}") for part, c in parts.items()]
+
+    def sets(symbols: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+        return np.split(symbols.astype(np.int64), np.cumsum(sizes)[:-1]) if len(sizes) else []
 
     def work(batches):
         for batch in batches:
             out = []
-            for row in batch.itertuples(index=False):
-                times, heard_at = np.array([g["time"] for g in row.groups], float), np.array([g["time"] for g in row.heard], float)
-                found = evaluate(row.start, row.end, getattr(row, baseline), times, sets(row.groups), sets(row.context), heard_at, sets(row.heard), fit)
-                out += [(*(getattr(row, k) for k in own), rank, row.start, row.end, *f) for rank, f in enumerate(found, 1)]
+            for row in batch.to_dict("records"):
+                found = evaluate(row["start"], row["end"], row[baseline], row["_groups_t"].astype(float), sets(row["_groups_s"], row["_groups_n"]), sets(row["_context_s"], row["_context_n"]), row["_heard_t"].astype(float), sets(row["_heard_s"], row["_heard_n"]), fit)
+                out += [(*(row[k] for k in own), rank, row["start"], row["end"], *f) for rank, f in enumerate(found, 1)]
             yield pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
 
-    tasks = int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes, much work: not to be merged into fewer tasks
-    return asked.select(*own, "start", "end", baseline, "groups", "context", "heard").repartition(tasks, *own).mapInPandas(work, schema)
+    return dealt_by(asked.select(*own, "start", "end", baseline, *flat("groups"), *flat("context"), *flat("heard")), own).mapInPandas(work, schema)
 
 
 def _follows(p: dict, c: dict, reject: float = 0.35) -> float | None:
