@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from timeloom.operators import sequence
+from timeloom.operators import joins, sequence
 
 
 def test_slices_align_as_alone():
@@ -14,3 +14,17 @@ def test_slices_align_as_alone():
 def test_few_bytes_keep_all_tasks(spark):
     rows = spark.range(40).select((F.col("id") % 8).alias("k"), "id").groupBy("k").agg(F.count("*").alias("n"))
     assert sequence.dealt_by(rows, ["k"]).rdd.getNumPartitions() == 4  # as many as shuffle partitions, though a few bytes
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().toString()
+
+
+def test_nearest_forms_no_pairs(spark):
+    rng = np.random.default_rng(2)
+    a = [(i, int(t)) for i, t in enumerate(rng.integers(-300, 300, 60))] + [(99, None), (3, 5000)]
+    b = [(int(i), int(t)) for i, t in enumerate(rng.integers(-300, 300, 25))] + [(50, 7), (51, 7), (52, None)]
+    got = joins.nearest_within(spark.createDataFrame(a, "id long, t long"), spark.createDataFrame(b, "o long, u long"), "id", "t", "o", "u", 20)
+    want = {(i, t): min((abs(u - t), u, o) for o, u in b if u is not None and abs(u - t) <= 20) for i, t in a if t is not None and any(u is not None and abs(u - t) <= 20 for _, u in b)}
+    assert sorted(tuple(r) for r in got.collect()) == sorted((i, o, u - t) for (i, t), (_, u, o) in want.items())
+    assert "Join" not in plan(got)

@@ -41,13 +41,22 @@ def asof(left: DataFrame, right: DataFrame, keys: list[str], time: str, start: s
 def nearest_within(left: DataFrame, right: DataFrame, left_id: str, left_time: str, right_id: str, right_time: str, radius: int) -> DataFrame:
     """For each left row the right row nearest in time, within ``radius``; the earlier one, then the lower id, on ties.
 
-    Rows meet in buckets as wide as the radius, so each left row is joined
-    with three buckets only.
+    Each right time is dealt to the bucket as wide as the radius it lies in
+    and to both beside it, once with its lowest id; the last one before a left
+    row and the first one after it are then found by order, so no pairs are formed.
     """
-    a = left.select(F.col(left_id).alias("id"), F.col(left_time).alias("t")).withColumn("_b", F.explode(F.array(*(F.expr(f"t div {radius} + {k}") for k in (-1, 0, 1)))))
-    b = right.select(F.col(right_id).alias("other_id"), F.col(right_time).alias("u")).withColumn("_b", F.expr(f"u div {radius}"))
-    near = a.join(b, "_b").where(F.abs(F.col("u") - F.col("t")) <= radius)
-    best = near.groupBy("id", "t").agg(F.min(F.struct(F.abs(F.col("u") - F.col("t")).alias("d"), "u", "other_id")).alias("m"))
+    a = left.select(F.col(left_id).alias("id"), F.col(left_time).alias("t")).where("t is not null").withColumn("_b", F.expr(f"t div {radius}"))
+    times = right.select(F.col(right_id).alias("other_id"), F.col(right_time).alias("u")).where("u is not null").groupBy("u").agg(F.min("other_id").alias("other_id"))
+    b = times.withColumn("_b", F.explode(F.array(*(F.expr(f"u div {radius} + {k}") for k in (-1, 0, 1)))))
+    id_kind, other_kind = dict(a.dtypes)["id"], dict(b.dtypes)["other_id"]
+    both = a.select("_b", "t", F.lit(True).alias("_asks"), "id", F.lit(None).cast(f"struct<u:{dict(b.dtypes)['u']},other_id:{other_kind}>").alias("_o"))
+    both = both.unionByName(b.select("_b", F.col("u").alias("t"), F.lit(False).alias("_asks"), F.lit(None).cast(id_kind).alias("id"), F.struct("u", "other_id").alias("_o")))
+    ahead = Window.partitionBy("_b").orderBy("t", "_asks").rowsBetween(Window.unboundedPreceding, 0)
+    back = Window.partitionBy("_b").orderBy(F.desc("t"), "_asks").rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("_p", F.last("_o", ignorenulls=True).over(ahead)).withColumn("_n", F.last("_o", ignorenulls=True).over(back)).where("_asks")
+    before, after = F.col("t") - F.col("_p.u"), F.col("_n.u") - F.col("t")
+    pick = F.when(before <= F.coalesce(after, before), F.col("_p")).otherwise(F.col("_n"))
+    best = found.withColumn("_m", pick).where(F.abs(F.col("_m.u") - F.col("t")) <= radius).groupBy("_b", "id", "t").agg(F.first("_m").alias("m"))
     return best.select("id", F.col("m.other_id").alias("other_id"), (F.col("m.u") - F.col("t")).alias("residual"))
 
 
