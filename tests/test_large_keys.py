@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from timeloom.operators import joins, sequence
+from timeloom.operators import joins, select, sequence
 
 
 def test_slices_align_as_alone():
@@ -28,3 +28,17 @@ def test_nearest_forms_no_pairs(spark):
     want = {(i, t): min((abs(u - t), u, o) for o, u in b if u is not None and abs(u - t) <= 20) for i, t in a if t is not None and any(u is not None and abs(u - t) <= 20 for _, u in b)}
     assert sorted(tuple(r) for r in got.collect()) == sorted((i, o, u - t) for (i, t), (_, u, o) in want.items())
     assert "Join" not in plan(got)
+
+
+def test_suppression_compares_neighbours_only(spark):
+    rng = np.random.default_rng(3)
+    made = [("a", float(p), float(s)) for p, s in zip(rng.integers(0, 400, 200) / 2, rng.integers(0, 30, 200))] + [("b", None, 1.0), ("b", 3.0, 2.0)]
+    kept = []
+    for _, p, s in sorted((r for r in made if r[0] == "a"), key=lambda r: (-r[2], r[1])):
+        if all(abs(p - q) >= 2.5 for q, _ in kept):
+            kept.append((p, s))
+    df = select.suppress(spark.createDataFrame(made, "k string, p double, s double"), ["k"], "p", "s", 2.5)
+    got = sorted((r.k, r["rank"], r.position, r.score) for r in df.collect() if r.k == "a")
+    assert got == [("a", i, p, s) for i, (p, s) in enumerate(kept)]
+    assert sorted(r.score for r in df.collect() if r.k == "b") == [1.0, 2.0]
+    assert "collect_list" not in plan(df)
