@@ -1,7 +1,9 @@
+import time
+
 import numpy as np
 from pyspark.sql import functions as F
 
-from timeloom.operators import joins, select, sequence
+from timeloom.operators import joins, select, sequence, vocals
 
 
 def test_slices_align_as_alone():
@@ -42,3 +44,24 @@ def test_suppression_compares_neighbours_only(spark):
     assert got == [("a", i, p, s) for i, (p, s) in enumerate(kept)]
     assert sorted(r.score for r in df.collect() if r.k == "b") == [1.0, 2.0]
     assert "collect_list" not in plan(df)
+
+
+def test_chain_by_layers_is_the_chain(monkeypatch):
+    rng = np.random.default_rng(4)
+    for n in (40, 160):
+        x = np.sort(rng.integers(0, 5, n)).astype(float)
+        y = x + np.round(rng.normal(0, 0.2, n), 2)
+        order = np.lexsort((y, x))
+        x, y, score = x[order], y[order], rng.integers(0, 4, n) / 3
+        monkeypatch.setattr(sequence, "LAYER", 8)
+        got = sequence.chain(x, y, score, 0.88, 1.12)
+        monkeypatch.setattr(sequence, "LAYER", n + 1)
+        assert got == sequence.chain(x, y, score, 0.88, 1.12)
+
+
+def test_pitch_regions_of_a_long_syllable():
+    n = 30_000  # every frame leaves the pitch before, and all short stretches join
+    pitch = np.tile([60.0, 63.0, 66.0, 61.0], n // 4)
+    began = time.perf_counter()
+    found = vocals._regions(np.arange(n) * 1e-4, pitch, np.full(n, 0.9), 1.0, 1.0, 0.05)
+    assert time.perf_counter() - began < 5 and found

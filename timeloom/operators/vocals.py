@@ -5,6 +5,8 @@ Kernels take one syllable or one voice of a song; both are bounded by the song.
 
 from __future__ import annotations
 
+from bisect import insort
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -69,25 +71,38 @@ def _regions(t: np.ndarray, pitch: np.ndarray, sure: np.ndarray, step: float, ga
     median by ``step``. Stretches too short are given to the neighbour whose
     pitch is nearest, the earlier one on ties, from the front, until none is left.
     """
-    middle = lambda idx: int(np.rint(np.sort(pitch[idx])[len(idx) // 2]))
-    parts: list[list[int]] = []
-    for i in range(len(t)):
-        if parts and t[i] - t[parts[-1][-1]] <= gap and abs(np.rint(pitch[i]) - middle(parts[-1])) < step:
-            parts[-1].append(i)
+    middle = lambda held: int(np.rint(held[len(held) // 2]))
+    at, sung = t.tolist(), pitch.tolist()
+    parts: list[tuple[int, int, list[float]]] = []  # first and last frame, sorted pitches
+    for i, p in enumerate(sung):
+        if parts and at[i] - at[i - 1] <= gap and abs(np.rint(p) - middle(parts[-1][2])) < step:
+            insort(parts[-1][2], p)
+            parts[-1] = (parts[-1][0], i, parts[-1][2])
+        else:
+            parts.append((i, i, [p]))
+
+    def joined(a: tuple, b: tuple) -> tuple:
+        few, many = sorted((a[2], b[2]), key=len)
+        if len(few) < 8:
+            for p in few:
+                insort(many, p)
+        else:
+            many = sorted(many + few)
+        return a[0], b[1], many
+
+    ahead, done = parts[::-1], []  # all in ``done`` are long enough, so the first short one is never behind
+    while ahead:
+        now = ahead.pop()
+        if at[now[1]] - at[now[0]] + HOP >= shortest or not (done or ahead):
+            done.append(now)
+        elif done and (not ahead or abs(middle(done[-1][2]) - middle(now[2])) <= abs(middle(ahead[-1][2]) - middle(now[2]))):
+            ahead.append(joined(done.pop(), now))
         else:
-            parts.append([i])
-    while len(parts) > 1:
-        brief = next((k for k, p in enumerate(parts) if t[p[-1]] - t[p[0]] + HOP < shortest), None)
-        if brief is None:
-            break
-        beside = [k for k in (brief - 1, brief + 1) if 0 <= k < len(parts)]
-        into = min(beside, key=lambda k: abs(middle(parts[k]) - middle(parts[brief])))
-        parts[min(brief, into)] = sorted(parts[brief] + parts[into])
-        del parts[max(brief, into)]
+            ahead.append(joined(now, ahead.pop()))
     out: list[list] = []
-    for p in parts:
-        start, end, note, confidence = t[p[0]], t[p[-1]] + HOP, middle(p), float(sure[p].mean())
-        if t[p[-1]] - t[p[0]] + HOP < shortest:
+    for first, last, held in done:
+        start, end, note, confidence = t[first], t[last] + HOP, middle(held), float(sure[first : last + 1].mean())
+        if t[last] - t[first] + HOP < shortest:
             continue
         if out and out[-1][2] == note and start <= out[-1][1] + gap:
             out[-1][1], out[-1][3] = max(out[-1][1], end), max(out[-1][3], confidence)
@@ -104,7 +119,7 @@ def pitch_regions(frames: DataFrame, keys: list[str], least: float = 0.5, step:
         found = _regions(g["t"].to_numpy(float), g["_p"].to_numpy(float), g["confidence"].to_numpy(float), step, gap, shortest)
         return {n: [r[i] for r in found] for i, n in enumerate(("start", "end", "midi", "confidence"))}
 
-    return per_group(voiced, keys, ["t"], kernel, "start double, end double, midi bigint, confidence double")
+    return per_group(voiced, keys, ["t", "_p", "confidence"], kernel, "start double, end double, midi bigint, confidence double")
 
 
 def partition_syllables(syllables: DataFrame, regions: DataFrame, keys: list[str], fallback: str = "pitch") -> DataFrame:
