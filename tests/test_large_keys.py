@@ -71,3 +71,18 @@ def test_paths_hold_no_table_of_all_pairs(spark):
     n = 30_000  # a table of all pairs would take 7 GB
     rows = spark.range(n).select(F.lit(1).alias("k"), "id", (F.col("id") % 3 * 10.0).alias("x"), (F.col("id") % 3 * 10.0 + F.col("id") / 1e5).alias("y"), (F.col("id") % 7 / 7 + 0.1).alias("score"), F.lit(False).alias("fixed"))
     assert phrases.constrained_path(rows, ["k"], "id").count() == 3
+
+
+def test_nearest_span_forms_no_pairs(spark):
+    rng = np.random.default_rng(5)
+    made = lambda n, first: [(int(rng.integers(2)), first + i, int(a), int(a + d), "abc"[i % 3]) for i, (a, d) in enumerate(zip(rng.integers(0, 400, n), rng.integers(0, 25, n) * rng.integers(0, 2, n)))]
+    x, y = made(80, 0), made(60, 1000)
+    df = lambda t: spark.createDataFrame(t, "k long, id long, a long, z long, kind string")
+    want = {}
+    for k, i, a, z, _ in x:
+        found = [(0.0 if max(a, c) < min(z, e) + 1e-9 else float(min(abs(a - c), abs(a - e), abs(z - c), abs(z - e))), c, e, kind) for g, _, c, e, kind in y if g == k]
+        d, _, _, kind = min((f for f in found if f[0] <= 4), default=(None, 0, 0, None))
+        want[i] = (kind, d)
+    got = joins.nearest_span(df(x).drop("kind"), df(y), ["k"], "id", ("a", "z"), ("a", "z"), "kind", 4.0)
+    assert {r.id: (r.near_kind, r.near_distance) for r in got.collect()} == want
+    assert plan(got).count("Join Inner") == 0

@@ -6,9 +6,13 @@ that a join adds replaces one of that name.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from timeloom.operators import sequence
+
 
 def _stretch(time: str, width: float) -> Column:
     return F.floor(F.col(time) / F.lit(width)).cast("long")
@@ -111,15 +115,53 @@ def overlap_share(a_start: Column, a_end: Column, b_start: Column, b_end: Column
 def nearest_span(rows: DataFrame, spans: DataFrame, keys: list[str], ident: str, span: tuple[str, str], other: tuple[str, str], kind: str, limit: float) -> DataFrame:
     """Per row the nearest span of its keys within ``limit``: its kind and distance (0: they overlap), ties to the earlier one.
 
-    Rows without one keep nulls. Spans are looked for up to ``limit`` around
-    the row, so the join stays on equality.
+    Rows without one keep nulls. Both sides are dealt to the stretches of
+    ``limit`` they touch, the row widened by it. In a stretch the spans are
+    put in order once: the first whose running latest end passes the row's
+    start overlaps it or none does, and else the nearest ends on either side
+    decide. So no pairs are formed.
     """
-    wide = rows.select(*keys, ident, (F.col(span[0]) - limit).alias("_a"), (F.col(span[1]) + limit).alias("_z"), F.col(span[0]).alias("_s"), F.col(span[1]).alias("_e"))
-    near = overlapping(wide, spans.select(*keys, F.col(other[0]).alias("_os"), F.col(other[1]).alias("_oe"), F.col(kind).alias("_kind")), keys, ("_a", "_z"), ("_os", "_oe"), max(limit, 1e-9), closed=True)
-    apart = F.array_min(F.array(*(F.abs(F.col(x) - F.col(y)) for x in ("_s", "_e") for y in ("_os", "_oe"))))
-    gap = F.when(F.greatest("_s", "_os") < F.least("_e", "_oe") + 1e-9, 0.0).otherwise(apart.cast("double"))
-    best = near.withColumn("_d", gap).where(F.col("_d") <= limit).groupBy(*keys, ident).agg(F.min(F.struct("_d", "_os", "_oe", "_kind")).alias("_m"))
-    return rows.join(best, [*keys, ident], "left").select(*rows.columns, F.col("_m._kind").alias("near_kind"), F.col("_m._d").alias("near_distance"))
+    width = max(limit, 1e-9)
+    s, e = F.col(span[0]).cast("double"), F.col(span[1]).cast("double")
+    asked = rows.select(*keys, ident, s.alias("_s"), e.alias("_e")).where(F.col(ident).isNotNull() & F.col("_s").isNotNull() & F.col("_e").isNotNull())
+    deal = lambda df, a, z: df.withColumn("_stretch", F.explode(F.sequence(F.floor(a / width).cast("long"), F.greatest(F.floor(a / width), F.floor(z / width)).cast("long"))))
+    asked = deal(asked, F.col("_s") - limit, F.col("_e") + limit).distinct()
+    given = spans.select(*keys, F.col(other[0]).cast("double").alias("_s"), F.col(other[1]).cast("double").alias("_e"), F.col(kind).alias("_kind")).where("_s is not null and _e is not null").distinct()
+    given = deal(given, F.col("_s"), F.col("_e")).withColumn(ident, F.lit(0).cast(dict(rows.dtypes)[ident]))  # not null, which would turn whole numbers into doubles in pandas
+    both = asked.withColumn("_kind", F.lit(None).cast(dict(spans.dtypes)[kind])).withColumn("_asks", F.lit(True)).unionByName(given.withColumn("_asks", F.lit(False)))
+    for key in keys:
+        both = both.where(F.col(key).isNotNull())  # as in a join, null keys meet nothing
+
+    def kernel(g: pd.DataFrame) -> dict:
+        asks = g["_asks"].to_numpy(bool)
+        x, y = g[asks], g[~asks].reset_index(drop=True)  # y is in order of start, end and kind
+        xs, xe, ys, ye = (d[c].to_numpy(float) for d in (x, y) for c in ("_s", "_e"))
+        n, best, apart = len(y), np.full(len(x), -1), np.full(len(x), np.inf)
+        if n and len(x):
+            def offer(at: np.ndarray, d: np.ndarray, fits: np.ndarray) -> None:
+                better = fits & (d <= limit) & ((d < apart) | ((d == apart) & (at < best)))
+                best[better], apart[better] = at[better], d[better]
+
+            proper = np.flatnonzero(ys < ye + 1e-9)
+            if len(proper):
+                first = np.searchsorted(np.maximum.accumulate(ye[proper] + 1e-9), xs, side="right")
+                at = proper[np.minimum(first, len(proper) - 1)]
+                offer(at, np.zeros(len(x)), (first < len(proper)) & (ys[at] < xe + 1e-9) & (xs < xe + 1e-9))
+            for values in (ys, ye):
+                order = np.argsort(values, kind="stable")
+                ends = values[order]
+                for own in (xs, xe):
+                    right = np.searchsorted(ends, own, side="left")
+                    left = np.searchsorted(ends, ends[np.maximum(right - 1, 0)], side="left")
+                    for place, fits in ((np.minimum(right, n - 1), right < n), (left, right > 0)):
+                        offer(order[place], np.abs(own - ends[place]), fits)
+        got = np.flatnonzero(best >= 0)
+        return {"_id": x[ident].to_numpy()[got], "_d": apart[got], "_os": ys[best[got]], "_oe": ye[best[got]], "_near": y["_kind"].to_numpy()[best[got]]}
+
+    schema = f"_id {dict(rows.dtypes)[ident]}, _d double, _os double, _oe double, _near {dict(spans.dtypes)[kind]}"
+    near = sequence.per_group(both, [*keys, "_stretch"], ["_s", "_e", "_kind"], kernel, schema).withColumnRenamed("_id", ident)
+    best = near.groupBy(*keys, ident).agg(F.min(F.struct("_d", "_os", "_oe", "_near")).alias("_m"))
+    return rows.join(best, [*keys, ident], "left").select(*rows.columns, F.col("_m._near").alias("near_kind"), F.col("_m._d").alias("near_distance"))
 
 
 def without_near(rows: DataFrame, others: DataFrame, keys: list[str], time: str, other_time: str, radius: float) -> DataFrame:
