@@ -3,6 +3,9 @@ import itertools
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
+from timeloom import plans
 from timeloom.operators import section_fit, sequence
 
 
@@ -118,3 +121,19 @@ def test_materialise_cuts_bad_edges(spark):
 def test_empty_inputs(spark):
     bars, written, performed = song(spark)
     assert section_fit.fit_sections(bars.limit(0), written.limit(0), performed, ["song"], "role").count() == 0
+
+
+def test_windows_gathered_at_once_are_placed_alike(spark):
+    bars, written, performed = song(spark)
+    made = section_fit.windows(bars, ["song"])
+    groups = written.withColumn("side", F.lit("written")).unionByName(performed.withColumn("side", F.lit("performed")))
+    got = section_fit.placements(section_fit.gathered(made, groups, ["song"], "role"), ["song"], "role")
+    want = section_fit.candidates(section_fit.with_groups(made, written, ["song"], "role").withColumn("expected", F.col("start")), performed, ["song"], "role")
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(got) == rows(want) != []
+
+
+def test_section_candidates_makes_each_step_once(spark):
+    """Windows, onset groups and placements are a kernel each; repeated steps were most of the query's time."""
+    plan = plans.QUERIES["section_candidates"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInPandas") == 3

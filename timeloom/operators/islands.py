@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from timeloom.operators import dealt, joins, tempo
-from timeloom.operators.sequence import per_group
+from timeloom.operators.sequence import per_group, per_groups
 
 ISLANDS = 256  # islands of one key that a kernel call takes together
 
@@ -65,13 +65,18 @@ def _head_times(rows: DataFrame, keys: list[str], time: str, tolerance: float, w
         return dealt.head_times(counted, keys, time, tolerance, width)
     chained = chain_groups(counted, keys, time, tolerance).withColumn("_part", F.expr(f"group_no div {ISLANDS}"))
 
-    def kernel(g: pd.DataFrame) -> dict:
+    def kernel(g: pd.DataFrame, starts: np.ndarray) -> tuple[np.ndarray, dict]:
         t, chain = g[time].to_numpy(), g["group_no"].to_numpy()
-        edges = np.flatnonzero(np.concatenate(([True], chain[1:] != chain[:-1], [True])))
-        head = np.concatenate([a + _heads(t[a:b], tolerance) for a, b in zip(edges[:-1], edges[1:], strict=True)])
-        return {"time": t, "n": g["n"], "head": t[head]}
-
-    return per_group(chained, [*keys, "_part"], [time], kernel, f"time {kind}, n bigint, head {kind}").drop("_part")
+        new = np.concatenate(([True], chain[1:] != chain[:-1]))
+        new[starts] = True
+        edges = np.append(np.flatnonzero(new), len(t))
+        head = np.repeat(edges[:-1], np.diff(edges))
+        for k in np.flatnonzero(~(t[edges[1:] - 1] <= t[edges[:-1]] + tolerance)):  # the others are one group each
+            a, b = edges[k], edges[k + 1]
+            head[a:b] = a + _heads(t[a:b], tolerance)
+        return np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(t)))), {"time": t, "n": g["n"].to_numpy(), "head": t[head]}
+
+    return per_groups(chained, [*keys, "_part"], [time], kernel, f"time {kind}, n bigint, head {kind}").drop("_part")
 
 
 def head_anchored(rows: DataFrame, keys: list[str], time: str, tolerance: float, width: float | None = None) -> DataFrame:

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from timeloom.operators import fusion, islands, joins
@@ -81,6 +81,29 @@ def with_groups(made: DataFrame, groups: DataFrame, keys: list[str], role: str,
     return whole.withColumn("groups", F.coalesce("groups", empty)).withColumn("context", F.coalesce("context", empty)).withColumn("observable", F.size("groups") >= Fit.fewest)
 
 
+def gathered(made: DataFrame, groups: DataFrame, keys: list[str], role: str, baseline: str = "start", fit: Fit = Fit(), width: float = 16.0) -> DataFrame:
+    """Each window for each role with enough written groups: these, those of its context and the performed ones that it can reach, as arrays in time.
+
+    ``groups``: role, time, symbols and side, ``written`` or ``performed``;
+    ``baseline`` is a column of the windows, the same for all roles. All
+    groups meet the windows in one join and are gathered at once.
+    """
+    low, high = _reach(baseline, fit)
+    asked = made.withColumn("_lo", low).withColumn("_hi", high)
+    asked = asked.withColumn("_first", F.least("start", "context_start", "_lo")).withColumn("_last", F.greatest("end", "context_end", "_hi"))
+    met = joins.members_of(asked, groups.select(*keys, role, "time", "symbols", (F.col("side") == "written").alias("_written")), keys, "_first", "_last", "time", width, closed=True)
+    at, is_written = F.col("time"), F.col("_written")
+    within = {"groups": is_written & (at >= F.col("start")) & (at < F.col("end")), "context": is_written & (at >= F.col("context_start")) & (at < F.col("context_end")), "heard": ~is_written & at.between(F.col("_lo"), F.col("_hi"))}
+    got = met.groupBy(*keys, role, "window").agg(*(F.first(c).alias(c) for c in made.columns if c not in (*keys, "window")), *(F.array_sort(F.collect_list(F.when(w, F.struct("time", "symbols")))).alias(name) for name, w in within.items()))
+    return got.where((F.size("groups") >= fit.fewest) & (F.size("heard") > 0))
+
+
+def _reach(baseline: str, fit: Fit) -> tuple[Column, Column]:
+    """First and last time at which a performed group can matter to a window."""
+    reach = fit.radius + max(0.5, fit.maximum * 2) + 1e-6
+    return F.col(baseline) - reach, F.col(baseline) + (F.col("end") - F.col("start")) * fit.stretch[1] + reach
+
+
 def _lowest(sets: list[np.ndarray]) -> np.ndarray:
     return np.array([int(s.min()) if len(s) else -1 for s in sets], np.int64)
 
@@ -101,16 +124,14 @@ def _supported(stretches: np.ndarray, first: float, step: float, targets: int, a
     An agreeing pair votes for a run of the evenly spaced targets; the runs of a written group are added up as differences.
     """
     i, j = np.nonzero(likeness > 0)
-    counts = np.empty((len(stretches), targets), np.int64)
-    for k, stretch in enumerate(stretches):
-        middle = (heard[j] - stretch * apart[i] - first) / step
-        lo = np.clip(np.ceil(middle - within / step - 1e-6), 0, targets).astype(np.int64)
-        hi = np.clip(np.floor(middle + within / step + 1e-6) + 1, 0, targets).astype(np.int64)
-        some = hi > lo
-        width = targets + 1
-        votes = np.bincount(i[some] * width + lo[some], minlength=len(apart) * width) - np.bincount(i[some] * width + hi[some], minlength=len(apart) * width)
-        counts[k] = (np.cumsum(votes.reshape(len(apart), width), axis=1)[:, :targets] > 0).sum(axis=0)
-    return counts.ravel()
+    middle = (heard[j] - stretches[:, None] * apart[i] - first) / step  # stretch, pair
+    lo = np.clip(np.ceil(middle - within / step - 1e-6), 0, targets).astype(np.int64)
+    hi = np.clip(np.floor(middle + within / step + 1e-6) + 1, 0, targets).astype(np.int64)
+    some, width = hi > lo, targets + 1
+    row = (np.arange(len(stretches))[:, None] * len(apart) + i) * width
+    cells = len(stretches) * len(apart) * width
+    votes = np.bincount((row + lo)[some], minlength=cells) - np.bincount((row + hi)[some], minlength=cells)
+    return (np.cumsum(votes.reshape(len(stretches), len(apart), width), axis=2)[:, :, :targets] > 0).sum(axis=1).ravel()
 
 
 def _distinct(rows: list[tuple], fit: Fit) -> list[tuple]:
@@ -199,11 +220,15 @@ def candidates(made: DataFrame, performed: DataFrame, keys: list[str], role: str
     start is expected); ``performed``: role, time, symbols. Only performed
     groups that a window can reach travel to it.
     """
-    reach = fit.radius + max(0.5, fit.maximum * 2) + 1e-6
-    asked = made.where("observable").withColumn("_lo", F.col(baseline) - reach).withColumn("_hi", F.col(baseline) + (F.col("end") - F.col("start")) * fit.stretch[1] + reach)
+    low, high = _reach(baseline, fit)
+    asked = made.where("observable").withColumn("_lo", low).withColumn("_hi", high)
     met = joins.members_of(asked.select(*keys, role, "window", "_lo", "_hi"), performed.select(*keys, role, F.col("time").alias("_t"), F.col("symbols").alias("_s")), [*keys, role], "_lo", "_hi", "_t", 16.0, closed=True)
     heard = met.groupBy(*keys, role, "window").agg(F.array_sort(F.collect_list(F.struct(F.col("_t").alias("time"), F.col("_s").alias("symbols")))).alias("heard"))
-    asked = asked.join(heard, [*keys, role, "window"])
+    return placements(asked.join(heard, [*keys, role, "window"]), keys, role, baseline, fit)
+
+
+def placements(asked: DataFrame, keys: list[str], role: str, baseline: str = "start", fit: Fit = Fit()) -> DataFrame:
+    """Ranked placements, as of ``candidates``, of windows as of ``gathered``."""
     kinds = dict(asked.dtypes)
     own = [*keys, role, "window"]
     schema = ", ".join([*(f"{k} {kinds[k]}" for k in own), "rank bigint, chart_start double, chart_end double", CANDIDATE])
@@ -224,7 +249,7 @@ def candidates(made: DataFrame, performed: DataFrame, keys: list[str], role: str
                 out += [(*(row[k] for k in own), rank, row["start"], row["end"], *f) for rank, f in enumerate(found, 1)]
             yield pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
 
-    return dealt_by(asked.select(*own, "start", "end", baseline, *flat("groups"), *flat("context"), *flat("heard")), own).mapInPandas(work, schema)
+    return dealt_by(asked.select(*own, *dict.fromkeys(("start", "end", baseline)), *flat("groups"), *flat("context"), *flat("heard")), own).mapInPandas(work, schema)
 
 
 def _follows(p: dict, c: dict, reject: float = 0.35) -> float | None:
@@ -412,5 +437,6 @@ def materialise(controls: DataFrame, keys: list[str], mode: str = "conservative"
 
 def fit_sections(bars: DataFrame, written: DataFrame, performed: DataFrame, keys: list[str], role: str, fit: Fit = Fit()) -> DataFrame:
     """All steps on a baseline of identity: the fused controls of each song, of ``written`` and ``performed`` onset groups (role, time, symbols)."""
-    placed = with_groups(windows(bars, keys, fit), written, keys, role).withColumn("expected", F.col("start"))
-    return fuse(fused_controls(role_paths(candidates(placed, performed, keys, role, fit=fit), keys, role), keys, role), keys)
+    groups = written.withColumn("side", F.lit("written")).unionByName(performed.withColumn("side", F.lit("performed")), allowMissingColumns=True)
+    found = placements(gathered(windows(bars, keys, fit), groups, keys, role, fit=fit), keys, role, fit=fit)
+    return fuse(fused_controls(role_paths(found, keys, role), keys, role), keys)
