@@ -71,3 +71,12 @@ def test_empty_stream(spark, tmp_path):
     (tmp_path / "none").mkdir()
     stream = spark.readStream.schema("k string, at timestamp").parquet(str(tmp_path / "none"))
     assert onsets.replay(spark, onsets.chain_groups(stream, ["k"], "at", 1, "1 minute")).count() == 0
+
+
+def test_opening_of_tied_sources_is_the_earliest_entrance(spark):
+    """Of sources as near and of the same priority, in whatever order they come."""
+    tied = [(1, "b", 10.2, 21.0, 1), (1, "a", 10.1, 19.0, 1), (1, "c", 10.3, 19.0, 1)]
+    for rows in (tied, tied[::-1]):
+        df = spark.createDataFrame(rows, "g int, source string, first double, heard double, priority int").coalesce(1).withColumns({"score_start": F.lit(10.0), "content_start": F.lit(20.0), "accepted": F.lit(True)})
+        got = gates.choose_opening(df, ["g"], together=0.5).first()
+        assert (got.score_anchor, got.audio_anchor) == (10.1, 19.0)

@@ -132,6 +132,7 @@ def opening_gates(sources: DataFrame, keys: list[str], latest: float = 15.0, shi
 def choose_opening(gated: DataFrame, keys: list[str], together: float = 0.05, agree: float = 0.25) -> DataFrame:
     """Per key score and audio anchor and status: the earliest cohort's medians if they agree, else the one nearest to where content starts.
 
+    Of equally near ones of the same priority the earliest entrance counts, then the least source, so reruns agree.
     Rows as of ``opening_gates``, with ``source`` and ``priority``.
     """
     own = Window.partitionBy(*keys)
@@ -140,7 +141,7 @@ def choose_opening(gated: DataFrame, keys: list[str], together: float = 0.05, ag
     heard, first = F.when(F.col("_in"), F.col("heard")), F.when(F.col("_in"), F.col("first"))
     got = cohort.groupBy(*keys).agg(
         F.count(F.when(F.col("_in"), 1)).alias("_n"), (F.max(heard) - F.min(heard)).alias("spread"), F.median(heard).alias("_ma"), F.median(first).alias("_ms"), F.min("first").alias("_fs"), F.first("score_start").alias("_ss"), F.first("content_start").alias("_cs"),
-        F.min_by(F.struct("heard", "first", "source"), F.when(F.col("_in"), F.struct(F.abs(F.col("heard") - F.col("content_start")), "priority"))).alias("_b"),
+        F.min_by(F.struct("heard", "first", "source"), F.when(F.col("_in"), F.struct(F.abs(F.col("heard") - F.col("content_start")), "priority", "first", "source"))).alias("_b"),
     )
     fused = (F.col("_n") > 1) & (F.col("spread") <= agree)
     none = F.col("_n") == 0
