@@ -1,6 +1,7 @@
 import itertools
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -172,6 +173,38 @@ def test_first_fit_clusters(spark):
     assert rows(fusion.shift_families(wins, ["g"], "id", "s", "e", "k")) == [(1, 1, 0), (1, 2, 0), (1, 3, 1), (1, 4, 2)]
 
 
+def clusters_by_search(value, name, heavy, tolerance):
+    held, where = [], [None] * len(value)
+    for i in range(len(value)):
+        at = next((k for k, c in enumerate(held) if abs(value[i] - np.median([value[j] for j in c.values()])) <= tolerance), len(held))
+        if at == len(held):
+            held.append({})
+        old = held[at].get(name[i])
+        if old is None or heavy[i] > heavy[old]:
+            if old is not None:
+                where[old] = None
+            held[at][name[i]], where[i] = i, at
+    return where
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_residual_clusters_stream(seed):
+    rng = np.random.default_rng(seed)
+    n = 600
+    df = pd.DataFrame({"m": np.sort(rng.integers(0, 4, n)), "res": rng.integers(0, 400, n) / [1, 4][seed % 2], "role": rng.choice(list("abcdef"), n), "id": np.arange(n), "w": rng.integers(0, 30, n).astype(float)})
+    df = df.sort_values(["m", "res", "role", "id"], ignore_index=True)
+    want = {}
+    for _, g in df.groupby("m"):
+        want |= dict(zip(g["id"], clusters_by_search(g["res"].tolist(), g["role"].tolist(), g["w"].tolist(), 20.0), strict=True))
+    seen = []
+    batches = (seen.append(k) or df.iloc[k : k + 50] for k in range(0, n, 50))
+    parts = fusion.open_clusters(batches, ["m"], "id", "role", "res", "w", 20.0)
+    first = next(parts)
+    assert seen == [0]  # rows come while their key still goes on
+    got = pd.concat([first, *parts])
+    assert {i: None if pd.isna(c) else c for i, c in zip(got["id"], got["cluster"], strict=True)} == want and len(got) == n
+
+
 def test_maps_from_evidence(spark):
     ends = spark.createDataFrame([(1, 0.0, 100.0)], "g int, first double, last double")
     found = [(1, 20.0, 20.0, "onset", 1.0, True), (1, 20.2, 24.0, "silence", 1.0, None), (1, 50.0, 30.0, "silence", 1.0, None), (1, 80.0, 5.0, "silence", 1.0, None), (1, 70.0, 30.0, "onset", 1.0, False), (1, 90.0, -60.0, "onset", 1.0, True)]

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import heapq
 import math
+from collections.abc import Iterator
+from statistics import median
 
 import numpy as np
 import pandas as pd
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 
 from timeloom.functions import robust, vectors
 from timeloom.operators import islands, joins
-from timeloom.operators.sequence import per_group
+from timeloom.operators.sequence import per_group, starts_of
 
 
 def score_clusters(matches: DataFrame, keys: list[str], time: str, source: str, tolerance: float = 0.15) -> DataFrame:
@@ -67,31 +69,58 @@ def distinct_locations(rows: DataFrame, keys: list[str], time: str, score: str,
     return kept.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(score), time)))
 
 
+def open_clusters(batches: Iterator[pd.DataFrame], keys: list[str], ident: str, role: str, residual: str, weight: str, tolerance: float) -> Iterator[pd.DataFrame]:
+    """The rows of ``residual_clusters`` of batches sorted by keys, residual, role and ident; a row comes once its place can't change."""
+    names = [*keys, ident, "cluster"]
+    at, middle = -1, math.nan  # the open cluster of the key that may go on
+    held: dict = {}  # of each role its weight, residual and row
+    last: pd.DataFrame | None = None
+
+    def closed() -> list[tuple]:
+        return [(*row, at) for _, _, row in held.values()]
+
+    for batch in batches:
+        if not len(batch):
+            continue
+        edges = np.zeros(len(batch), bool)
+        edges[starts_of(batch[keys])] = True
+        if last is not None:
+            edges[0] = starts_of(pd.concat([last, batch[keys].head(1)], ignore_index=True))[-1] == 1
+        last = batch[keys].tail(1)
+        out: list[tuple] = []
+        own = zip(*(batch[c].tolist() for c in (*keys, ident)), strict=True)
+        for new, value, name, heavy, row in zip(edges.tolist(), batch[residual].astype(float).tolist(), batch[role].tolist(), batch[weight].astype(float).tolist(), own, strict=True):
+            if new:
+                out += closed()
+                at, held = -1, {}
+            if not held or not abs(value - middle) <= tolerance:
+                out += closed()
+                at, held = at + 1, {}
+            old = held.get(name)
+            if old is None or heavy > old[0]:
+                if old is not None:
+                    out.append((*old[2], None))
+                held[name] = (heavy, value, row)
+                middle = median(v for _, v, _ in held.values())
+            else:
+                out.append((*row, None))
+        if out:
+            yield pd.DataFrame(out, columns=names).astype({"cluster": "Int64"})
+    if held:
+        yield pd.DataFrame(closed(), columns=names).astype({"cluster": "Int64"})
+
+
 def residual_clusters(rows: DataFrame, keys: list[str], ident: str, role: str, residual: str, weight: str, tolerance: float = 70.0) -> DataFrame:
     """(keys, ident, cluster): first-fit clusters by residual, least first; a row joins the first cluster whose median is near.
 
     A cluster holds one row a role: a heavier one takes the place of the lighter, which is then in no cluster (null).
+    Residuals rise, so a cluster that one row lies beyond is out for all that follow: only the newest is ever joined, and a task holds its
+    row of each role, never a whole key.
     """
-    kind = dict(rows.dtypes)[ident]
-
-    def kernel(g: pd.DataFrame) -> dict:
-        value, name, heavy = g[residual].to_numpy(float), g[role].to_numpy(), g[weight].to_numpy(float)
-        held: list[dict] = []
-        where: list[int | None] = [None] * len(g)
-        for i in range(len(g)):
-            at = next((k for k, c in enumerate(held) if abs(value[i] - np.median(value[list(c.values())])) <= tolerance), len(held))
-            if at == len(held):
-                held.append({})
-            old = held[at].get(name[i])
-            if old is None or heavy[i] > heavy[old]:
-                if old is not None:
-                    where[old] = None
-                    del held[at][name[i]]
-                held[at][name[i]], where[i] = i, at
-        return {ident: g[ident], "cluster": pd.array(where, "Int64")}
-
-    known = rows.where(F.col(residual).isNotNull())
-    return per_group(known, keys, [residual, role, ident], kernel, f"{ident} {kind}, cluster bigint")
+    kinds = dict(rows.dtypes)
+    known = rows.where(F.col(residual).isNotNull()).select(*dict.fromkeys((*keys, ident, role, residual, weight)))
+    dealt = known.repartition(*keys).sortWithinPartitions(*(F.asc_nulls_last(c) for c in (*keys, residual, role, ident)))
+    return dealt.mapInPandas(lambda batches: open_clusters(batches, keys, ident, role, residual, weight, tolerance), ", ".join([*(f"{c} {kinds[c]}" for c in (*keys, ident)), "cluster bigint"]))
 
 
 def score_residual_clusters(rows: DataFrame, keys: list[str], role: str, residual: str, weight: str, confidence: str, selected: str, accepted: str) -> DataFrame:
