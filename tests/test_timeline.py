@@ -1,7 +1,10 @@
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from timeloom.functions import robust
-from timeloom.operators import islands, joins, select
+from timeloom.operators import islands, joins, select, tempo
 
 
 def rows(df):
@@ -58,3 +61,39 @@ def test_queries_match_sql(spark):
         columns = ",".join(sorted(df.columns))
         ours = sorted(map(str, (tuple(r) for r in df.select(*sorted(df.columns)).collect())))
         assert ours == sorted(map(str, con.execute(f"select {columns} from ({sql})").fetchall())), name
+
+
+def plain_tempos(rows, initial, repeats):
+    """Tempos of one key by a walk over its ticks."""
+    best = {}
+    for tick, bpm in rows:
+        best[tick] = max(best.get(tick, 0.0), bpm)
+    ordered = sorted([*((t, 1, b) for t, b in best.items()), *([(0, 0, initial)] if min(best) != 0 else [])])
+    out = []
+    before = None
+    for tick, _, bpm in ordered:
+        if repeats or before is None or bpm != before:
+            out.append((tick, bpm))
+        before = bpm
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_tempo_maps_are_sorted_once(spark, seed):
+    rng = random.Random(seed)
+    data = [(k, rng.randrange([0, -4][seed % 2], 9), float(rng.choice([90, 100, 120]))) for k in range(60) for _ in range(rng.randrange(1, 8))]
+    data = [r for r in data if not (r[1] == 0 and min(t for k, t, _ in data if k == r[0]) < 0)]  # a second row at tick 0 has no place in order
+    df = spark.createDataFrame(data, "k int, t int, b double")
+    for drop in (True, False):
+        made = tempo.tempo_events(df, ["k"], "t", "b", initial=100.0, drop_repeats=drop)
+        want = {k: plain_tempos([(t, b) for q, t, b in data if q == k], 100.0, not drop) for k in {r[0] for r in data}}
+        assert sorted(map(tuple, made.collect())) == sorted((k, t, b) for k, rows in want.items() for t, b in rows)
+    based = tempo.rebase(tempo.tempo_events(df, ["k"], "t", "b", initial=100.0), ["k"], F.lit(3))
+    plan = based._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "HashAggregate" not in plan
+    expected = []
+    for k, rows in want.items():
+        rows = plain_tempos([(t, b) for q, t, b in data if q == k], 100.0, False)
+        opening = next((b for t, b in reversed(rows) if t <= 3), rows[0][1])
+        expected += [(k, 0, opening), *((k, t - 3, b) for t, b in rows if t > 3)]
+    assert sorted(map(tuple, based.collect())) == sorted(expected)

@@ -19,16 +19,28 @@ def tempo_events(rows: DataFrame, keys: list[str], tick: str, bpm: str, order: s
     """(keys, tick, bpm): one tempo a tick, the last by ``order`` (default: the fastest), from tick 0 on.
 
     Keys without an event at tick 0 start with ``initial``. Tempos equal to the one before are left out unless ``drop_repeats`` is false.
+    Keys are dealt out once, over a count of tasks that is not merged into fewer, and sorted; no key and no tick is a group in memory.
     """
     seen = rows.where(F.col(tick).isNotNull() & (F.col(bpm) > 0))
     start = initial if isinstance(initial, Column) else F.lit(float(initial))
-    per_tick = seen.groupBy(*keys, F.col(tick).cast("long").alias("tick")).agg(F.max_by(bpm, order or bpm).cast("double").alias("bpm"))
-    opening = seen.groupBy(*keys).agg(F.min(tick).alias("_m"), F.first(start).alias("bpm")).where("_m <> 0").select(*keys, F.lit(0).cast("long").alias("tick"), F.col("bpm").cast("double").alias("bpm"))
-    whole = per_tick.unionByName(opening)
-    if not drop_repeats:
-        return whole
+    ranked = [F.col(order).alias("_order")] if order else []
+    told = seen.select(*keys, F.col(tick).cast("long").alias("tick"), F.col(bpm).cast("double").alias("bpm"), *ranked, *([start.cast("double").alias("_start")] if isinstance(initial, Column) else []))
+    last = Window.partitionBy(*keys).orderBy("tick", *(["_order"] if order else []), "bpm")
+    session = rows.sparkSession
+    many = max(int(session.conf.get("spark.sql.shuffle.partitions")), 4 * session.sparkContext.defaultParallelism)
+    ahead = told.repartition(many, *keys).withColumn("_ahead", F.lead("tick").over(last))
+    per_tick = ahead.where(F.col("_ahead").isNull() | (F.col("_ahead") != F.col("tick")))
     by = Window.partitionBy(*keys).orderBy("tick")
-    return whole.withColumn("_p", F.lag("bpm").over(by)).where(F.col("_p").isNull() | (F.col("_p") != F.col("bpm"))).drop("_p")
+    beside = per_tick.withColumn("_before", F.lag("tick").over(by)).withColumn("_after", F.lead("tick").over(by)).withColumn("_p", F.lag("bpm").over(by))
+    at, own = F.col("tick"), F.col("bpm") if not order else F.when(F.col("_order").isNotNull(), F.col("bpm"))
+    opening = F.col("_start") if isinstance(initial, Column) else start
+    # The opening comes first, or, where ticks are negative, between them and the others.
+    opens = F.coalesce(((at >= 0) & (F.col("_before") < 0)) | (F.col("_before").isNull() & (at > 0)), F.lit(False))
+    ends = (at < 0) & F.col("_after").isNull()
+    new = lambda value, before: (before.isNull() | (before != value)) if drop_repeats else F.lit(True)
+    row = lambda tick_, value: F.struct(tick_.cast("long").alias("tick"), value.alias("bpm"))
+    made = F.array(F.when(opens & new(opening, F.col("_p")), row(F.lit(0), opening)), F.when(new(own, F.when(opens, opening).otherwise(F.col("_p"))), row(at, own)), F.when(ends & new(opening, own), row(F.lit(0), opening)))
+    return beside.select(*keys, F.inline(F.filter(made, lambda r: r.isNotNull())))
 
 
 def segments(events: DataFrame, keys: list[str], ppq: float = 960.0, head: bool = False) -> DataFrame:
@@ -65,11 +77,14 @@ def active_tempo(rows: DataFrame, events: DataFrame, keys: list[str], tick: str,
 
 
 def rebase(events: DataFrame, keys: list[str], first: Column) -> DataFrame:
-    """Events with ticks counted from ``first``; the tempo active there opens the map."""
-    at = events.withColumn("_first", first)
-    active = F.coalesce(F.max_by(F.when(F.col("tick") <= F.col("_first"), F.col("bpm")), F.when(F.col("tick") <= F.col("_first"), F.col("tick"))), F.min_by("bpm", "tick"))
-    opening = at.groupBy(*keys).agg(active.alias("bpm")).select(*keys, F.lit(0).cast("long").alias("tick"), "bpm")
-    return opening.unionByName(at.where("tick > _first").select(*keys, (F.col("tick") - F.col("_first")).cast("long").alias("tick"), "bpm"))
+    """Events with ticks counted from ``first``; the tempo active there opens the map, before any event that of the first one."""
+    by = Window.partitionBy(*keys).orderBy("tick")
+    at = events.where(F.col("tick").isNotNull()).withColumn("_first", first).withColumn("_before", F.lag("tick").over(by)).withColumn("_after", F.lead("tick").over(by))
+    reached = F.coalesce(F.col("tick") <= F.col("_first"), F.lit(False))
+    active = (reached & (F.col("_after").isNull() | (F.col("_after") > F.col("_first")))) | (F.col("_before").isNull() & ~reached)
+    row = lambda tick: F.struct(tick.cast("long").alias("tick"), F.col("bpm"))
+    made = F.array(F.when(active, row(F.lit(0))), F.when(F.col("tick") > F.col("_first"), row(F.col("tick") - F.col("_first"))))
+    return at.select(*keys, F.inline(F.filter(made, lambda r: r.isNotNull())))
 
 
 def expected_events(visits: DataFrame, automations: DataFrame, keys: list[str], bar: str, start: str, length: str, order: str, ratio: str, bpm: str, initial: float = FALLBACK) -> DataFrame:
