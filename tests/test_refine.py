@@ -108,3 +108,19 @@ def test_columns(spark):
     fit = robust.trimmed_line(line, ["g"], "x", "y").first()
     assert (fit.slope, fit.n, round(fit.median_residual, 6)) == (2.0, 11, 0.0)
     assert rows(robust.median_path(spark.createDataFrame([(1, 0, 1.0), (1, 0, 3.0), (1, 1, 5.0)], "g int, x int, y double"), ["g"], "x", "y")) == [(1, 0, 2.0), (1, 1, 5.0)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_phrase_context_lists_runs_without_shuffled_pairs(spark, seed):
+    rng = np.random.default_rng(seed)
+    kinds = ["matching_phrase_run", "phrase_count_mismatch", "other"]
+    episodes = [(int(rng.integers(0, 3)), k, float(s), float(s + rng.choice([0, 3, 40, 300]))) for k, s in enumerate(rng.integers(0, 600, 60))] + [(9, 100, 0.0, 50.0), (0, 101, None, None)]
+    runs = [(int(rng.integers(0, 3)), int(rng.integers(0, 150)), float(s), float(s + rng.integers(0, 60)), kinds[int(rng.integers(0, 3))], float(rng.choice([0.2, 0.45]))) for s in rng.integers(0, 700, 200)] + [(1, 999, None, 5.0, "other", None)]
+    got = refine.phrase_context(spark.createDataFrame(episodes, "g int, episode int, start double, stop double"), spark.createDataFrame(runs, "g int, run int, start double, stop double, classification string, boundary_score double"), ["g"], [7.0, 60.0, 5000.0][seed])
+    assert "collect_set" not in got._jdf.queryExecution().executedPlan().toString()
+    want = []
+    for g, e, s, t in episodes:
+        met = [r for r in runs if r[0] == g and None not in (s, r[2]) and max(s, r[2]) < min(t, r[3]) + 1e-9]
+        dominant = min(met, key=lambda r: (-(min(t, r[3]) - max(s, r[2])), r[2], r[1]))[1] if met else None
+        want.append((g, e, s, t, dominant, any(r[4] == kinds[0] and r[5] >= 0.45 for r in met), any(r[4] in refine.RISKY for r in met), sorted({r[1] for r in met})))
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[1]) == sorted(want, key=lambda r: r[1])

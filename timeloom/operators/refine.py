@@ -5,15 +5,17 @@ Keys are a song, or a song and segment; kernels take one key's rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from timeloom.operators import islands, joins, maps, tempo
-from timeloom.operators.sequence import banded_dtw, per_group
+from timeloom.operators.sequence import banded_dtw, dealt_by, per_group, starts_of
 
 
 def beat_grid(bars: DataFrame, spans: DataFrame, keys: list[str], ident: str, time: str, meter: str) -> DataFrame:
@@ -145,16 +147,89 @@ def phrase_context(episodes: DataFrame, runs: DataFrame, keys: list[str], width:
 
     Adds ``exact_phrase`` (a matching run with firm boundaries is among them), ``ambiguous_phrase`` (one of the ``RISKY``), ``phrase_runs``
     (sorted) and ``dominant_run``: the run that shares most time, of equal ones the earliest, then the least. ``runs``: run, start, stop,
-    classification, boundary_score. Both sides are dealt out in stretches of ``width``.
+    classification, boundary_score; an episode comes once in its keys.
+
+    Episodes that begin within a quarter of their key's mean length (``width`` at least) are a block. Runs are dealt out in stretches of
+    ``width`` to the blocks that they overlap, about five each, and every episode lists its runs there: the pairs, which grow faster than
+    either side, are never shuffled.
     """
-    other = runs.select(*keys, "run", F.col("start").alias("_a"), F.col("stop").alias("_z"), "classification", "boundary_score")
-    met = joins.overlapping(episodes.select(*keys, "episode", "start", "stop"), other, keys, ("start", "stop"), ("_a", "_z"), width, 1e-9)
-    shared = F.least("stop", "_z") - F.greatest("start", "_a")
-    exact = (F.col("classification") == "matching_phrase_run") & (F.col("boundary_score") >= 0.45)
-    found = met.groupBy(*keys, "episode").agg(F.max(exact).alias("_x"), F.max(F.col("classification").isin(*RISKY)).alias("_y"), F.array_sort(F.collect_set("run")).alias("_r"), F.min_by("run", F.struct(-shared, "_a", "run")).alias("dominant_run"))
-    no_runs = F.array().cast(f"array<{dict(runs.dtypes)['run']}>")
-    out = episodes.join(found, [*keys, "episode"], "left")
-    return out.withColumn("exact_phrase", F.coalesce("_x", F.lit(False))).withColumn("ambiguous_phrase", F.coalesce("_y", F.lit(False))).withColumn("phrase_runs", F.coalesce("_r", no_runs)).drop("_x", "_y", "_r")
+    exact = F.coalesce((F.col("classification") == "matching_phrase_run") & (F.col("boundary_score") >= 0.45), F.lit(False))
+    other = runs.select(*keys, "run", F.col("start").cast("double").alias("_a"), F.col("stop").cast("double").alias("_z"), exact.alias("_x"), F.coalesce(F.col("classification").isin(*RISKY), F.lit(False)).alias("_y"))
+    whole = F.struct(*episodes.columns)
+    timed = episodes.select(*keys, F.col("start").cast("double").alias("_s"), F.col("stop").cast("double").alias("_t"), whole.alias("_e"))
+    long = F.greatest(F.lit(float(width)), F.avg(F.col("_t") - F.col("_s")).over(Window.partitionBy(*keys)) / 4)
+    blocks = timed.withColumn("_block", F.floor(F.col("_s") / long).cast("long"))
+    hulls = blocks.groupBy(*keys, "_block").agg(F.min("_s").alias("_from"), F.max("_t").alias("_to"))
+    dealt = joins.overlapping(hulls, other, keys, ("_from", "_to"), ("_a", "_z"), width, 1e-9).drop("_from", "_to")
+    both = dealt.unionByName(blocks, allowMissingColumns=True)
+    own = [*keys, "_block"]
+    placed = dealt_by(both, own).sortWithinPartitions(*own, F.col("_e").isNotNull(), "run")
+    kinds = {f.name: f.dataType.simpleString() for f in both.schema.fields}
+    found = placed.mapInArrow(lambda batches: _contexts(batches, own), f"_e {kinds['_e']}, exact_phrase boolean, ambiguous_phrase boolean, phrase_runs array<{kinds['run']}>, dominant_run {kinds['run']}")
+    return found.select(*(f"_e.{c}" for c in dict.fromkeys((*keys, "episode", *episodes.columns))), "dominant_run", "exact_phrase", "ambiguous_phrase", "phrase_runs")
+
+
+LISTED = 500_000  # runs listed in one batch; an episode with more is a batch of its own
+
+
+def _contexts(batches: Iterator[pa.RecordBatch], own: list[str]) -> Iterator[pa.RecordBatch]:
+    """The episodes of each block with their runs, which come first, sorted; a task holds a block's runs and a batch."""
+    held: list[pa.Table] = []
+    near: pa.Table | None = None  # the block's runs in one piece, once an episode asks
+    last: pd.DataFrame | None = None
+    done: list[tuple] = []
+    listed = 0
+
+    def made() -> pa.RecordBatch:
+        kind = done[0][3].type
+        lists = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum([len(d[3]) for d in done]))).astype(np.int32), pa.concat_arrays([d[3] for d in done]))
+        rows = pa.concat_arrays([d[0] for d in done])
+        return pa.RecordBatch.from_arrays([rows, pa.array([d[1] for d in done], pa.bool_()), pa.array([d[2] for d in done], pa.bool_()), lists, pa.concat_arrays([d[4] for d in done]).cast(kind)], ["_e", "exact_phrase", "ambiguous_phrase", "phrase_runs", "dominant_run"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        names = table.select(own).to_pandas()
+        new = np.zeros(len(names), bool)
+        new[starts_of(names)] = True
+        if last is not None:
+            new[0] = starts_of(pd.concat([last, names.head(1)], ignore_index=True))[-1] == 1
+        last = names.tail(1)
+        asks = table["_e"].is_valid().to_numpy()
+        edges = np.flatnonzero(new | np.concatenate(([True], asks[1:] != asks[:-1])))
+        for lo, hi in zip(edges.tolist(), [*edges.tolist()[1:], len(names)], strict=True):
+            part = table.slice(lo, hi - lo)
+            if new[lo]:
+                held, near = [], None
+            if not asks[lo]:
+                held.append(part.select(["run", "_a", "_z", "_x", "_y"]))
+                continue
+            if near is None:
+                near = pa.concat_tables(held or [part.select(["run", "_a", "_z", "_x", "_y"]).slice(0, 0)]).combine_chunks()
+                run = pa.concat_arrays(near["run"].chunks) if near["run"].num_chunks else pa.array([], near["run"].type)
+                a, z, x, y = (near[c].to_numpy() for c in ("_a", "_z", "_x", "_y"))
+                fresh = np.ones(len(run), bool)
+                fresh[1:] = pc.fill_null(pc.not_equal(run[1:], run[:-1]), True).to_numpy(zero_copy_only=False)
+                rank, known = np.cumsum(fresh), run.is_valid().to_numpy(zero_copy_only=False)
+            rows, begin, end = part["_e"].combine_chunks(), part["_s"].to_numpy(), part["_t"].to_numpy()
+            rows = rows.chunk(0) if isinstance(rows, pa.ChunkedArray) else rows
+            for i in range(len(begin)):
+                latest, soonest = np.maximum(a, begin[i]), np.minimum(z, end[i])
+                at = np.flatnonzero(latest < soonest + 1e-9)
+                shared = soonest[at] - latest[at]
+                best = at[shared == shared.max()] if len(at) else at
+                best = best[a[best] == a[best].min()] if len(best) else best
+                listing = at[known[at]]
+                if len(listing):  # a run of several pieces is listed once
+                    listing = listing[np.concatenate(([True], np.diff(rank[listing]) > 0))]
+                done.append((rows.slice(i, 1), bool(x[at].any()), bool(y[at].any()), run.take(pa.array(listing)), run.take(pa.array(best[:1])) if len(best) else pa.nulls(1, run.type)))
+                listed += len(listing)
+                if listed >= LISTED or len(done) >= 1000:
+                    yield made()
+                    done, listed = [], 0
+    if done:
+        yield made()
 
 
 def phase_episodes(controls: DataFrame, keys: list[str], gaps: DataFrame, dead: float = 0.045, beat: float = 0.5, roots: DataFrame | None = None, runs: DataFrame | None = None) -> DataFrame:
