@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from timeloom import plans
-from timeloom.operators import section_fit, sequence
+from timeloom.operators import islands, section_fit, sequence
 
 
 def brute_dtw(a, b, band, turn, repeat):
@@ -137,3 +137,46 @@ def test_section_candidates_makes_each_step_once(spark):
     """Windows, onset groups and placements are a kernel each; repeated steps were most of the query's time."""
     plan = plans.QUERIES["section_candidates"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("MapInPandas") == 3
+
+
+def raw_song(spark):
+    """The song's onsets a few at once and one twice, with rows that belong nowhere."""
+    bars, written, performed = song(spark)
+    notes = written.withColumn("side", F.lit("written")).unionByName(performed.withColumn("side", F.lit("performed")))
+    more = notes.where("time < 20").withColumn("time", F.col("time") + 0.02).withColumn("symbols", F.transform("symbols", lambda x: x + 3))
+    odd = spark.createDataFrame([(1, "bass", None, [40], "written"), (1, "bass", 3.0, None, "written"), (1, "bass", 3.0, [], "performed"), (None, "bass", 3.0, [40], "written"), (1, None, 3.0, [40], "written"), (2, "bass", 3.0, [40], "performed")], notes.schema)
+    notes = notes.unionByName(more).unionByName(notes.limit(9)).unionByName(odd)
+    roles = bars.join(notes.select("song", "role").distinct(), "song")
+    return bars, notes, section_fit.role_rows(roles, notes, ["song"], "role")
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()))
+
+
+def placed_in_steps(bars, notes):
+    groups = islands.onset_groups(notes, ["song", "role", "side"], "time", "symbols", 0.03)
+    return section_fit.placements(section_fit.gathered(section_fit.windows(bars, ["song"]), groups, ["song"], "role"), ["song"], "role")
+
+
+def test_roles_are_placed_as_in_steps(spark):
+    bars, notes, rows = raw_song(spark)
+    got, want = section_fit.placed_roles(rows, ["song"], "role", 0.03), placed_in_steps(bars, notes)
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert rows_of(got) == rows_of(want) != []
+
+
+def test_a_role_is_dealt_out_once(spark):
+    """Joins and exchanges between the kernels of section_candidates were most of what was left of its time."""
+    plan = plans.QUERIES["section_candidates"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 0 and plan.count("RepartitionByExpression") == 1
+
+
+def test_slices_that_begin_together_share_a_table(monkeypatch):
+    rng = np.random.default_rng(5)
+    table, aligned = rng.random((9, 40)), []
+    accumulate = sequence.alignment_tables
+    monkeypatch.setattr(sequence, "alignment_tables", lambda similarity, first, *more: aligned.extend(first.tolist()) or accumulate(similarity, first, *more))
+    slices = [(lo, hi) for lo in (0, 3, 11) for hi in range(lo + 5, 40, 4)]
+    assert sequence.align_slices(table, slices, 0.22, 0.025) == [sequence.align(table[:, lo:hi], 0.22, 0.025) for lo, hi in slices]
+    assert aligned == [0, 3, 11]

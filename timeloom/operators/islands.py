@@ -52,6 +52,16 @@ def _heads(t: np.ndarray, tolerance: float) -> np.ndarray:
     return out
 
 
+def heads(t: np.ndarray, tolerance: float) -> np.ndarray:
+    """Index of the head of each of the sorted times of one key; a gap wider than the tolerance ends every group."""
+    edges = np.append(np.flatnonzero(np.concatenate((np.ones(min(1, len(t)), bool), np.diff(t) > tolerance))), len(t))
+    head = np.repeat(edges[:-1], np.diff(edges))
+    for k in np.flatnonzero(~(t[edges[1:] - 1] <= t[edges[:-1]] + tolerance)):  # the others are one group each
+        a, b = edges[k], edges[k + 1]
+        head[a:b] = a + _heads(t[a:b], tolerance)
+    return head
+
+
 def _head_times(rows: DataFrame, keys: list[str], time: str, tolerance: float, width: float | None) -> DataFrame:
     """(keys, time, n, head) of every distinct time.
 

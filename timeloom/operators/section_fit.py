@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from timeloom.operators import fusion, islands, joins
 from timeloom.operators.gates import MODES
-from timeloom.operators.sequence import agreements, align_slices, dealt_by, per_group
+from timeloom.operators.sequence import CELLS, agreements, agreements_of, aligned_run, alignment_tables, dealt_by, in_order, per_group, per_long_group
 
 
 @dataclass(frozen=True)
@@ -41,7 +41,7 @@ class Fit:
     most: int = 5
 
 
-TOGETHER = 8  # slices aligned at once
+TOGETHER = 64  # slices weighed at once
 
 
 def windows(bars: DataFrame, keys: list[str], fit: Fit = Fit()) -> DataFrame:
@@ -49,22 +49,23 @@ def windows(bars: DataFrame, keys: list[str], fit: Fit = Fit()) -> DataFrame:
 
     ``bars``: index (0, 1, ...), start, end. A key holds a song's measures.
     """
-    fewest, wanted, most = fit.measures
+    return per_group(bars, keys, ["index"], lambda g: _windows(g["start"].to_numpy(float), g["end"].to_numpy(float), fit), "window bigint, first bigint, last bigint, start double, end double, context_start double, context_end double")
 
-    def kernel(g: pd.DataFrame) -> dict:
-        a, z, n = g["start"].to_numpy(float), g["end"].to_numpy(float), len(g)
-        out, at = [], 0
-        while at < n:
-            counts = np.arange(min(fewest, n - at), min(most, n - at) + 1)
-            length = z[at + counts - 1] - a[at]
-            outside = np.maximum(0, fit.seconds[0] - length) + np.maximum(0, length - fit.seconds[1])
-            count = int(counts[np.lexsort((counts, np.abs(length - sum(fit.seconds) / 2), np.abs(counts - wanted), outside))[0]])
-            stop = min(n, at + fit.context)
-            out.append((len(out), at, at + count - 1, a[at], z[at + count - 1], a[max(0, stop - fit.context)], z[stop - 1]))
-            at += max(1, count - fit.overlap)
-        return dict(zip(("window", "first", "last", "start", "end", "context_start", "context_end"), zip(*out, strict=True), strict=True))
 
-    return per_group(bars, keys, ["index"], kernel, "window bigint, first bigint, last bigint, start double, end double, context_start double, context_end double")
+def _windows(a: np.ndarray, z: np.ndarray, fit: Fit) -> dict:
+    """Columns of the windows of one song's measures."""
+    fewest, wanted, most = fit.measures
+    out, at, n = [], 0, len(a)
+    while at < n:
+        counts = np.arange(min(fewest, n - at), min(most, n - at) + 1)
+        length = z[at + counts - 1] - a[at]
+        outside = np.maximum(0, fit.seconds[0] - length) + np.maximum(0, length - fit.seconds[1])
+        count = int(counts[np.lexsort((counts, np.abs(length - sum(fit.seconds) / 2), np.abs(counts - wanted), outside))[0]])
+        stop = min(n, at + fit.context)
+        out.append((len(out), at, at + count - 1, a[at], z[at + count - 1], a[max(0, stop - fit.context)], z[stop - 1]))
+        at += max(1, count - fit.overlap)
+    names = ("window", "first", "last", "start", "end", "context_start", "context_end")
+    return dict(zip(names, zip(*out, strict=True) if out else ([] for _ in names), strict=True))
 
 
 def with_groups(made: DataFrame, groups: DataFrame, keys: list[str], role: str, width: float = 16.0) -> DataFrame:
@@ -88,7 +89,7 @@ def gathered(made: DataFrame, groups: DataFrame, keys: list[str], role: str, bas
     ``baseline`` is a column of the windows, the same for all roles. All
     groups meet the windows in one join and are gathered at once.
     """
-    low, high = _reach(baseline, fit)
+    low, high = _reach(F.col(baseline), F.col("start"), F.col("end"), fit)
     asked = made.withColumn("_lo", low).withColumn("_hi", high)
     asked = asked.withColumn("_first", F.least("start", "context_start", "_lo")).withColumn("_last", F.greatest("end", "context_end", "_hi"))
     met = joins.members_of(asked, groups.select(*keys, role, "time", "symbols", (F.col("side") == "written").alias("_written")), keys, "_first", "_last", "time", width, closed=True)
@@ -98,10 +99,10 @@ def gathered(made: DataFrame, groups: DataFrame, keys: list[str], role: str, bas
     return got.where((F.size("groups") >= fit.fewest) & (F.size("heard") > 0))
 
 
-def _reach(baseline: str, fit: Fit) -> tuple[Column, Column]:
+def _reach(expected: Column | float, start: Column | float, end: Column | float, fit: Fit) -> tuple:
     """First and last time at which a performed group can matter to a window."""
     reach = fit.radius + max(0.5, fit.maximum * 2) + 1e-6
-    return F.col(baseline) - reach, F.col(baseline) + (F.col("end") - F.col("start")) * fit.stretch[1] + reach
+    return expected - reach, expected + (end - start) * fit.stretch[1] + reach
 
 
 def _lowest(sets: list[np.ndarray]) -> np.ndarray:
@@ -118,37 +119,77 @@ def _step_likeness(a: np.ndarray, b: np.ndarray) -> float:
 CANDIDATE = "midi_start double, midi_end double, stretch double, translation double, matched bigint, coverage double, median_residual double, maximum_residual double, sequence_score double, context_score double, score double"
 
 
-def _supported(stretches: np.ndarray, first: float, step: float, targets: int, apart: np.ndarray, likeness: np.ndarray, heard: np.ndarray, within: float) -> np.ndarray:
-    """Of each transform, how many written groups (``apart`` from the window's start) have a performed one that agrees at all within ``within`` of where they are placed.
+def _steps_alike(a: np.ndarray, b: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """``_step_likeness`` of a and each run [lo, hi) of b."""
+    x, heard = np.diff(a[a >= 0]), b >= 0
+    y, place = np.diff(b[heard]), np.concatenate(([0], np.cumsum(heard)))
+    n = np.clip(place[hi] - place[lo] - 1, 0, len(x))
+    if not len(x) or not len(y):
+        return np.zeros(len(lo))
+    step = y[np.minimum(place[lo][:, None] + np.arange(len(x)), len(y) - 1)]
+    worth = np.where(step == x, 1.0, np.where(step % 12 == x % 12, 0.5, 0.0))
+    return np.where(np.arange(len(x)) < n[:, None], worth, 0.0).sum(axis=1) / np.maximum(n, 1)
 
-    An agreeing pair votes for a run of the evenly spaced targets; the runs of a written group are added up as differences.
+
+def _supported(stretches: np.ndarray, first: float, step: float, targets: int, apart: np.ndarray, likeness: np.ndarray, heard: np.ndarray, within: tuple[float, ...]) -> list[np.ndarray]:
+    """Of each transform, how many written groups (``apart`` from the window's start) have a performed one that agrees at all no further than each of ``within`` from where they are placed.
+
+    An agreeing pair votes for a run of the evenly spaced targets. The runs
+    of a written group come in order, so each gives way to the one before and
+    a group is counted once.
     """
     i, j = np.nonzero(likeness > 0)
-    middle = (heard[j] - stretches[:, None] * apart[i] - first) / step  # stretch, pair
-    lo = np.clip(np.ceil(middle - within / step - 1e-6), 0, targets).astype(np.int64)
-    hi = np.clip(np.floor(middle + within / step + 1e-6) + 1, 0, targets).astype(np.int64)
-    some, width = hi > lo, targets + 1
-    row = (np.arange(len(stretches))[:, None] * len(apart) + i) * width
-    cells = len(stretches) * len(apart) * width
-    votes = np.bincount((row + lo)[some], minlength=cells) - np.bincount((row + hi)[some], minlength=cells)
-    return (np.cumsum(votes.reshape(len(stretches), len(apart), width), axis=2)[:, :, :targets] > 0).sum(axis=1).ravel()
+    same, width = i[1:] == i[:-1], targets + 1
+    out = [np.empty((len(stretches), targets), np.int64) for _ in within]
+    some = max(1, CELLS // max(1, len(i)))
+    for at in range(0, len(stretches), some):
+        part = stretches[at : at + some]
+        middle = (heard[j] - part[:, None] * apart[i] - first) / step  # stretch, pair
+        row = np.arange(len(part))[:, None] * width
+        for found, near in zip(out, within, strict=True):
+            lo = np.clip(np.ceil(middle - near / step - 1e-6), 0, targets).astype(np.int64)
+            hi = np.clip(np.floor(middle + near / step + 1e-6) + 1, 0, targets).astype(np.int64)
+            lo[:, 1:] = np.where(same, np.maximum(lo[:, 1:], hi[:, :-1]), lo[:, 1:])
+            votes = np.bincount((row + lo).ravel(), minlength=len(part) * width) - np.bincount((row + hi).ravel(), minlength=len(part) * width)
+            found[at : at + some] = np.cumsum(votes.reshape(len(part), width), axis=1)[:, :targets]
+    return [found.ravel() for found in out]
+
+
+def _best_gains(likeness: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """The highest likeness of each row within each run [lo, hi) of columns, by tables of the highest of 1, 2, 4, ... columns."""
+    out = np.empty((len(likeness), len(lo)))
+    power, table = np.frexp(hi - lo)[1] - 1, likeness
+    for k in range(int(power.max(initial=-1)) + 1):
+        mine = np.flatnonzero(power == k)
+        out[:, mine] = np.maximum(table[:, lo[mine]], table[:, hi[mine] - 2**k])
+        table = np.maximum(table[:, : -(2**k)], table[:, 2**k :])
+    return out
 
 
-def _distinct(rows: list[tuple], fit: Fit) -> list[tuple]:
+def _distinct(start: np.ndarray, score: np.ndarray, coverage: np.ndarray, residual: np.ndarray, number: np.ndarray, fit: Fit) -> list[int]:
     """The best rows that lie ``apart`` in time, at most ``most``."""
-    rows.sort(key=lambda r: (-r[10], -r[5], r[6], r[11]))
-    kept: list[tuple] = []
-    for r in rows:
-        if all(abs(r[0] - o[0]) >= fit.apart for o in kept):
-            kept.append(r)
-            if len(kept) == fit.most:
-                break
+    left = np.lexsort((number, residual, -coverage, -score))
+    kept: list[int] = []
+    while len(left) and len(kept) < fit.most:
+        kept.append(int(left[0]))
+        left = left[np.abs(start[left] - start[left[0]]) >= fit.apart]
     return kept
 
 
 def evaluate(start: float, end: float, expected: float, times: np.ndarray, sets: list[np.ndarray], context: list[np.ndarray], heard: np.ndarray, heard_sets: list[np.ndarray], fit: Fit) -> list[tuple]:
+    """``best_placements`` of groups given as sets of symbols."""
+    if not len(times) or not len(heard):
+        return []
+    return best_placements(start, end, expected, times, agreements(sets, heard_sets), _lowest(context), heard, _lowest(heard_sets), fit)
+
+
+def best_placements(start: float, end: float, expected: float, times: np.ndarray, likeness: np.ndarray, own: np.ndarray, heard: np.ndarray, lows: np.ndarray, fit: Fit) -> list[tuple]:
     """The best placements of one window, distinct in time, best first.
 
+    ``likeness`` of the window's groups (at ``times``) and the performed ones
+    (at ``heard``); ``own`` and ``lows`` are the lowest symbols of the
+    context's groups and of the performed ones.
+
     All stretches and translations of the grid count, but few are aligned.
     A placement is only accepted if every match lies within ``maximum`` of
     its place, half of them within ``median``, and the matches cover enough:
@@ -157,60 +198,75 @@ def evaluate(start: float, end: float, expected: float, times: np.ndarray, sets:
     groups that the others see are aligned once each, in order of a bound on
     their score (each written group's best agreement, what must be skipped,
     the coverage its transforms can reach); once the best ones kept are above
-    every bound left, the rest can't change them.
+    every bound left, the rest can't change them. Slices that begin together
+    share one table of the alignment.
     """
     n = len(times)
     stretches = fit.stretch[0] + fit.stretch[2] * np.arange(round((fit.stretch[1] - fit.stretch[0]) / fit.stretch[2]) + 1)
     targets = expected - fit.radius + fit.step * np.arange(round(2 * fit.radius / fit.step) + 1)
-    stretch, target = np.repeat(stretches, len(targets)), np.tile(targets, len(stretches))
-    shift = target - stretch * start
+    needed = max(fit.fewest, int(np.ceil(fit.coverage * n - 1e-9)))
+    covered, close = _supported(stretches, targets[0], fit.step, len(targets), times - start, likeness, heard, (fit.maximum, fit.median))
+    usable = np.flatnonzero((covered >= needed) & (2 * close >= needed))
+    stretch = stretches[usable // len(targets)]
+    shift = targets[usable % len(targets)] - stretch * start
     margin = max(0.5, fit.maximum * 2)
     left = np.searchsorted(heard, shift + stretch * start - margin, side="left")
     right = np.searchsorted(heard, shift + stretch * end + margin, side="right")
-    if not n or not len(heard):
+    enough = right - left >= fit.fewest
+    usable, stretch, shift = usable[enough], stretch[enough], shift[enough]
+    slices, of = np.unique(left[enough] * (len(heard) + 1) + right[enough], return_inverse=True)
+    if not len(slices):
         return []
-    likeness = agreements(sets, heard_sets)
-    needed = max(fit.fewest, int(np.ceil(fit.coverage * n - 1e-9)))
-    covered, close = (_supported(stretches, targets[0], fit.step, len(targets), times - start, likeness, heard, within) for within in (fit.maximum, fit.median))
-    usable = np.flatnonzero((right - left >= fit.fewest) & (covered >= needed) & (2 * close >= needed))
-    slices, of = np.unique(left[usable] * (len(heard) + 1) + right[usable], return_inverse=True)
-    own, lows = _lowest(context), _lowest(heard_sets)
-    around = np.array([_step_likeness(own, lows[p // (len(heard) + 1) : p % (len(heard) + 1)]) for p in slices.tolist()])
+    lo, hi = np.divmod(slices, len(heard) + 1)
+    around = _steps_alike(own, lows, lo, hi)
     most_covered = np.zeros(len(slices), np.int64)
     np.maximum.at(most_covered, of, covered[usable])
-    bound = np.empty(len(slices))
-    for k, packed in enumerate(slices.tolist()):
-        lo, hi = divmod(packed, len(heard) + 1)
-        gain = likeness[:, lo:hi].max(axis=1)
-        whole = np.where(gain > 0, gain, -fit.skips[0]).sum() - max(0, hi - lo - n) * fit.skips[1]
-        bound[k] = 0.58 * whole / n + 0.20 * most_covered[k] / n + 0.10 + fit.context_weight * around[k] + 1e-9
-    rows: list[tuple] = []
-    kept: list[tuple] = []
+    gain = _best_gains(likeness, lo, hi)
+    whole = np.where(gain > 0, gain, -fit.skips[0]).sum(axis=0) - np.maximum(0, hi - lo - n) * fit.skips[1]
+    bound = 0.58 * whole / n + 0.20 * most_covered / n + 0.10 + fit.context_weight * around + 1e-9
     order = np.argsort(-bound, kind="stable")
-    aligned: list[tuple[float, list[tuple[int, int]]]] = []
-    for place, k in enumerate(order.tolist()):
-        if len(kept) == fit.most and bound[k] < kept[-1][10]:
+    by_slice = np.argsort(of, kind="stable")
+    edges = np.searchsorted(of[by_slice], np.arange(len(slices) + 1))
+    begins, first_of = np.unique(lo, return_inverse=True)
+    ends = np.zeros(len(begins), np.int64)
+    np.maximum.at(ends, first_of, hi)
+    tables: dict[int, tuple[np.ndarray, bytes]] = {}
+    rows, kept = np.empty((0, 8)), []  # start, score, coverage, median and largest residual, sequence, transform, matches
+    for at in range(0, len(order), TOGETHER):
+        some = order[at : at + TOGETHER]
+        if len(kept) == fit.most and bound[some[0]] < rows[kept[-1], 1]:
             break
-        if place == len(aligned):
-            some = [divmod(int(slices[q]), len(heard) + 1) for q in order[place : place + TOGETHER].tolist()]
-            aligned += align_slices(likeness, some, *fit.skips)
-        lo, hi = divmod(int(slices[k]), len(heard) + 1)
-        whole, pairs = aligned[place]
-        if len(pairs) < fit.fewest:
+        new = [b for b in np.unique(first_of[some]).tolist() if b not in tables]
+        tables |= zip(new, alignment_tables(likeness, begins[new], ends[new], *fit.skips), strict=True)
+        aligned = [(k, *aligned_run(tables[first_of[k]], n, int(hi[k] - lo[k]))) for k in some.tolist()]
+        aligned = [(k, worth, pairs) for k, worth, pairs in aligned if len(pairs) >= fit.fewest]
+        if not aligned:
             continue
-        mine = usable[of == k]
-        i, j = np.array(pairs).T
-        off = np.abs(heard[lo + j][None, :] - (shift[mine][:, None] + stretch[mine][:, None] * times[i][None, :]))
+        matches = np.array([len(pairs) for _, _, pairs in aligned])
+        i, j = np.zeros((2, len(aligned), matches.max()), np.int64)
+        for r, (k, _, pairs) in enumerate(aligned):
+            i[r, : len(pairs)], j[r, : len(pairs)] = np.array(pairs).T
+            j[r] += lo[k]
+        number = np.array([k for k, _, _ in aligned])
+        mine = np.concatenate([by_slice[edges[k] : edges[k + 1]] for k in number.tolist()])
+        r = np.repeat(np.arange(len(aligned)), edges[number + 1] - edges[number])
+        off = np.abs(heard[j[r]] - (shift[mine][:, None] + stretch[mine][:, None] * times[i[r]]))
+        off[np.arange(off.shape[1]) >= matches[r][:, None]] = np.inf
         off.sort(axis=1)
-        half = off.shape[1] // 2
-        middle, most = off[:, half] if off.shape[1] % 2 else (off[:, half - 1] + off[:, half]) / 2, off[:, -1]
-        coverage, sequence = len(set(i.tolist())) / n, whole / n
-        score = 0.58 * sequence + 0.20 * coverage + 0.10 * np.exp(-middle / 0.12) + fit.context_weight * around[k]
+        each, half = np.arange(len(r)), matches[r] // 2
+        middle, most = np.where(matches[r] % 2, off[each, half], (off[each, half - 1] + off[each, half]) / 2), off[each, matches[r] - 1]
+        coverage, sequence = matches[r] / n, np.array([worth for _, worth, _ in aligned])[r] / n
+        score = 0.58 * sequence + 0.20 * coverage + 0.10 * np.exp(-middle / 0.12) + fit.context_weight * around[number[r]]
         good = (coverage >= fit.coverage) & (middle <= fit.median) & (most <= fit.maximum)
         if good.any():
-            rows += [(shift[q] + stretch[q] * start, shift[q] + stretch[q] * end, stretch[q], shift[q], len(pairs), coverage, middle[g], most[g], sequence, around[k], score[g], q) for g, q in enumerate(mine.tolist()) if good[g]]
-            kept = _distinct(rows, fit)
-    return [r[:11] for r in kept]
+            made = np.column_stack((shift[mine] + stretch[mine] * start, score, coverage, middle, most, sequence, mine, matches[r]))
+            rows = np.concatenate((rows, made[good]))
+            kept = _distinct(*rows[:, :4].T, usable[rows[:, 6].astype(np.int64)], fit)
+    out = []
+    for begin, score, coverage, middle, most, sequence, place, matched in rows[kept].tolist():
+        q = int(place)
+        out.append((begin, float(shift[q] + stretch[q] * end), float(stretch[q]), float(shift[q]), int(matched), coverage, middle, most, sequence, float(around[of[q]]), score))
+    return out
 
 
 def candidates(made: DataFrame, performed: DataFrame, keys: list[str], role: str, baseline: str = "expected", fit: Fit = Fit()) -> DataFrame:
@@ -220,7 +276,7 @@ def candidates(made: DataFrame, performed: DataFrame, keys: list[str], role: str
     start is expected); ``performed``: role, time, symbols. Only performed
     groups that a window can reach travel to it.
     """
-    low, high = _reach(baseline, fit)
+    low, high = _reach(F.col(baseline), F.col("start"), F.col("end"), fit)
     asked = made.where("observable").withColumn("_lo", low).withColumn("_hi", high)
     met = joins.members_of(asked.select(*keys, role, "window", "_lo", "_hi"), performed.select(*keys, role, F.col("time").alias("_t"), F.col("symbols").alias("_s")), [*keys, role], "_lo", "_hi", "_t", 16.0, closed=True)
     heard = met.groupBy(*keys, role, "window").agg(F.array_sort(F.collect_list(F.struct(F.col("_t").alias("time"), F.col("_s").alias("symbols")))).alias("heard"))
@@ -252,6 +308,96 @@ def placements(asked: DataFrame, keys: list[str], role: str, baseline: str = "st
     return dealt_by(asked.select(*own, *dict.fromkeys(("start", "end", baseline)), *flat("groups"), *flat("context"), *flat("heard")), own).mapInPandas(work, schema)
 
 
+BAR, WRITTEN, PERFORMED = 0, 1, 2  # kinds of rows of a song's role
+ROW = "kind int, number bigint, start double, end double, context_start double, context_end double"  # number: a bar's, a window's or a symbol
+FOUND = "window bigint, rank bigint, chart_start double, chart_end double, " + CANDIDATE
+
+
+def role_rows(bars: DataFrame, notes: DataFrame, keys: list[str], role: str) -> DataFrame:
+    """Measures and onsets of every song's role as rows of one kind, for ``placed_roles``.
+
+    ``bars``: role, index, start, end; ``notes``: role, side (``written`` or
+    ``performed``), time, symbols. Onsets without a key, time or symbol are left out.
+    """
+    none = F.lit(None).cast("double")
+    measures = bars.select(*keys, role, F.lit(BAR).alias("kind"), F.col("index").cast("long").alias("number"), F.col("start").cast("double").alias("start"), F.col("end").cast("double").alias("end"))
+    kind = F.when(F.col("side") == "written", WRITTEN).when(F.col("side") == "performed", PERFORMED)
+    onsets = notes.select(*keys, role, kind.alias("kind"), F.explode("symbols").alias("number"), F.col("time").cast("double").alias("start"), none.alias("end")).withColumn("number", F.col("number").cast("long"))
+    rows = measures.unionByName(onsets)
+    for c in (*keys, role, "kind", "number", "start"):
+        rows = rows.where(F.col(c).isNotNull())
+    return rows.withColumn("context_start", none).withColumn("context_end", none)
+
+
+def _grouped(g: pd.DataFrame, tolerance: float) -> pd.DataFrame:
+    """A role's rows with its onsets as head-anchored groups: each symbol once, at the time of the group's first onset."""
+    kind, number, start, end = (g[c].to_numpy() for c in ("kind", "number", "start", "end"))
+    took, at = [np.flatnonzero(kind == BAR)], start.copy()
+    for side in (WRITTEN, PERFORMED):
+        mine = np.flatnonzero(kind == side)
+        mine = mine[np.argsort(start[mine], kind="stable")]
+        at[mine] = start[mine][islands.heads(start[mine], tolerance)]
+        mine = mine[np.lexsort((number[mine], at[mine]))]
+        again = (np.diff(at[mine]) == 0) & (np.diff(number[mine]) == 0)
+        took.append(mine[np.concatenate((np.ones(min(1, len(mine)), bool), ~again))])
+    some = np.concatenate(took)
+    return pd.DataFrame({"kind": kind[some], "number": number[some], "start": at[some], "end": end[some], "context_start": np.nan, "context_end": np.nan})
+
+
+def _windowed(g: pd.DataFrame, fit: Fit) -> pd.DataFrame:
+    """A role's rows with windows in place of its measures."""
+    is_bar = g["kind"].to_numpy() == BAR
+    bars = g[is_bar].sort_values("number", kind="stable")
+    made = _windows(bars["start"].to_numpy(float), bars["end"].to_numpy(float), fit)
+    names = [c.split()[0] for c in ROW.split(", ")]
+    made |= {"kind": np.full(len(made["window"]), BAR), "number": np.array(made["window"], np.int64)}
+    return pd.DataFrame({c: np.concatenate((made[c], g[c].to_numpy()[~is_bar])) for c in names})
+
+
+class _Groups:
+    """Onset groups of one side in time; those of a stretch of time are taken as rows of a membership table."""
+
+    def __init__(self, rows: pd.DataFrame, symbols: np.ndarray) -> None:
+        at, held = rows["start"].to_numpy(float), rows["number"].to_numpy()
+        self.times, self.first, self.of = np.unique(at, return_index=True, return_inverse=True)
+        self.lows, self.code, self.width = held[self.first], np.searchsorted(symbols, held), len(symbols)
+        self.first = np.append(self.first, len(at))
+
+    def run(self, start: float, end: float, closed: bool = False) -> slice:
+        return slice(*(int(np.searchsorted(self.times, t, side=side)) for t, side in ((start, "left"), (end, "right" if closed else "left"))))
+
+    def table(self, run: slice) -> np.ndarray:
+        members = slice(self.first[run.start], self.first[max(run.start, run.stop)])
+        out = np.zeros((max(0, run.stop - run.start), self.width))
+        out[self.of[members] - run.start, self.code[members]] = 1.0
+        return out
+
+
+def _placed(g: pd.DataFrame, fit: Fit) -> dict:
+    """Ranked placements of a role's windows, where the start is expected as written."""
+    kind, out = g["kind"].to_numpy(), []
+    symbols = np.unique(g["number"].to_numpy()[kind != BAR])
+    written, performed = (_Groups(g[kind == side], symbols) for side in (WRITTEN, PERFORMED))
+    for window, start, end, a, z in g.loc[kind == BAR, ["number", "start", "end", "context_start", "context_end"]].itertuples(index=False):
+        low, high = _reach(start, start, end, fit)
+        own, near, heard = written.run(start, end), written.run(a, z), performed.run(low, high, True)
+        if own.stop - own.start < fit.fewest or heard.stop <= heard.start:
+            continue
+        likeness = agreements_of(written.table(own), performed.table(heard), symbols % 12)
+        found = best_placements(start, end, start, written.times[own], likeness, written.lows[near], performed.times[heard], performed.lows[heard], fit)
+        out += [(window, rank, start, end, *f) for rank, f in enumerate(found, 1)]
+    names = [c.split()[0] for c in FOUND.split(", ")]
+    return dict(zip(names, zip(*out, strict=True) if out else ([] for _ in names), strict=True))
+
+
+def placed_roles(rows: DataFrame, keys: list[str], role: str, tolerance: float, fit: Fit = Fit()) -> DataFrame:
+    """Ranked placements, as of ``placements``, of rows as of ``role_rows``: a song's role is dealt to a task once and its onset groups, windows and placements are made there, one kernel after the other."""
+    own = [*keys, role]
+    grouped = per_long_group(rows, own, ["kind", "start", "number"], lambda g: _grouped(g, tolerance), ROW)
+    windowed = in_order(grouped, own, lambda g: _windowed(g, fit), ROW)
+    return in_order(windowed, own, lambda g: _placed(g, fit), FOUND)
+
+
 def _follows(p: dict, c: dict, reject: float = 0.35) -> float | None:
     """What following p by c takes off the score, or None if it may not follow."""
     if c["chart_start"] <= p["chart_start"] or c["chart_end"] <= p["chart_end"] or min(c["stretch"], p["stretch"]) <= 0 or c["midi_start"] <= p["midi_start"] or c["midi_end"] <= p["midi_end"]:
