@@ -180,3 +180,21 @@ def test_slices_that_begin_together_share_a_table(monkeypatch):
     slices = [(lo, hi) for lo in (0, 3, 11) for hi in range(lo + 5, 40, 4)]
     assert sequence.align_slices(table, slices, 0.22, 0.025) == [sequence.align(table[:, lo:hi], 0.22, 0.025) for lo, hi in slices]
     assert aligned == [0, 3, 11]
+
+
+def test_prefixes_grow_by_a_layer():
+    """A prefix was searched anew for each layer more."""
+    asked = []
+    follows = lambda p, c: asked.append(1) or (0.1 if c["at"] > p["at"] and c["at"] != 30 else None)
+    layers = [[{"at": k, "worth": 1.0}, {"at": k, "worth": 0.5}] for k in range(60)]
+    got = section_fit.longest_prefixes(layers, follows, "worth", 3, True)
+    assert [(a, z) for a, z, _, _ in got] == [(0, 30), (31, 60)] and all(len(path) == z - a for a, z, _, path in got)
+    assert got[0][2] == pytest.approx(30 - 2.9) and section_fit.best_path(layers[:31], follows, "worth", 3) is None
+    assert len(asked) < 60 * 6 * 3
+
+
+def test_paths_of_roles_are_those_of_their_placements(spark):
+    bars, notes, rows = raw_song(spark)
+    want = section_fit.role_paths(placed_in_steps(bars, notes), ["song"], "role")
+    got = section_fit.placed_paths(rows, ["song"], "role", 0.03)
+    assert got.columns == want.columns and rows_of(got) == rows_of(want) != []

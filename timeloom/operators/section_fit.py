@@ -7,7 +7,7 @@ whole table.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -415,31 +415,33 @@ def _follows(p: dict, c: dict, reject: float = 0.35) -> float | None:
     return change + 1.50 * float(apart.mean())
 
 
-def best_path(layers: list[list[dict]], follows: Callable[[dict, dict], float | None], worth: str, width: int) -> tuple[float, list[dict]] | None:
-    """Beam search for one entry of each layer; None if no kept path reaches the end. Ties keep list order."""
-    kept = [(x[worth], [x]) for x in layers[0]]
-    kept = sorted(kept, key=lambda k: -k[0])[:width]
-    for layer in layers[1:]:
-        grown = [(score + x[worth] - loss, [*path, x]) for score, path in kept for x in layer if (loss := follows(path[-1], x)) is not None]
+def _kept_paths(layers: list[list[dict]], follows: Callable[[dict, dict], float | None], worth: str, width: int) -> Iterator[list[tuple[float, list[dict]]]]:
+    """The best ``width`` paths through the first layer, the first two and so on, as long as there are any. Ties keep list order."""
+    kept: list[tuple[float, list[dict]]] = []
+    for number, layer in enumerate(layers):
+        grown = [(score + x[worth] - loss, [*path, x]) for score, path in kept for x in layer if (loss := follows(path[-1], x)) is not None] if number else [(x[worth], [x]) for x in layer]
         if not grown:
-            return None
+            return
         kept = sorted(grown, key=lambda k: -k[0])[:width]
-    return kept[0] if kept else None
+        yield kept
+
+
+def best_path(layers: list[list[dict]], follows: Callable[[dict, dict], float | None], worth: str, width: int) -> tuple[float, list[dict]] | None:
+    """Beam search for one entry of each layer; None if no kept path reaches the end. Ties keep list order."""
+    reached = list(_kept_paths(layers, follows, worth, width))
+    return reached[-1][0] if reached and len(reached) == len(layers) else None
 
 
 def longest_prefixes(layers: list[list[dict]], follows: Callable[[dict, dict], float | None], worth: str, width: int, skip: bool) -> list[tuple[int, int, float, list[dict]]]:
     """(first, stop, score, path) of the stretches of layers that each have a path, the longest prefix first.
 
-    With ``skip`` the layer at which a prefix fails is passed over.
+    With ``skip`` the layer at which a prefix fails is passed over. A prefix's kept paths are those of the one before grown by a layer.
     """
     out, at = [], 0
     while at < len(layers):
         best, stop = None, at
-        for end in range(at + 1, len(layers) + 1):
-            found = best_path(layers[at:end], follows, worth, width)
-            if found is None:
-                break
-            best, stop = found, end
+        for kept in _kept_paths(layers[at:], follows, worth, width):
+            best, stop = kept[0], stop + 1
         if best is None:
             at += 1
             continue
@@ -455,22 +457,31 @@ def role_paths(found: DataFrame, keys: list[str], role: str, width: int = 12) ->
     """
     kinds = dict(found.dtypes)
     columns = [c for c in found.columns if c not in (*keys, role)]
+    return per_group(found, [*keys, role], ["window", "rank"], lambda g: _chosen(g[columns], width), ", ".join([*(f"{c} {kinds[c]}" for c in columns), STREAK]))
 
-    def kernel(g: pd.DataFrame) -> dict:
-        rows = g.to_dict("records")
-        layers: dict[int, list[dict]] = {}
-        for r in rows:
-            layers.setdefault(r["window"], []).append(r)
-        numbers = sorted(layers)
-        blocks = np.split(np.array(numbers), np.flatnonzero(np.diff(numbers) > 1) + 1)
-        out, streak = [], 0
-        for block in blocks:
-            for _, _, _, path in longest_prefixes([layers[w] for w in block.tolist()], _follows, "score", width, False):
-                out += [{**r, "streak": streak, "streak_size": len(path)} for r in path]
-                streak += 1
-        return {c: [r[c] for r in out] for c in [*columns, "streak", "streak_size"]}
-
-    return per_group(found, [*keys, role], ["window", "rank"], kernel, ", ".join([*(f"{c} {kinds[c]}" for c in columns), "streak bigint", "streak_size bigint"]))
+
+STREAK = "streak bigint, streak_size bigint"
+
+
+def _chosen(g: pd.DataFrame, width: int = 12) -> dict:
+    """``role_paths`` of one role's candidates, which come by window and rank."""
+    layers: dict[int, list[dict]] = {}
+    for r in g.to_dict("records"):
+        layers.setdefault(r["window"], []).append(r)
+    numbers = sorted(layers)
+    blocks = np.split(np.array(numbers), np.flatnonzero(np.diff(numbers) > 1) + 1)
+    out, streak = [], 0
+    for block in blocks:
+        for _, _, _, path in longest_prefixes([layers[w] for w in block.tolist()], _follows, "score", width, False):
+            out += [{**r, "streak": streak, "streak_size": len(path)} for r in path]
+            streak += 1
+    return {c: [r[c] for r in out] for c in [*g.columns, "streak", "streak_size"]}
+
+
+def placed_paths(rows: DataFrame, keys: list[str], role: str, tolerance: float, fit: Fit = Fit()) -> DataFrame:
+    """``role_paths`` of the placements of rows as of ``role_rows``, all of it in one kernel: a chain of kernels holds a worker each."""
+    kernel = lambda g: _chosen(pd.DataFrame(_placed(_windowed(_grouped(g, tolerance), fit), fit)))
+    return per_long_group(rows, [*keys, role], ["kind", "start", "number"], kernel, f"{FOUND}, {STREAK}")
 
 
 def fused_controls(paths: DataFrame, keys: list[str], role: str) -> DataFrame:
