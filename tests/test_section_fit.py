@@ -198,3 +198,34 @@ def test_paths_of_roles_are_those_of_their_placements(spark):
     want = section_fit.role_paths(placed_in_steps(bars, notes), ["song"], "role")
     got = section_fit.placed_paths(rows, ["song"], "role", 0.03)
     assert got.columns == want.columns and rows_of(got) == rows_of(want) != []
+
+
+def three_roles(spark):
+    """Paths of three roles of two songs that agree, disagree and end."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for s, role in itertools.product((1, 2), ("bass", "drums", "lead")):
+        for w in range(12):
+            if rng.random() < 0.8:
+                stretch, move = 1.0 + 0.01 * int(rng.integers(-3, 4)), float(rng.choice([0.0, 0.02, 0.2, 0.9]))
+                rows.append((s, role, w, 7.5 * w, 7.5 * w + 10, stretch, move - 7.5 * w * (stretch - 1), float(rng.random()), 0.5 + float(rng.random()) / 2, float(rng.random()) / 8, 0, int(rng.integers(1, 4))))
+    return spark.createDataFrame(rows, "song int, role string, window bigint, chart_start double, chart_end double, stretch double, translation double, score double, coverage double, median_residual double, streak bigint, streak_size bigint")
+
+
+def nearly(got, want):
+    assert len(got) == len(want) > 0
+    assert all(p == pytest.approx(q, abs=1e-9) if isinstance(p, float) else p == q for x, y in zip(got, want, strict=True) for p, q in zip(x, y, strict=True))
+
+
+def test_controls_of_songs_are_those_of_the_steps(spark):
+    paths = three_roles(spark)
+    got, want = section_fit.controls_of(paths, ["song"], "role"), section_fit.fuse(section_fit.fused_controls(paths, ["song"], "role"), ["song"])
+    assert got.schema.simpleString() == want.schema.simpleString()
+    nearly(rows_of(got), rows_of(want))
+    assert {r.classification for r in got.collect()} >= {"multi_role_corroborated", "multi_role_compatible"}
+
+
+@pytest.mark.parametrize("name", ["section_controls"])
+def test_songs_are_dealt_out_once_more(spark, name):
+    plan = plans.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == plan.count("Window [") == 0 and plan.count("RepartitionByExpression") == 2

@@ -503,34 +503,75 @@ def _fused_edge(p: dict, c: dict) -> float | None:
     return 0.75 * abs(midi / chart - 1)
 
 
+CONTROL = "region bigint, chart_time double, midi_time double, role_count bigint, classification string, confidence double"
+
+
 def fuse(controls: DataFrame, keys: list[str], gap: float = 18.0, spacing: float = 1.0, width: int = 16) -> DataFrame:
     """Regions of controls that rise on both clocks: (keys, region, chart_time, midi_time, role_count, classification, confidence).
 
     Layers further apart than ``gap`` are fused on their own; a prefix ends where no cluster can follow, and that layer is passed over.
     Controls closer than ``spacing`` are thinned, and regions that do not come after the one before are left out.
     """
+    return per_group(controls, keys, ["chart_time", "fused_time"], lambda g: _regions(g.to_dict("records"), gap, spacing, width), CONTROL)
+
+
+def _regions(clusters: list[dict], gap: float = 18.0, spacing: float = 1.0, width: int = 16) -> dict:
+    """Columns of the controls of one song's clusters, which come by chart_time and fused_time."""
+    layers: dict[float, list[dict]] = {}
+    for r in clusters:
+        layers.setdefault(r["chart_time"], []).append(r)
+    times = np.array(sorted(layers))
+    out, region, last = [], 0, None
+    for block in np.split(times, np.flatnonzero(np.diff(times) > gap) + 1):
+        for _, _, _, path in longest_prefixes([layers[t] for t in block.tolist()], _fused_edge, "confidence", width, True):
+            kept = [path[0]]
+            for x in path[1:-1]:
+                if x["chart_time"] - kept[-1]["chart_time"] >= spacing:
+                    kept.append(x)
+            kept += [path[-1]] if path[-1] is not kept[-1] else []
+            if last is not None and (kept[0]["chart_time"] <= last["chart_time"] or kept[0]["fused_time"] <= last["fused_time"]):
+                continue
+            out += [(region, x["chart_time"], x["fused_time"], x["role_count"], x["classification"], x["confidence"]) for x in kept]
+            last, region = kept[-1], region + 1
+    names = [c.split()[0] for c in CONTROL.split(", ")]
+    return dict(zip(names, zip(*out, strict=True) if out else ([] for _ in names), strict=True))
 
-    def kernel(g: pd.DataFrame) -> dict:
-        layers: dict[float, list[dict]] = {}
-        for r in g.to_dict("records"):
-            layers.setdefault(r["chart_time"], []).append(r)
-        times = np.array(sorted(layers))
-        out, region, last = [], 0, None
-        for block in np.split(times, np.flatnonzero(np.diff(times) > gap) + 1):
-            for _, _, _, path in longest_prefixes([layers[t] for t in block.tolist()], _fused_edge, "confidence", width, True):
-                kept = [path[0]]
-                for x in path[1:-1]:
-                    if x["chart_time"] - kept[-1]["chart_time"] >= spacing:
-                        kept.append(x)
-                kept += [path[-1]] if path[-1] is not kept[-1] else []
-                if last is not None and (kept[0]["chart_time"] <= last["chart_time"] or kept[0]["fused_time"] <= last["fused_time"]):
-                    continue
-                out += [(region, x["chart_time"], x["fused_time"], x["role_count"], x["classification"], x["confidence"]) for x in kept]
-                last, region = kept[-1], region + 1
-        names = ("region", "chart_time", "midi_time", "role_count", "classification", "confidence")
-        return dict(zip(names, zip(*out, strict=True) if out else ([] for _ in names), strict=True))
-
-    return per_group(controls, keys, ["chart_time", "fused_time"], kernel, "region bigint, chart_time double, midi_time double, role_count bigint, classification string, confidence double")
+
+def _clusters(paths: pd.DataFrame, role: str, tolerance: float = 0.25, strong_spread: float = 0.10, bonus: float = 0.30, single_penalty: float = 0.10, spread_penalty: float = 1.2) -> list[dict]:
+    """``fused_controls`` of one song's paths, by chart_time and fused_time."""
+    start, end = paths["chart_start"].to_numpy(float), paths["chart_end"].to_numpy(float)
+    points = np.unique(np.concatenate((start, (start + end) / 2.0, end)))
+    points = points[np.unique(islands.heads(points, 1e-6))]
+    score, coverage, residual = (paths[c].to_numpy(float) for c in ("score", "coverage", "median_residual"))
+    weight = np.maximum(0.05, score * 0.55 + coverage * 0.30 + np.exp(-residual / 0.12) * 0.15)
+    strong = (paths["streak_size"].to_numpy() >= 2) & (coverage >= 0.60) & (residual <= 0.10)
+    roles, shift, stretch = paths[role].to_numpy(), paths["translation"].to_numpy(float), paths["stretch"].to_numpy(float)
+    out = []
+    for at in points.tolist():
+        mine = np.flatnonzero((start - 1e-9 <= at) & (at <= end + 1e-9))
+        said = shift[mine] + stretch[mine] * at
+        order = sorted(range(len(mine)), key=lambda k: (said[k], roles[mine[k]]))
+        cuts = np.flatnonzero(np.diff(said[order]) > tolerance) + 1
+        found = []
+        for group in np.split(np.array(order), cuts):
+            best: dict = {}  # the heaviest of each role, then the earliest
+            for k in sorted(group.tolist(), key=lambda k: (roles[mine[k]], -weight[mine[k]], said[k])):
+                best.setdefault(roles[mine[k]], k)
+            heaviest = np.array(list(best.values()))
+            times, weights = said[heaviest], weight[mine[heaviest]]
+            spread, several = float(times.max() - times.min()), len(best) >= 2
+            sure = strong[mine[heaviest]].any()
+            kind = "multi_role_corroborated" if several and spread <= strong_spread else "multi_role_compatible" if several else "single_role_strong" if sure else "single_role_provisional"
+            confidence = float(weights.sum()) / len(best) + (len(best) - 1) * bonus - (0.0 if several else single_penalty) - spread * spread_penalty
+            fused = float((times * weights).sum() / weights.sum())
+            found.append({"chart_time": at, "fused_time": fused, "role_count": len(best), "classification": kind, "confidence": confidence})
+        out += sorted(found, key=lambda c: c["fused_time"])
+    return out
+
+
+def controls_of(paths: DataFrame, keys: list[str], role: str) -> DataFrame:
+    """``fuse`` of ``fused_controls``, a song's paths at a time: its roles have a row a window, so a song is little."""
+    return per_long_group(paths, keys, [role, "window"], lambda g: _regions(_clusters(g, role)), CONTROL)
 
 
 def materialise(controls: DataFrame, keys: list[str], mode: str = "conservative", fewest: int = 2) -> DataFrame:
