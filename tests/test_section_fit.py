@@ -3,6 +3,7 @@ import itertools
 import numpy as np
 import pytest
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from timeloom import plans
@@ -225,7 +226,22 @@ def test_controls_of_songs_are_those_of_the_steps(spark):
     assert {r.classification for r in got.collect()} >= {"multi_role_corroborated", "multi_role_compatible"}
 
 
-@pytest.mark.parametrize("name", ["section_controls"])
+@pytest.mark.parametrize("mode", ["conservative", "permissive"])
+def test_maps_of_songs_are_those_of_the_steps(spark, mode):
+    paths = three_roles(spark)
+    region = Window.partitionBy("song", "region")
+    found = section_fit.fuse(section_fit.fused_controls(paths, ["song"], "role"), ["song"])
+    spanned = found.withColumn("base", F.col("chart_time")).withColumn("measures", F.floor(F.max("chart_time").over(region) / 2.5 - F.min("chart_time").over(region) / 2.5).cast("int"))
+    got, want = section_fit.map_of(paths, ["song"], "role", 2.5, mode), section_fit.materialise(spanned, ["song"], mode)
+    assert got.schema.simpleString() == want.schema.simpleString()
+    if mode == "permissive":
+        nearly(rows_of(got), rows_of(want))
+    else:
+        assert len(rows_of(got)) == len(rows_of(want))
+    assert section_fit.map_of(paths.limit(0), ["song"], "role", 2.5, mode).count() == 0
+
+
+@pytest.mark.parametrize("name", ["section_controls", "section_map"])
 def test_songs_are_dealt_out_once_more(spark, name):
     plan = plans.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") == plan.count("Window [") == 0 and plan.count("RepartitionByExpression") == 2

@@ -574,6 +574,9 @@ def controls_of(paths: DataFrame, keys: list[str], role: str) -> DataFrame:
     return per_long_group(paths, keys, [role, "window"], lambda g: _regions(_clusters(g, role)), CONTROL)
 
 
+MAPPED = "fragment bigint, x double, y double, base double, offset double"
+
+
 def materialise(controls: DataFrame, keys: list[str], mode: str = "conservative", fewest: int = 2) -> DataFrame:
     """Controls that a mode lets into the map: (keys, fragment, x, y, base, offset). Rows: region, chart_time, midi_time, base (the baseline there), classification, measures.
 
@@ -581,6 +584,22 @@ def materialise(controls: DataFrame, keys: list[str], mode: str = "conservative"
     from the fragment before is acceptable. Between fragments the map keeps the baseline's shape with the offset interpolated
     (``maps.add_residuals`` of offset over base, held outside).
     """
+    return per_group(controls, keys, ["region", "chart_time"], _admitted(mode, fewest), MAPPED)
+
+
+def map_of(paths: DataFrame, keys: list[str], role: str, measure: float, mode: str = "conservative", fewest: int = 2) -> DataFrame:
+    """``materialise`` of ``controls_of`` on a baseline of identity, a song at a time; a region has as many measures of ``measure`` seconds as fit between its ends."""
+    admitted = _admitted(mode, fewest)
+
+    def kernel(g: pd.DataFrame) -> dict:
+        made = pd.DataFrame(_regions(_clusters(g, role))).sort_values(["region", "chart_time"], ignore_index=True)
+        chart = made.groupby("region")["chart_time"]
+        return admitted(made.assign(base=made["chart_time"], measures=np.floor(chart.transform("max") / measure - chart.transform("min") / measure)))
+
+    return per_long_group(paths, keys, [role, "window"], kernel, MAPPED)
+
+
+def _admitted(mode: str, fewest: int) -> Callable[[pd.DataFrame], dict]:
     policy = MODES[mode]
 
     def edge_ok(chart: float, audio: float) -> bool:
@@ -630,7 +649,7 @@ def materialise(controls: DataFrame, keys: list[str], mode: str = "conservative"
         whole = whole if rises else whole.iloc[:0]
         return {"fragment": whole["fragment"], "x": whole["chart_time"], "y": whole["midi_time"], "base": whole["base"], "offset": whole["midi_time"] - whole["base"]}
 
-    return per_group(controls, keys, ["region", "chart_time"], kernel, "fragment bigint, x double, y double, base double, offset double")
+    return kernel
 
 
 def fit_sections(bars: DataFrame, written: DataFrame, performed: DataFrame, keys: list[str], role: str, fit: Fit = Fit()) -> DataFrame:
