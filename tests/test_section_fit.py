@@ -183,6 +183,19 @@ def test_slices_that_begin_together_share_a_table(monkeypatch):
     assert aligned == [0, 3, 11]
 
 
+def test_a_way_back_ends_outside_its_runs():
+    """A slice whose matches no transform reaches was followed to its first row."""
+    rng = np.random.default_rng(6)
+    similarity = rng.random((12, 30))
+    score, pairs = sequence.align(similarity, 0.22, 0.025)
+    table = sequence.alignment_tables(similarity, np.array([0]), np.array([30]), 0.22, 0.025)[0]
+    around = dict(pairs)
+    least, most = [around.get(i, 0) for i in range(12)], [around.get(i, 29) + 1 for i in range(12)]
+    assert sequence.aligned_run(table, 12, 30) == sequence.aligned_run(table, 12, 30, (least, most)) == (score, pairs)
+    least[pairs[-1][0]] += 1
+    assert sequence.aligned_run(table, 12, 30, (least, most)) is None
+
+
 def test_prefixes_grow_by_a_layer():
     """A prefix was searched anew for each layer more."""
     asked = []

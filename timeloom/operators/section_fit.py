@@ -41,7 +41,7 @@ class Fit:
     most: int = 5
 
 
-TOGETHER = 64  # slices weighed at once
+TOGETHER = 64  # slices weighed at once, then twice as many each time
 
 
 def windows(bars: DataFrame, keys: list[str], fit: Fit = Fit()) -> DataFrame:
@@ -230,16 +230,26 @@ def best_placements(start: float, end: float, expected: float, times: np.ndarray
     begins, first_of = np.unique(lo, return_inverse=True)
     ends = np.zeros(len(begins), np.int64)
     np.maximum.at(ends, first_of, hi)
-    tables: dict[int, tuple[np.ndarray, bytes]] = {}
+    tables: dict[int, tuple[np.ndarray, memoryview]] = {}
     rows, kept = np.empty((0, 8)), []  # start, score, coverage, median and largest residual, sequence, transform, matches
-    for at in range(0, len(order), TOGETHER):
-        some = order[at : at + TOGETHER]
+    at, some = 0, order[:0]
+    while at < len(order):
+        some = order[at : at + min(1024, max(TOGETHER, 2 * len(some)))]
+        at += len(some)
         if len(kept) == fit.most and bound[some[0]] < rows[kept[-1], 1]:
             break
         new = [b for b in np.unique(first_of[some]).tolist() if b not in tables]
         tables |= zip(new, alignment_tables(likeness, begins[new], ends[new], *fit.skips), strict=True)
-        aligned = [(k, *aligned_run(tables[first_of[k]], n, int(hi[k] - lo[k]))) for k in some.tolist()]
-        aligned = [(k, worth, pairs) for k, worth, pairs in aligned if len(pairs) >= fit.fewest]
+        mine, own_of = np.concatenate([by_slice[edges[k] : edges[k + 1]] for k in some.tolist()]), np.cumsum(edges[some + 1] - edges[some])
+        place = shift[mine][:, None] + stretch[mine][:, None] * times
+        starts = np.concatenate(([0], own_of[:-1]))
+        least = np.searchsorted(heard, np.minimum.reduceat(place, starts) - fit.maximum - 1e-9, side="left") - lo[some][:, None]
+        most = np.searchsorted(heard, np.maximum.reduceat(place, starts) + fit.maximum + 1e-9, side="right") - lo[some][:, None]
+        aligned = []
+        for k, a, z in zip(some.tolist(), least.tolist(), most.tolist(), strict=True):
+            found = aligned_run(tables[first_of[k]], n, int(hi[k] - lo[k]), (a, z))  # None: no transform has all its matches near
+            if found and len(found[1]) >= fit.fewest:
+                aligned.append((k, *found))
         if not aligned:
             continue
         matches = np.array([len(pairs) for _, _, pairs in aligned])
