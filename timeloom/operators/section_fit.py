@@ -581,7 +581,7 @@ def _clusters(paths: pd.DataFrame, role: str, tolerance: float = 0.25, strong_sp
 
 def controls_of(paths: DataFrame, keys: list[str], role: str) -> DataFrame:
     """``fuse`` of ``fused_controls``, a song's paths at a time: its roles have a row a window, so a song is little."""
-    return per_long_group(paths, keys, [role, "window"], lambda g: _regions(_clusters(g, role)), CONTROL)
+    return per_group(paths, keys, [role, "window"], lambda g: _regions(_clusters(g, role)), CONTROL)
 
 
 MAPPED = "fragment bigint, x double, y double, base double, offset double"
@@ -606,7 +606,7 @@ def map_of(paths: DataFrame, keys: list[str], role: str, measure: float, mode: s
         chart = made.groupby("region")["chart_time"]
         return admitted(made.assign(base=made["chart_time"], measures=np.floor(chart.transform("max") / measure - chart.transform("min") / measure)))
 
-    return per_long_group(paths, keys, [role, "window"], kernel, MAPPED)
+    return per_group(paths, keys, [role, "window"], kernel, MAPPED)
 
 
 def _admitted(mode: str, fewest: int) -> Callable[[pd.DataFrame], dict]:
